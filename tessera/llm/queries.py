@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import table
+from tessera.llm import mixing, pii
 from tessera.llm.quality_classifier import quality_scores
 from tessera.llm.quality_rules import quality_rules
 
@@ -15,16 +16,29 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op4_quality_rules,
+        op6_mixing,
         op7_quality_classifier,
+        op9_personal_data,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_mixing": mixing.ORACLE,
+    "op9_personal_data": pii.oracle_sql(),
+}
