@@ -6,12 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm import language, mixing, pii, tokens, warc
 from tessera.llm.common import table
-from tessera.llm import mixing, pii
 from tessera.llm.quality_classifier import quality_scores
 from tessera.llm.quality_rules import quality_rules
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.tokenize(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,6 +49,9 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_token_ids,
+        op2_language_id,
+        op3_warc,
         op4_quality_rules,
         op6_mixing,
         op7_quality_classifier,
@@ -39,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_warc": warc.ORACLE,
     "op6_mixing": mixing.ORACLE,
     "op9_personal_data": pii.oracle_sql(),
 }
