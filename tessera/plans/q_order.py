@@ -62,7 +62,7 @@ def forward_fill(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 WITH RECURSIVE e AS (
-  SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events WHERE user_id % 4 >= 0),
+  SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
 f AS (
   SELECT user_id, event_id, event_type, rn, 0 AS segment, [event_type] AS used FROM e WHERE rn = 1
   UNION ALL
@@ -245,11 +245,11 @@ def phase_state(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT l_orderkey, l_linenumber, string_split(p_name || ' ' || p_type, ' ') AS tok, [10, 20] AS amps FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_linenumber <= 2)
+WITH t AS (SELECT l_orderkey, l_linenumber, string_split(p_name || ' ' || p_type, ' ') AS tok, [10, 20] AS amps FROM lineitem JOIN part ON p_partkey = l_partkey)
 SELECT l_orderkey, l_linenumber, CAST(i AS INT) AS opt, tok[i] AS volt, CAST(CASE WHEN i <= 2 THEN amps[i] ELSE amps[2] END AS INT) AS amp FROM (SELECT *, unnest(range(1, len(tok) + 1)) AS i FROM t)""")
 def option_rows(spark: SparkSession, d: str) -> DataFrame:
     """One row per option of a multi-token cell; shorter lists repeat their last token."""
-    li = load(spark, d, "lineitem").filter("l_linenumber <= 2").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"))
+    li = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"))
     t = li.join(load(spark, d, "part").select("p_partkey", "p_name", "p_type"), "p_partkey")
     amps = F.array(F.lit(10), F.lit(20))
     rows = t.select("l_orderkey", "l_linenumber", F.posexplode(F.split(F.concat_ws(" ", "p_name", "p_type"), " ")).alias("i", "volt"))

@@ -260,12 +260,12 @@ def probe_first_alive(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH n AS (SELECT doc_id, sha256(text) AS h FROM documents), known AS (SELECT DISTINCT sha256(text) AS h FROM documents WHERE doc_id % 2 = 0)
+WITH n AS (SELECT doc_id, sha256(text) AS h FROM documents), known AS (SELECT DISTINCT sha256(text) AS h FROM documents WHERE lang = 'en')
 SELECT h AS sha256, min(doc_id) AS first_doc, count(*) AS n FROM n WHERE h NOT IN (SELECT h FROM known) GROUP BY h""")
 def incremental_ledger(spark: SparkSession, d: str) -> DataFrame:
     """Content not yet in the ledger, once per digest."""
-    docs = load(spark, d, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
-    known = docs.filter("doc_id % 2 = 0").select("sha256").distinct()
+    docs = load(spark, d, "documents").select("doc_id", "lang", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
+    known = docs.filter("lang = 'en'").select("sha256").distinct()
     return docs.join(known, "sha256", "left_anti").groupBy("sha256").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n"))
 
 
