@@ -200,7 +200,8 @@ def write_tokens(docs: DataFrame, definition: str, folder: str, end_id: int = EN
             kinds = [pa.int32(), pa.string(), *[pa.int64()] * 4]
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], ["part", "path", "n_docs", "n_ids", "n_frames", "n_bytes"])
 
-    return materialize(range_sorted(docs.select("doc_id", "text"), "doc_id").mapInArrow(write, MANIFEST), "manifest")
+    rows = docs.select("doc_id", "text")
+    return materialize(range_sorted(rows, "doc_id", rows).mapInArrow(write, MANIFEST), "manifest")
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:

@@ -25,6 +25,8 @@ from tessera.llm.shards import Committed, one_task_each, range_sorted, store_of
 
 MIN_REVISIT_BYTES = 100
 FILE_BYTES = 64 << 20
+#: Bytes read at a time; what follows a record in a piece is copied once for each record in it.
+PIECE = 64 << 10
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "part int, file int, path string, n_records long, n_bytes long"
@@ -81,14 +83,14 @@ def members(path: str) -> Iterator[bytes]:
     """Contents of the gzip members of a file, read piece by piece."""
     store, inner = store_of(path)
     with store.open_input_stream(inner, compression=None) as f:
-        unpacker, parts, data = zlib.decompressobj(31), [], f.read(1 << 20)
+        unpacker, parts, data = zlib.decompressobj(31), [], f.read(PIECE)
         while data:
             parts.append(unpacker.decompress(data))
             data = unpacker.unused_data if unpacker.eof else b""
             if unpacker.eof:
                 yield b"".join(parts)
                 unpacker, parts = zlib.decompressobj(31), []
-            data = data or f.read(1 << 20)
+            data = data or f.read(PIECE)
         if any(parts):
             raise ValueError(f"{path} ends inside a record")
 
@@ -157,7 +159,7 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> D
             kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], _NAMES)
 
-    return materialize(range_sorted(mark_revisits(pages), "page_id").mapInArrow(write, MANIFEST), "manifest")
+    return materialize(range_sorted(mark_revisits(pages), "page_id", pages).mapInArrow(write, MANIFEST), "manifest")
 
 
 def read_warc(manifest: DataFrame) -> DataFrame:
