@@ -65,3 +65,10 @@ def matrix(df: DataFrame, row: str, column: str, value: Column, columns: Sequenc
     """Rows by columns, filled with an aggregate's value; n is the number of filled columns."""
     wide = df.groupBy(row).pivot(column, list(columns)).agg(value)
     return wide.withColumn("n", sum((F.when(F.col(f"`{c}`").isNotNull(), 1).otherwise(0) for c in columns), F.lit(0)).cast("long"))
+
+
+def write_bundle(tables: dict[str, DataFrame], folder: str, form: str = "json") -> None:
+    """Every table of a dataset under its name, whole: a bundle is replaced as one, never in part."""
+    for name, df in tables.items():
+        writer = df.write.mode("overwrite")
+        writer.option("header", "true").csv(f"{folder}/{name}") if form == "csv" else writer.option("ignoreNullFields", "true").format(form).save(f"{folder}/{name}")

@@ -279,3 +279,101 @@ def verification_queue(spark: SparkSession, d: str) -> DataFrame:
     """The first five open items of each model."""
     n = order.numbered(load(spark, d, "orders").filter("o_orderstatus = 'O'"), ["o_custkey"], ["o_orderkey"], F.lit(True), "place")
     return n.filter("place <= 5").select("o_custkey", F.col("place").cast("long").alias("place"), "o_orderkey")
+
+
+@query("""
+SELECT n_name, r_name, count(c_custkey) AS n_customers FROM nation LEFT JOIN region ON r_regionkey = n_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_name, r_name""")
+def lookup_join(spark: SparkSession, d: str) -> DataFrame:
+    """Left lookups of declared keys."""
+    nation, region, customer = (load(spark, d, t) for t in ("nation", "region", "customer"))
+    n = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").join(customer.select("c_custkey", "c_nationkey"), nation.n_nationkey == F.col("c_nationkey"), "left")
+    return n.groupBy("n_name", "r_name").agg(F.count("c_custkey").alias("n_customers"))
+
+
+@query("""
+WITH v AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 'nci' ELSE 'nvi' END || l_linestatus AS snvt, l_linenumber % 2 = 0 AS send FROM lineitem)
+SELECT CASE WHEN starts_with(snvt, 'nci') THEN 'NCI' ELSE 'NV' END AS type, CASE WHEN send THEN 'Send' ELSE 'Recv' END AS direction, count(*) AS n FROM v GROUP BY 1, 2""")
+def network_variables(spark: SparkSession, d: str) -> DataFrame:
+    """Network variables typed by their name, directed by their header."""
+    snvt = F.concat(F.when(F.col("l_returnflag") == "R", "nci").otherwise("nvi"), "l_linestatus")
+    kind = F.when(F.startswith(snvt, F.lit("nci")), "NCI").otherwise("NV")
+    direction = F.when(F.col("l_linenumber") % 2 == 0, "Send").otherwise("Recv")
+    return load(spark, d, "lineitem").groupBy(kind.alias("type"), direction.alias("direction")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n, count(DISTINCT user_id) AS n_users FROM events GROUP BY 1""")
+def json_documents(spark: SparkSession, d: str) -> DataFrame:
+    """JSON documents read by a declared schema."""
+    parsed = load(spark, d, "events").select("user_id", F.from_json("props", "k bigint").alias("x"))
+    return parsed.groupBy(F.col("x.k").alias("k")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("n_users"))
+
+
+@query("""
+SELECT l_suppkey, l_partkey, rank() OVER w AS place, round(percent_rank() OVER w, 9) AS share, ntile(4) OVER (PARTITION BY l_suppkey ORDER BY q DESC, l_partkey) AS quarter
+FROM (SELECT l_suppkey, l_partkey, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2) WINDOW w AS (PARTITION BY l_suppkey ORDER BY q DESC)""")
+def ranking_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Ranks, shares and quarters inside a group."""
+    q = load(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias("q"))
+    w = Window.partitionBy("l_suppkey").orderBy(F.desc("q"))
+    quarter = F.ntile(4).over(Window.partitionBy("l_suppkey").orderBy(F.desc("q"), "l_partkey"))
+    return q.select("l_suppkey", "l_partkey", F.rank().over(w).cast("long").alias("place"), F.round(F.percent_rank().over(w), 9).alias("share"), quarter.cast("long").alias("quarter"))
+
+
+@query("""
+SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'kW' WHEN 1 THEN 'A' WHEN 2 THEN 'V' WHEN 3 THEN 'rpm' END AS unit FROM part""")
+def label_units(spark: SparkSession, d: str) -> DataFrame:
+    """Units from labels: brackets, a comma or a key word."""
+    k = F.col("p_size") % 5
+    label = F.when(k == 0, F.concat("p_name", F.lit(" (kW)"))).when(k == 1, "Rated current").when(k == 2, F.concat("p_type", F.lit(", V"))).when(k == 3, "Speed [rpm]").otherwise("p_name")
+    return load(spark, d, "part").select("p_partkey", S.label_unit(label).alias("unit"))
+
+
+@query("""
+SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'range' WHEN 1 THEN 'states' ELSE 'note' END AS kind, CASE WHEN p_size % 3 = 0 THEN p_size::DOUBLE END AS low, CASE WHEN p_size % 3 = 0 THEN p_size + 5.0::DOUBLE END AS high, CASE WHEN p_size % 3 = 0 THEN 0.1::DOUBLE END AS scale FROM part""")
+def explained_values(spark: SparkSession, d: str) -> DataFrame:
+    """Value cells as states, one range with a scale, or a note."""
+    k, size = F.col("p_size") % 3, F.col("p_size")
+    cell = F.when(k == 0, F.concat(size.cast("string"), F.lit(" ~ "), (size + 5).cast("string"), F.lit(" x10"))).when(k == 1, F.concat(F.lit("0 = Off / 1 = "), "p_type")).otherwise(F.concat(F.lit("1~2 / "), "p_name"))
+    return load(spark, d, "part").select("p_partkey", S.explained_value(cell).alias("x")).select("p_partkey", "x.kind", "x.low", "x.high", "x.scale")
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'CO' || (p_size % 10) || ' ' || lower(p_type) || ' NO' || ((p_size + 3) % 10) ELSE 'CO ' || lower(p_type) || ' NO' END AS text FROM part""")
+def subscript_rejoin(spark: SparkSession, d: str) -> DataFrame:
+    """Digits of a line of their own put back where their numbers agree."""
+    size = F.col("p_size")
+    text = F.concat(F.lit("CO "), F.lower("p_type"), F.lit(" NO"))
+    digits = F.when(size % 2 == 0, F.concat((size % 10).cast("string"), F.lit(" "), ((size + 3) % 10).cast("string"))).otherwise("7")
+    return load(spark, d, "part").select("p_partkey", S.rejoin_subscripts(text, digits, ["CO", "NO"]).alias("text"))
+
+
+@query("""
+SELECT s_suppkey, s_name || CASE WHEN s_acctbal > 5000 THEN ' / large' WHEN s_acctbal < 0 THEN ' / debt' ELSE '' END AS label, CASE WHEN s_nationkey < 5 THEN 'chiller' WHEN s_nationkey < 10 THEN 'rooftop' ELSE 'other' END AS subtype FROM supplier""")
+def selector_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Display labels and subtypes by cascades."""
+    suffix = F.when(F.col("s_acctbal") > 5000, " / large").when(F.col("s_acctbal") < 0, " / debt").otherwise("")
+    subtype = F.when(F.col("s_nationkey") < 5, "chiller").when(F.col("s_nationkey") < 10, "rooftop").otherwise("other")
+    return load(spark, d, "supplier").select("s_suppkey", F.concat("s_name", suffix).alias("label"), subtype.alias("subtype"))
+
+
+@query("""
+SELECT CASE WHEN o_orderpriority LIKE '1%' AND o_orderstatus <> 'P' THEN 'verified' WHEN o_orderstatus = 'P' THEN 'manual' ELSE 'extracted' END AS status, count(*) AS n, count(DISTINCT o_custkey) AS n_models FROM orders GROUP BY 1""")
+def promoted_status(spark: SparkSession, d: str) -> DataFrame:
+    """Proposals promoted to verified for chosen codes; confirmed ones keep their status."""
+    o = load(spark, d, "orders")
+    stored = F.when(F.col("o_orderstatus") == "P", "manual").otherwise("extracted")
+    status = F.when((stored == "extracted") & F.startswith("o_orderpriority", F.lit("1")), "verified").otherwise(stored)
+    return o.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("o_custkey").alias("n_models"))
+
+
+@query("""
+WITH m AS (SELECT p_brand, p_type, min(p_size) AS lo, max(p_size) AS hi, count(*) AS n FROM part GROUP BY 1, 2),
+w AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_type) AS r FROM m)
+SELECT p_brand, p_type, CASE WHEN lo = hi THEN CAST(lo AS VARCHAR) ELSE lo || ' – ' || hi END AS span, n FROM w WHERE r <= 8""")
+def matrix_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The first eight quantities of a matrix with their value ranges."""
+    m = load(spark, d, "part").groupBy("p_brand", "p_type").agg(F.min("p_size").alias("lo"), F.max("p_size").alias("hi"), F.count(F.lit(1)).alias("n"))
+    first = m.withColumn("r", F.row_number().over(Window.partitionBy("p_brand").orderBy("p_type"))).filter("r <= 8")
+    span = F.when(F.col("lo") == F.col("hi"), F.col("lo").cast("string")).otherwise(F.concat(F.col("lo").cast("string"), F.lit(" – "), F.col("hi").cast("string")))
+    return first.select("p_brand", "p_type", span.alias("span"), "n")
