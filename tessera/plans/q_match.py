@@ -79,15 +79,16 @@ def scored_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT DISTINCT user_id AS a, event_type AS k1, CAST(value AS BIGINT) % 10 AS k2 FROM events WHERE user_id % 2 = 0),
-b AS (SELECT DISTINCT user_id AS b, event_type AS k1, CAST(value AS BIGINT) % 10 AS k2 FROM events WHERE user_id % 2 = 1),
+WITH a AS (SELECT DISTINCT l_suppkey AS a, l_partkey AS k1, l_linenumber AS k2 FROM lineitem WHERE l_returnflag = 'A'),
+b AS (SELECT DISTINCT l_suppkey AS b, l_partkey AS k1, l_linenumber AS k2 FROM lineitem WHERE l_returnflag = 'R'),
 n AS (SELECT a, b, count(*) AS n FROM a JOIN b USING (k1, k2) GROUP BY a, b),
 w AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS r FROM n)
 SELECT a, b, n FROM w WHERE r = 1""")
 def overlap_pairing(spark: SparkSession, d: str) -> DataFrame:
-    """For each even user the odd user that shares most keys."""
-    e = load(spark, d, "events").select("user_id", F.col("event_type").alias("k1"), (F.bround("value", 0).cast("long") % 10).alias("k2"))
-    a, b = e.filter("user_id % 2 = 0").withColumnRenamed("user_id", "a"), e.filter("user_id % 2 = 1").withColumnRenamed("user_id", "b").withColumn("ord", F.col("b"))
+    """For each group of one reading the group of the other that shares most keys."""
+    li = load(spark, d, "lineitem").select("l_returnflag", "l_suppkey", F.col("l_partkey").alias("k1"), F.col("l_linenumber").alias("k2"))
+    a = li.filter("l_returnflag = 'A'").select(F.col("l_suppkey").alias("a"), "k1", "k2")
+    b = li.filter("l_returnflag = 'R'").select(F.col("l_suppkey").alias("b"), "k1", "k2", F.col("l_suppkey").alias("ord"))
     return match.best_overlap(a, b, ["k1", "k2"], "a", "b", "ord").select("a", "b", "n")
 
 
