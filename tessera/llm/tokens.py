@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -29,7 +30,10 @@ from tessera.llm.shards import Committed, one_task_each, range_sorted, store_of
 
 END_ID = 1
 FRAME_IDS, MOST_FRAME_IDS = 1 << 15, 1 << 20
+#: Words remembered: at most twice as many, the recent ones and those before.
 CACHED_WORDS = 300_000
+JOINED_WORDS = 256
+MARK_AT_END = re.compile(r"(?<=[a-z])[.,](?=[ \n]|\Z)")
 SLICE_CHARS = 1 << 20
 # Fixed values of the public seekable format.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC, CHECKSUM_FLAG = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -38,10 +42,16 @@ MANIFEST = "part int, path string, n_docs long, n_ids long, n_frames long, n_byt
 
 
 class WordEncoder:
-    """Encodes whole texts with a tokenizer, each distinct word once.
+    """Encodes whole texts with a tokenizer, each distinct word once while it is remembered.
 
     The tokenizer's pre-tokenizer drops white space and no token spans it, so the ids of
-    a text are those of its words in order.
+    a text are those of its words in order.  It also lower-cases and never joins a letter
+    with a stop or comma after it; so capitals A-Z and such marks at a word's end are taken
+    off first, which leaves fewer distinct words.  Texts that could spell a special token
+    (in lower case) are left as they are.
+
+    New words of letters alone are encoded many at a time: each is one pre-token, and the
+    token that ends it carries the end-of-word suffix.
     """
 
     def __init__(self, definition: str):
@@ -49,14 +59,35 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        if self.suffix:
+            self.ends_word[[i for t, i in vocabulary.items() if t.endswith(self.suffix)]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+        plain = [w for w in words if w.isalpha()] if self.suffix else []
+        odd = [w for w in words if not w.isalpha()] if self.suffix else words
+        chunks = [plain[k : k + JOINED_WORDS] for k in range(0, len(plain), JOINED_WORDS)]
+        for chunk, found in zip(chunks, self.tokenizer.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+            if len(ends) != len(chunk):  # a letter that lower case or normalisation makes more than letters
+                odd += chunk
+                continue
+            data, start = ids.tobytes(), 0
+            for word, end in zip(chunk, ends.tolist(), strict=True):
+                self.known[word] = data[start:end]
+                start = end
+        for word, found in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
             self.known[word] = array("I", found.ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
+        if "<|" not in text:
+            text = MARK_AT_END.sub(r" \g<0>", text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
         if len(text) <= SLICE_CHARS:
             return self._encode(WORD.findall(text))
         words = (m.group() for m in WORD.finditer(text))
@@ -65,9 +96,14 @@ class WordEncoder:
 
     def _encode(self, words: list[str]) -> bytes:
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        if new := list(set(words).difference(self.known)):
-            self.learn(new)
+            self.known, self.older = {}, self.known
+        new = set(words).difference(self.known)
+        if new and self.older:
+            again = [w for w in new if w in self.older]
+            self.known.update((w, self.older[w]) for w in again)
+            new.difference_update(again)
+        if new:
+            self.learn(list(new))
         return b"".join(map(self.known.__getitem__, words))
 
 
