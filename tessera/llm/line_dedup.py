@@ -152,5 +152,6 @@ def deduplicate_lines(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> Data
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["doc_id", "text", "n_lines", "n_removed", "removed_words"])
 
-    both = docs.select("doc_id", "text").join(doomed, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "doomed")
+    # The deleted places grow with the corpus: the join is by sorting whatever their size, so its cost is in proportion.
+    both = docs.select("doc_id", "text").join(doomed.hint("merge"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "doomed")
     return both.mapInArrow(cut, "doc_id long, text string, n_lines long, n_removed long, removed_words long")
