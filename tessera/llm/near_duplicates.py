@@ -244,7 +244,7 @@ def open_pairs(places: DataFrame, sketch: DataFrame, roots: DataFrame, percent:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links and kept of every row of docs (doc_id, text).
+    """doc_id, n_shingles, component_id, kept and n_links of every row of docs (doc_id, text).
 
     Two documents are linked if 100 * |intersection| >= percent * |union| of their shingle
     sets; component_id is the smallest doc_id reachable by links.  n_links counts confirmed
@@ -282,6 +282,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )

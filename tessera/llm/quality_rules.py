@@ -161,4 +161,4 @@ def quality_rules(docs: DataFrame, labels: DataFrame, trees: int = 100, sample:
         .collect()
     )
     bound = calibrate([tuple(r) for r in histogram], false_rejects)
-    return scored.select("doc_id", *BASE, "base_failed", "score", (~F.col("base_failed") & (F.col("score") < F.lit(bound))).alias("kept"))
+    return scored.select("doc_id", *BASE, "base_failed", (~F.col("base_failed") & (F.col("score") < F.lit(bound))).alias("kept"), "score")
