@@ -285,3 +285,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+#: The links and components of op8 by an exact join on shingles, for tables that a single machine can compare.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) >= 5 THEN list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' ')))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS shingles FROM w),
+e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS x FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS node, doc_id AS root FROM s UNION SELECT r.node, edges.b FROM reach r JOIN edges ON edges.a = r.root),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, root AS component_id, s.doc_id = root AS kept FROM s JOIN roots ON node = s.doc_id
+"""

@@ -48,7 +48,8 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_warc": warc.ORACLE,
     "op6_mixing": mixing.ORACLE,
+    "op8_near_duplicates": near_duplicates.ORACLE,
     "op9_personal_data": pii.oracle_sql(),
 }
