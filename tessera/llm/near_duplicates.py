@@ -10,7 +10,7 @@ sets are similar, so
 3. in each bucket everyone is paired with the most central member, pairs whose joint
    likelihood rules out the threshold are dropped, the rest is confirmed on full sets;
 4. buckets that still hold several components are searched for all remaining plausible
-   pairs, block by block, and those are confirmed on full sets too;
+   pairs, block by block, and those are compared on full sets in place;
 5. components of the confirmed links give the result.
 
 Step 3 is linear in the bucket sizes and connects nearly everything; step 4 makes sure
@@ -35,7 +35,7 @@ BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 #: Deviations of the similarity estimate that a pair may lie below the threshold.
 MARGIN = 5.0
 #: Open members of a bucket that one task compares with as many others.
-BLOCK = 2000
+BLOCK = 1000
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, registers binary, buckets array<long>"
 GRID = np.linspace(0.0, 1.0, 201)
 
@@ -132,6 +132,14 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return materialize(wanted.mapInArrow(sets, "id long, elements binary").dropDuplicates(["id"]), "sets")
 
 
+def similar(x, y, percent: int) -> bool:
+    """Whether two sets, sorted 64-bit hashes as bytes, are as similar as the threshold."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    common = int((y[at] == x).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are as similar as the threshold, as a written table."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
@@ -141,12 +149,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
     def check(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int((y[at] == x).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            keep = [similar(x.as_buffer(), y.as_buffer(), percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             kept = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], ["a", "b"])
 
@@ -181,12 +184,47 @@ def star_pairs(places: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
     return materialize(both.select("a", "b", "of_a", "of_b", "n_a", "n_b").mapInArrow(filter_pairs, "a long, b long"), "pairs")
 
 
-def open_pairs(places: DataFrame, sketch: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Plausible pairs (a, b) inside a bucket whose members belong to different components.
+def cell_pairs(cell: dict[str, np.ndarray], percent: int):
+    """Places (x, others) of plausible pairs of different components of one cell whose first common bucket is the cell's."""
+    i, j, bucket = cell["i"][0], cell["j"][0], np.int64(cell["bucket"][0]).view(np.uint64)
+    registers = np.frombuffer(b"".join(cell["registers"]), np.uint16).reshape(-1, REGISTERS)
+    n, root, ids, own = cell["n"], cell["root"], cell["id"], cell["own"]
+    keys = np.stack([bucket_keys(r) for r in registers])
+    for x in np.flatnonzero(own == i).tolist():
+        others = np.flatnonzero((own == j) & (root != root[x]) & ((ids > ids[x]) if i == j else True))
+        if others.size:
+            others = others[keys[x][(keys[others] == keys[x]).argmax(axis=1)] == bucket]
+        if others.size:
+            same = np.broadcast_to(registers[x], (len(others), REGISTERS))
+            yield x, others[plausible(same, registers[others], np.full(len(others), n[x]), n[others], percent)]
+
+
+def cells_of(batches):
+    """The cells of a partition sorted by (bucket, i, j), one at a time: columns as arrays, bytes as lists."""
+    waiting: dict[str, list] = {}
+    key = None
+    columns = lambda: {k: v if k in ("registers", "elements") else np.array(v) for k, v in waiting.items()}
+    for batch in batches:
+        for row in batch.to_pylist():
+            now = (row["bucket"], row["i"], row["j"])
+            if now != key:
+                if waiting:
+                    yield columns()
+                key, waiting = now, {k: [] for k in row}
+            for k, v in row.items():
+                waiting[k].append(v)
+    if waiting:
+        yield columns()
+
+
+def open_links(places: DataFrame, sketch: DataFrame, roots: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between different components that share a bucket, enough to join whatever true links join.
 
     The members of an open bucket are cut into blocks of about BLOCK; every two blocks meet
-    in a task of their own, so a large bucket costs no task more memory than a small one.
-    A pair that shares several buckets is looked at in the first of them.
+    in a cell, which costs no more memory in a large bucket than in a small one.  A pair that
+    shares several buckets is looked at in the first of them.  A first pass over registers
+    leaves the members with a plausible partner; a second one compares their full sets where
+    they are, until the components are joined.  No pair is written out but a confirmed one.
     """
     known = places.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     known = materialize(known, "placed")
@@ -196,51 +234,43 @@ def open_pairs(places: DataFrame, sketch: DataFrame, roots: DataFrame, percent:
     # Block i meets block j >= i in cell (i, j): a member goes to the cells of its row and of its column.
     cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")))
     dealt = members.select("bucket", "id", "root", "own", F.explode(cells).alias("cell")).select("bucket", "id", "root", "own", "cell.i", "cell.j")
-    rows = dealt.join(sketch, "id")
-
-    def compare(groups):
-        """One cell: all plausible pairs of different components whose first common bucket this is."""
-        i, j, bucket = groups["i"][0], groups["j"][0], np.int64(groups["bucket"][0]).view(np.uint64)
-        registers, n, root, ids, own = groups["registers"], groups["n"], groups["root"], groups["id"], groups["own"]
-        keys = np.stack([bucket_keys(r) for r in registers])
-        left = np.flatnonzero(own == i)
-        found = []
-        for x in left.tolist():
-            others = np.flatnonzero((own == j) & (root != root[x]) & ((ids > ids[x]) if i == j else True))
-            if not others.size:
-                continue
-            first = (keys[others] == keys[x]).argmax(axis=1)
-            others = others[keys[x][first] == bucket]
-            if others.size:
-                same = np.broadcast_to(registers[x], (len(others), REGISTERS))
-                others = others[plausible(same, registers[others], np.full(len(others), n[x]), n[others], percent)]
-            found += [(min(int(ids[x]), int(ids[o])), max(int(ids[x]), int(ids[o]))) for o in others.tolist()]
-        return found
-
-    def search(batches):
-        waiting: dict[str, list] = {}
-        key = None
-
-        def flush():
-            groups = {k: np.array(v) for k, v in waiting.items() if k != "registers"}
-            groups["registers"] = np.frombuffer(b"".join(waiting["registers"]), np.uint16).reshape(-1, REGISTERS)
-            pairs = compare(groups)
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                now = (row["bucket"], row["i"], row["j"])
-                if now != key:
-                    if waiting:
-                        yield flush()
-                    key, waiting = now, {k: [] for k in row}
-                for k, v in row.items():
-                    waiting[k].append(v)
-        if waiting:
-            yield flush()
 
-    ordered = rows.select("bucket", "i", "j", "id", "root", "own", "registers", "n").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return materialize(ordered.mapInArrow(search, "a long, b long").distinct(), "open")
+    def by_cell(rows: DataFrame) -> DataFrame:
+        return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def involved(batches):
+        kinds = {"bucket": pa.int64(), "i": pa.int32(), "j": pa.int32(), "own": pa.int32(), "id": pa.int64(), "root": pa.int64()}
+        for cell in cells_of(batches):
+            some: set[int] = set()
+            for x, others in cell_pairs(cell, percent):
+                some.update([x, *others.tolist()] if others.size else [])
+            at = sorted(some)
+            yield pa.RecordBatch.from_arrays([pa.array(cell[k][at], t) for k, t in kinds.items()], list(kinds))
+
+    def link(batches):
+        for cell in cells_of(batches):
+            joined = {r: r for r in cell["root"].tolist()}
+
+            def find(r: int) -> int:
+                while joined[r] != r:
+                    joined[r] = joined[joined[r]]
+                    r = joined[r]
+                return r
+
+            found = []
+            for x, others in cell_pairs(cell, percent):
+                for o in others.tolist():
+                    one, other = find(int(cell["root"][x])), find(int(cell["root"][o]))
+                    if one != other and similar(cell["elements"][x], cell["elements"][o], percent):
+                        joined[max(one, other)] = min(one, other)
+                        found.append(sorted((int(cell["id"][x]), int(cell["id"][o]))))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    ordered = by_cell(dealt.join(sketch, "id").select("bucket", "i", "j", "own", "id", "root", "registers", "n"))
+    left = materialize(ordered.mapInArrow(involved, "bucket long, i int, j int, own int, id long, root long"), "open")
+    sets = full_sets(docs, materialize(left.select("id").distinct(), "ids"))
+    whole = by_cell(left.join(sketch, "id").join(sets, "id").select("bucket", "i", "j", "own", "id", "root", "registers", "n", "elements"))
+    return materialize(whole.mapInArrow(link, "a long, b long").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -264,9 +294,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     links = confirm(star_pairs(places, registers, percent), docs, percent)
     roots = materialize(components(links), "roots")
-    left = open_pairs(places, registers, roots, percent)
-    if left.limit(1).count():
-        links = links.unionByName(confirm(left, docs, percent))
+    more = open_links(places, registers, roots, docs, percent)
+    if more.limit(1).count():
+        links = links.unionByName(more)
         roots = materialize(components(links), "roots")
     degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     # Two sets can share their smallest doc_id only if that id occurs with two texts; its component is one all the same.
