@@ -1,16 +1,23 @@
 """Line deduplication by aligning overlapping documents.
 
-A line's owner is the first document (by doc_id) that holds it.  Every later document
-that holds the line is paired with the owner: a line that n documents share gives n - 1
-pairs, not n squared.  Each pair is aligned as patience diff does it: the k-th occurrence
-of a line in one text answers the k-th in the other, and the longest run of answers in
-the same order in both is the alignment.  Aligned lines that follow each other form
-blocks; blocks of enough words are deleted from the later document.
+The query pairs a later document with the first holder of each of its lines and of each of
+its runs: a run is the shortest stretch of consecutive lines from or up to a line that has
+enough words.  So n documents that share a line give n - 1 pairs, not n squared.  Each pair
+is aligned on all lines that both hold, as patience diff does it: the k-th occurrence of a
+line in one text answers the k-th in the other, and the longest run of answers in the same
+order in both is the alignment.  Aligned lines that follow each other in the later document
+form blocks, pair by pair; blocks of enough words are deleted from it.  A run that any
+earlier document holds is deleted whatever the alignment, so passages in another order go
+too, and of the lines that stand together in an earlier document none is missed.
+
+doomed_lines is the simpler rule of the first holders of lines alone.
 """
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left
+from collections.abc import Callable
 
 import pyarrow as pa
 import xxhash
@@ -21,6 +28,7 @@ from tessera.llm.common import SPACE_CHARS, WORD, materialize, small_batches
 
 MIN_BLOCK_WORDS = 20
 LINES = "doc_id long, key long, place int, n_words int"
+RUN_SEED = (1 << 63) + 1
 
 
 def line_key(line: str, occurrence: int) -> int:
@@ -42,6 +50,34 @@ def text_lines(text: str | None) -> list[tuple[int, int, int]]:
     return found
 
 
+def text_runs(lines: list[tuple[int, int, int]], min_words: int) -> list[tuple[int, int, int]]:
+    """(key, first place, last place) of the shortest runs of at least min_words words from each line on and up to each line.
+
+    Together they cover every longer run: its lines lie in one of those that it holds whole.
+    """
+    ends: set[tuple[int, int]] = set()
+    first, words = 0, 0
+    for last, (_, _, n) in enumerate(lines):  # up to each line
+        words += n
+        while first < last and words - lines[first][2] >= min_words:
+            words -= lines[first][2]
+            first += 1
+        if words >= min_words:
+            ends.add((first, last))
+    last, words = -1, 0
+    for first, (_, _, n) in enumerate(lines):  # from each line on
+        while last + 1 < len(lines) and (words < min_words or last < first):
+            last += 1
+            words += lines[last][2]
+        if words < min_words:
+            break
+        ends.add((first, last))
+        words -= n
+    keys = array("q", [key for key, _, _ in lines]).tobytes()
+    hashes = ((xxhash.xxh64_intdigest(keys[8 * a : 8 * b + 8], seed=RUN_SEED), a, b) for a, b in sorted(ends))
+    return [(h - (1 << 64) if h >> 63 else h, a, b) for h, a, b in hashes]
+
+
 def longest_ordered(places: list[int]) -> list[int]:
     """Positions of a longest strictly increasing subsequence (patience piles)."""
     tops: list[int] = []
@@ -116,6 +152,46 @@ def doomed_lines(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame
     return materialize(shared_lines(docs).mapInArrow(align, "doc_id long, doomed array<int>").filter(F.size("doomed") > 0), "doomed")
 
 
+def paired_blocks(shared: list[tuple[int, int, int]], min_words: int) -> list[int]:
+    """Places to delete from a later text, from the lines it shares with one earlier text (place, place in the earlier, words)."""
+    return aligned_blocks([(place, 0, there, words) for place, there, words in shared], min_words)
+
+
+def doomed_by_pairs(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame:
+    """doc_id, doomed (places of lines to delete) from the alignment of pairs and from shared runs, as a written table."""
+    small_batches(docs.sparkSession)
+
+    def cut(batches):
+        for batch in batches:
+            rows: list[tuple] = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                lines = text_lines(text)
+                rows += [(doc_id, key, place, None, n) for key, place, n in lines]
+                rows += [(doc_id, key, first, last, 0) for key, first, last in text_runs(lines, min_words)]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "key", "place", "last", "n_words"])
+
+    def align(batches):
+        for batch in batches:
+            found = [paired_blocks([(r["place"], r["there"], r["n_words"]) for r in rows], min_words) for rows in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "doomed"])
+
+    parts = materialize(docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(cut, "doc_id long, key long, place int, last int, n_words int"), "runs")
+    owners = parts.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("top")).filter(F.col("top") > F.col("owner"))
+    owners = materialize(owners.select("key", "owner"), "owners")
+    # As above, Spark splits the hot partitions of these joins: what follows is dealt out anew.
+    hits = materialize(parts.join(owners, "key").filter(F.col("doc_id") > F.col("owner")).select("doc_id", "place", "last", "owner"), "hits")
+    lines = parts.filter("last is null").select("doc_id", "key", "place", "n_words")
+    earlier = lines.select(F.col("doc_id").alias("owner"), "key", F.col("place").alias("there"))
+    shared = hits.select("doc_id", "owner").distinct().join(lines, "doc_id").join(earlier, ["owner", "key"])
+    pairs = shared.groupBy("doc_id", "owner").agg(F.collect_set(F.struct("place", "there", "n_words")).alias("shared"))
+    blocks = pairs.select("doc_id", "shared").mapInArrow(align, "doc_id long, doomed array<int>").filter(F.size("doomed") > 0)
+    runs = hits.filter("last is not null").select("doc_id", F.sequence("place", "last").alias("doomed"))
+    places = blocks.unionByName(runs).select("doc_id", F.explode("doomed").alias("place"))
+    return materialize(places.groupBy("doc_id").agg(F.collect_set("place").alias("doomed")), "doomed")
+
+
 def without_lines(text: str, doomed: list[int]) -> tuple[str, int]:
     """(text without those lines with a word, words deleted)."""
     gone, kept, place, words = set(doomed), [], 0, 0
@@ -130,15 +206,16 @@ def without_lines(text: str, doomed: list[int]) -> tuple[str, int]:
     return "\n".join(kept), words
 
 
-def deduplicate_lines(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame:
+def deduplicate_lines(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS, find: Callable[[DataFrame, int], DataFrame] = doomed_lines) -> DataFrame:
     """doc_id, text without the deleted blocks, n_lines, n_removed and removed_words of every row of docs (doc_id, text).
 
-    n_lines counts lines with a word before.  A copy of an earlier document loses all its
-    lines; blank lines stay.  Null and empty texts have no line and stay as they are.
+    find: the rule, doomed_by_pairs or doomed_lines.  n_lines counts lines with a word
+    before.  By pairs, a copy of an earlier document loses all its lines if it has min_words
+    words; blank lines stay.  Null and empty texts have no line and stay as they are.
     Repeated rows of one doc_id are one document: they own lines together and lose the same
     lines.  A row whose doc_id is null has no place in the order and stays whole.
     """
-    doomed = doomed_lines(docs, min_words).withColumnRenamed("doc_id", "__id")
+    doomed = find(docs, min_words).withColumnRenamed("doc_id", "__id")
     small_batches(docs.sparkSession)
 
     def cut(batches):

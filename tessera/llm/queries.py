@@ -57,7 +57,7 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.deduplicate_lines(table(spark, sf_dir, "documents"))
+    found = line_dedup.deduplicate_lines(table(spark, sf_dir, "documents"), find=line_dedup.doomed_by_pairs)
     text = F.coalesce("text", F.lit(""))
     return found.select("doc_id", "n_lines", "n_removed", "removed_words", F.length(text).cast("long").alias("n_chars"), F.sha2(text.cast("binary"), 256).alias("text_sha256"))
 

@@ -494,6 +494,48 @@ def test_line_dedup_random(spark):
     assert found == {i: len(v) for i, v in brute_lines(rows, 10).items()}
 
 
+def paired_lines(rows, min_words, partners):
+    """Places lost per document: runs that any earlier document holds, and blocks of the alignment with each of its partners."""
+    lines = {i: line_dedup.text_lines(t) for i, t in rows}
+    keys = {i: [key for key, _, _ in x] for i, x in lines.items()}
+    stretches = {i: [(a, b) for a in range(len(x)) for b in range(a, len(x)) if sum(n for _, _, n in x[a : b + 1]) >= min_words] for i, x in lines.items()}
+    held = {i: {tuple(keys[i][a : b + 1]) for a, b in x} for i, x in stretches.items()}
+    found = {}
+    for i in lines:
+        before = [j for j in lines if j < i]
+        lost = {p for a, b in stretches[i] for p in range(a, b + 1) if any(tuple(keys[i][a : b + 1]) in held[j] for j in before)}
+        for j in partners(i, before, keys, held):
+            there = {key: place for key, place, _ in lines[j]}
+            lost.update(line_dedup.paired_blocks([(place, there[key], n) for key, place, n in lines[i] if key in there], min_words))
+        found[i] = lost
+    return found
+
+
+def first_holders(i, before, keys, held):
+    shared = [[j for j in before if key in keys[j]] for key in keys[i]] + [[j for j in before if run in held[j]] for run in held[i]]
+    return {min(x) for x in shared if x}
+
+
+def test_passages_in_another_order_are_deleted_from_every_later_document(spark):
+    p, q = (" ".join(f"{x}{k}" for k in range(60)) for x in "pq")
+    rows = [(1, f"{q}\nx\n{p}"), (2, f"{p}\ny\n{q}"), (3, f"{p}\ny\n{q}")]
+    found = {r.doc_id: r.text for r in line_dedup.deduplicate_lines(texts_of(spark, rows), find=line_dedup.doomed_by_pairs).collect()}
+    assert found == {1: rows[0][1], 2: "y", 3: ""}
+
+
+def test_line_dedup_by_pairs_random(spark):
+    rng = random.Random(8)
+    pool = [" ".join(f"v{rng.randrange(50)}" for _ in range(rng.randrange(1, 12))) for _ in range(60)]
+    rows = [(k, "\n".join(rng.choice(pool) for _ in range(rng.randrange(9)))) for k in range(90)]
+    for k in range(90, 120):  # texts of passages of earlier ones, in any order
+        parts = [rng.choice(rows)[1].split("\n") for _ in range(3)]
+        rows.append((k, "\n".join(x for part in parts for x in part[rng.randrange(2) :])))
+    found = {r.doc_id: r.n_removed for r in line_dedup.deduplicate_lines(texts_of(spark, rows), 10, line_dedup.doomed_by_pairs).collect()}
+    assert found == {i: len(x) for i, x in paired_lines(rows, 10, first_holders).items()}
+    whole = paired_lines(rows, 10, lambda i, before, keys, held: before)
+    assert all(found[i] <= len(x) for i, x in whole.items()) and sum(found.values()) > 0.9 * sum(map(len, whole.values()))
+
+
 def test_longest_ordered_is_longest():
     rng = random.Random(6)
     for _ in range(200):
