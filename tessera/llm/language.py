@@ -24,8 +24,6 @@ from tessera.llm.common import fold_of, materialize, small_batches
 ORDER = 4
 FOLDS, HELD_OUT = 5, 0
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Most n-grams of all models together (24 bytes each); beyond it the rarest counts are cut, which Kneser-Ney smooths over.
-MODEL_GRAMS = 1_000_000
 KNOWN_WORDS, LONG_WORD = 200_000, 48
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -170,16 +168,9 @@ def gram_counts(train: DataFrame, flush_words: int = 200_000) -> DataFrame:
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(train: DataFrame, model_grams: int = MODEL_GRAMS) -> tuple[list[str], list[list[tuple]], int]:
-    """(languages, their models, alphabet size) from all rows of train."""
-    counts = materialize(gram_counts(train), "grams")
-    least = 1
-    if counts.count() > model_grams:  # the smallest count that keeps the models within their bound
-        sizes = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).count().orderBy(F.desc("n")).collect()
-        kept = np.cumsum([r["count"] for r in sizes])
-        within = [r["n"] for r, k in zip(sizes, kept, strict=True) if k <= model_grams]
-        least = min(within, default=100_000)
-    table: pd.DataFrame = counts.filter(F.col("n") >= least).toPandas()
+def fit(train: DataFrame) -> tuple[list[str], list[list[tuple]], int]:
+    """(languages, their models, alphabet size) from all n-grams of all rows of train, however rare."""
+    table: pd.DataFrame = materialize(gram_counts(train), "grams").toPandas()
     keys = table["gram"].to_numpy(np.int64).view(np.uint64)
     alphabet = len(np.unique(keys & np.uint64(0xFFFF))) + 1
     langs = sorted(table["lang"].unique())

@@ -142,6 +142,17 @@ def test_language_on_awkward_rows(spark, awkward, empty):
     assert language.identify(empty).count() == 0
 
 
+def test_a_small_language_keeps_its_grams_beside_a_large_one(spark):
+    rng = np.random.default_rng(5)
+    letters = rng.integers(0x4E00, 0x9F00, (110, 10_000)).astype("<u4")
+    letters[:, ::11] = 32
+    large = [(k, row.tobytes().decode("utf-32-le"), "zh") for k, row in enumerate(letters)]
+    train = spark.createDataFrame([*large, (1000, "qwxv zzkj", "xx")], "doc_id long, text string, lang string")
+    langs, models, alphabet = language.fit(train)
+    assert langs == ["xx", "zh"] and len(models[1][3][0][0]) > 1_000_000
+    assert [r.lang_pred for r in language.predict(train.filter("doc_id = 1000").select("doc_id", "text"), langs, models, alphabet).collect()] == ["xx"]
+
+
 def test_kneser_ney_sums_to_one():
     words = ["banana", "bandana", "cab", "ab"]
     keys, _ = language.grams_of(words)
