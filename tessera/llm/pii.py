@@ -2,7 +2,8 @@
 
 Only built-in column functions are used.  A span's place comes from the pieces that
 split() leaves between matches: both split() and regexp_extract_all() walk the same
-leftmost, non-overlapping matches.
+leftmost, non-overlapping matches.  Account numbers are proposed from every place where
+one can start, and cut to the part that the check confirms.
 """
 
 from __future__ import annotations
@@ -45,6 +46,16 @@ CONTEXT = {
     "card_short": ("card", "amex", "credit", "payment"),
 }
 CONTEXT_CHARS = 40
+#: Characters of an account number by country (registry of ISO 13616).
+ACCOUNT_CHARS = {
+    k: int(n)
+    for n, codes in (
+        (15, "NO"), (16, "BE"), (18, "DK FI FK FO GL NL SD"), (19, "MK SI"), (20, "AT BA EE KZ LT LU MN XK"), (21, "CH HR LI LV"),
+        (22, "BG BH CR DE GB GE IE ME RS VA"), (23, "AE GI IL IQ OM SO TL"), (24, "AD CZ ES MD PK RO SA SE SK TN VG"), (25, "LY PT ST"), (26, "IS TR"),
+        (27, "BI DJ FR GR IT MC MR SM"), (28, "AL AZ BY CY DO GT HN HU LB NI PL SV"), (29, "BR EG PS QA UA"), (30, "JO KW MU YE"), (31, "MT SC"), (32, "LC"), (33, "RU"),
+    )
+    for k in codes.split()
+}
 SPAN = "struct<s:int,e:int,digits:int,score:double>"
 
 
@@ -104,8 +115,62 @@ def score_of(kind: str, before: Column) -> Column:
     return F.when(hit, 0.95).otherwise(0.6)
 
 
+def _tail(text: Column) -> Column:
+    return F.substring(text, -CONTEXT_CHARS, CONTEXT_CHARS)
+
+
+def account_length(match: Column) -> Column:
+    """Characters of the confirmed number at the start of a candidate, or 0.
+
+    The length of its country counts first, then the whole candidate, then, for codes that
+    the registry doesn't have, the longest part that ends before a blank.
+    """
+    bare = lambda t: F.translate(t, " ", "")
+    part = lambda i: F.substring(match, F.lit(1), i)
+    lengths = F.create_map(*(F.lit(x) for kv in ACCOUNT_CHARS.items() for x in kv))
+    due = F.try_element_at(lengths, F.substring(match, 1, 2))
+    places = F.sequence(F.lit(15), F.greatest(F.length(match), F.lit(15)))
+    fixed = F.try_element_at(F.filter(places, lambda i: (F.length(bare(part(i))) == due) & mod97(bare(part(i)))), F.lit(1))
+    ends = lambda i: due.isNull() & (F.substring(match, i + 1, F.lit(1)) == " ") & (F.length(bare(part(i))) >= 15)
+    other = F.array_max(F.filter(F.filter(places, ends), lambda i: mod97(bare(part(i)))))
+    return F.coalesce(fixed, F.when(mod97(bare(match)), F.length(match)), other, F.lit(0))
+
+
+def find_accounts(text: Column) -> Column:
+    """As find_spans, for account numbers: from every start behind the last confirmed number."""
+    starts = f"(?={PATTERNS['iban']})"
+    found = F.regexp_extract_all(text, F.lit(f"(?=({PATTERNS['iban']}))"), F.lit(1))
+    pieces = F.split(text, starts, -1)
+    pieces = F.when(F.size(pieces) > F.size(found), pieces).otherwise(F.concat(F.array(F.lit("")), pieces))  # no piece stands before a start at 0
+    nothing = F.array().cast(f"array<{SPAN}>")
+
+    def walk(acc: Column, x: Column) -> Column:
+        match, before = x["m"], x["p"]
+        start = acc["pos"] + F.length(before)
+        free = acc["skip"] <= F.length(before)
+        near = _tail(F.concat(acc["tail"], F.substring(before, acc["skip"] + 1, F.length(before))))
+        n = F.when(free & match.isNotNull(), account_length(match)).otherwise(0)
+        span = F.array(F.struct(start.alias("s"), (start + n).alias("e"), F.lit(0).alias("digits"), score_of("iban", near).alias("score")).cast(SPAN))
+        return F.struct(
+            start.cast("int").alias("pos"),
+            F.when(n > 0, n).when(free, 0).otherwise(acc["skip"] - F.length(before)).cast("int").alias("skip"),
+            F.when(n > 0, F.lit("")).otherwise(near).alias("tail"),
+            F.when(n > 0, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"),
+        )
+
+    first = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("skip"), F.lit("").alias("tail"), nothing.alias("spans"))
+    return F.when(HINTS["iban"](text), F.aggregate(F.arrays_zip(found.alias("m"), pieces.alias("p")), first, walk, lambda acc: acc["spans"])).otherwise(nothing)
+
+
 def find_spans(text: Column, kind: str) -> Column:
-    """array of (s, e, digits, score) of the confirmed matches of a kind, in order of place; code points, end exclusive."""
+    """array of (s, e, digits, score) of the confirmed matches of a kind, in order of place; code points, end exclusive.
+
+    Short cards, which are dropped without context, see the 40 characters before them
+    whatever other numbers stand there; for the rest the query's SQL ends the context at the
+    match before of the same kind.
+    """
+    if kind == "iban":
+        return find_accounts(text)
     pattern, valid = PATTERNS[kind], CHECKS[kind]
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.arrays_zip(found.alias("m"), F.split(text, pattern, -1).alias("p"))
@@ -116,12 +181,13 @@ def find_spans(text: Column, kind: str) -> Column:
         start = acc["pos"] + F.length(before)
         end = start + F.coalesce(F.length(match), F.lit(0))
         digits = F.length(_digits(match)) if kind == "card" else F.lit(0)
-        scores = F.when(digits < 16, score_of("card_short", before)).otherwise(score_of("card", before)) if kind == "card" else score_of(kind, before)
+        scores = F.when(digits < 16, score_of("card_short", F.concat(acc["tail"], before))).otherwise(score_of("card", before)) if kind == "card" else score_of(kind, before)
         span = F.struct(start.alias("s"), end.alias("e"), digits.alias("digits"), scores.alias("score")).cast(SPAN)
         spans = F.when(match.isNotNull() & valid(match), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-        return F.struct(end.cast("int").alias("pos"), spans.alias("spans"))
+        tail = _tail(F.concat(acc["tail"], before, F.coalesce(match, F.lit(""))))
+        return F.struct(end.cast("int").alias("pos"), tail.alias("tail"), spans.alias("spans"))
 
-    start = F.struct(F.lit(0).cast("int").alias("pos"), nothing.alias("spans"))
+    start = F.struct(F.lit(0).cast("int").alias("pos"), F.lit("").alias("tail"), nothing.alias("spans"))
     return F.when(HINTS[kind](text), F.aggregate(parts, start, walk, lambda acc: acc["spans"])).otherwise(nothing)
 
 

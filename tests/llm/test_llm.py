@@ -456,6 +456,18 @@ def test_personal_data_equals_the_plain_patterns(spark):
     assert pii.personal_data_digest(docs.limit(0)).count() == 0
 
 
+def test_numbers_beside_others_are_found(spark):
+    german, british = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    texts = [
+        f"IBAN {german} BIC COBADEFFXXX", f"{german} {british} {german}", f"pay {german} 2024", f"AB12 {german}", f"字 ZZ99 ABCD EFGH {british}X", f"{german}",
+        "amex cards 378282246310005, 371449635398431", "DE89 3704 0044 0532 0130 01 BIC COBADEFFXXX",
+    ]
+    found = {r.doc_id: r for r in pii.personal_data(texts_of(spark, list(enumerate(texts)))).collect()}
+    numbers = {i: [texts[i][x.s : x.e] for x in r.iban] for i, r in found.items()}
+    assert numbers == {0: [german], 1: [german, british, german], 2: [german], 3: [german], 4: [british], 5: [german], 6: [], 7: []}
+    assert [texts[6][x.s : x.e] for x in found[6].card_short] == ["378282246310005", "371449635398431"]
+
+
 def test_personal_data_random(spark):
     rng = random.Random(9)
     texts = ["".join(rng.choice("0123456789 -.+@()aB%é\n") for _ in range(rng.randrange(120))) for _ in range(1500)]
