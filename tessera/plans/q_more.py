@@ -195,16 +195,24 @@ def extraction_yardstick(spark: SparkSession, d: str) -> DataFrame:
     return lines.filter(start != "").groupBy("source").agg(F.countDistinct(start).alias("n_rows"))
 
 
+@query("""
+WITH s AS (SELECT p_brand, p_partkey, (CASE WHEN p_type = 'PROMO' THEN 50 ELSE 0 END) + (CASE WHEN contains(p_name, 'red') THEN 30 ELSE 0 END) + (CASE WHEN p_size > 25 THEN 6 ELSE 0 END) AS score FROM part)
+SELECT *, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY score DESC, p_partkey) AS INT) AS place FROM s""")
+def table_ranking(spark: SparkSession, d: str) -> DataFrame:
+    """Every table of a unit with its additive score and place; none is dropped (N05, without the category cascade)."""
+    score = F.when(F.col("p_type") == "PROMO", 50).otherwise(0) + F.when(F.contains("p_name", F.lit("red")), 30).otherwise(0) + F.when(F.col("p_size") > 25, 6).otherwise(0)
+    s = load(spark, d, "part").select("p_brand", "p_partkey", score.alias("score"))
+    w = Window.partitionBy("p_brand").orderBy(F.desc("score"), "p_partkey")
+    return s.withColumn("place", F.row_number().over(w))
+
+
 @query("""
 WITH s AS (SELECT p_brand, p_partkey, (CASE WHEN p_type = 'PROMO' THEN 50 ELSE 0 END) + (CASE WHEN contains(p_name, 'red') THEN 30 ELSE 0 END) + (CASE WHEN p_size > 25 THEN 6 ELSE 0 END) AS score FROM part),
 w AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY score DESC, p_partkey) AS r FROM s)
 SELECT p_brand, p_partkey, score, CAST(r AS INT) AS place FROM w WHERE r <= 3""")
 def table_relevance(spark: SparkSession, d: str) -> DataFrame:
-    """The three most relevant tables of a unit by an additive score."""
-    score = F.when(F.col("p_type") == "PROMO", 50).otherwise(0) + F.when(F.contains("p_name", F.lit("red")), 30).otherwise(0) + F.when(F.col("p_size") > 25, 6).otherwise(0)
-    s = load(spark, d, "part").select("p_brand", "p_partkey", score.alias("score"))
-    w = Window.partitionBy("p_brand").orderBy(F.desc("score"), "p_partkey")
-    return s.withColumn("place", F.row_number().over(w)).filter("place <= 3")
+    """A report of the three first rows of table_ranking per unit; the others are left out."""
+    return table_ranking(spark, d).filter("place <= 3")
 
 
 @query("""
@@ -272,11 +280,20 @@ def bit_names(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", zero.alias("zero"), F.when(zero.rlike("^no "), status).otherwise(zero).alias("chosen"))
 
 
+@query("""
+SELECT o_custkey, o_orderkey, o_orderstatus <> 'O' AS finished, CASE WHEN o_orderstatus = 'O' THEN CAST(count(*) FILTER (o_orderstatus = 'O') OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) END AS place FROM orders""")
+def verification_list(spark: SparkSession, d: str) -> DataFrame:
+    """Every item of each model: open ones with their place, finished ones kept and flagged."""
+    open_ = F.col("o_orderstatus") == "O"
+    n = order.numbered(load(spark, d, "orders"), ["o_custkey"], ["o_orderkey"], open_, "place")
+    return n.select("o_custkey", "o_orderkey", (~open_).alias("finished"), F.col("place").cast("long").alias("place"))
+
+
 @query("""
 WITH a AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place FROM orders WHERE o_orderstatus = 'O')
 SELECT o_custkey, CAST(place AS BIGINT) AS place, o_orderkey FROM a WHERE place <= 5""")
 def verification_queue(spark: SparkSession, d: str) -> DataFrame:
-    """The first five open items of each model."""
+    """A report of the first five open items of each model; verification_list has all."""
     n = order.numbered(load(spark, d, "orders").filter("o_orderstatus = 'O'"), ["o_custkey"], ["o_orderkey"], F.lit(True), "place")
     return n.filter("place <= 5").select("o_custkey", F.col("place").cast("long").alias("place"), "o_orderkey")
 

@@ -17,3 +17,8 @@ def test_entry_has_rows(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name,table", [("verification_list", "orders"), ("table_ranking", "part")])
+def test_no_row_is_left_out(spark, sf_dir, name, table):
+    assert QUERIES[name](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
