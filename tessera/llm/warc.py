@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import join_dimension, materialize, scratch, small_batches
-from tessera.llm.shards import Committed, one_task_each, range_sorted, store_of
+from tessera.llm.shards import Committed, new_folder, one_task_each, range_sorted, store_of
 
 MIN_REVISIT_BYTES = 100
 FILE_BYTES = 64 << 20
@@ -126,9 +126,11 @@ def mark_revisits(pages: DataFrame) -> DataFrame:
 def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write one record per row in ascending page_id order; the manifest, as a written table.
 
-    Null html counts as empty; null page_ids come first; an empty table gives no file.
+    Null html counts as empty; null page_ids come first; an empty table gives no file.  The
+    folder must be new.
     """
     small_batches(pages.sparkSession, 200)
+    new_folder(folder)
 
     def write(batches):
         part, file, n, count, rows = TaskContext.get().partitionId(), None, 0, 0, []

@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, language, line_dedup, mixing, near_duplicates, pii, quality_classifier, quality_rules, textstats, tokens, warc
+from tessera.llm import decontamination, language, line_dedup, mixing, near_duplicates, pii, quality_classifier, quality_rules, shards, textstats, tokens, warc
 from tessera.llm.common import WORD, join_dimension
 from tessera.llm.components import components
 from tessera.llm.queries import ORACLES, QUERIES, tokenizer_path
@@ -67,10 +67,10 @@ def labels_of(spark, rows):
 # ---------------------------------------------------------------- token shards
 
 
-def expected_ids(texts):
+def expected_ids(texts, name="word_bpe_49k.json"):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer_path())
+    t = Tokenizer.from_file(tokenizer_path(name))
     return [t.encode(x or "", add_special_tokens=False).ids + [1] for x in texts]
 
 
@@ -102,6 +102,42 @@ def test_word_encoder_is_the_tokenizer(text):
     assert found == expected_ids([text])[0][:-1]
 
 
+def test_two_tokenizers_in_one_session(spark, awkward):
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json", "word_bpe_49k.json"):
+        found = Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in tokens.tokenize(awkward, tokenizer_path(name)).collect())
+        expected = zip(AWKWARD, expected_ids((r[1] for r in AWKWARD), name), strict=True)
+        assert found == Counter((r[0], len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for r, ids in expected)
+
+
+def test_texts_longer_than_a_stretch(monkeypatch):
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        encoder = tokens.WordEncoder(f.read())
+    rng = random.Random(3)
+    pieces = ["Ab", "é", "字", "###", "x,", "don't", "<|endoftext|>", "<|ENDOFTEXT|>.", "12", "ß!!", "a" * 9000, "..", "!" * 40 + "a", "É" + "?" * 40]
+    texts = ["".join(rng.choice(pieces) + rng.choice(["", " ", "\n", "\t\t"]) for _ in range(400)) for _ in range(12)] + [None, " " * 9000, ""]
+    expected = [ids[:-1] for ids in expected_ids(texts)]
+    for size in (5000, 50_000, 8 << 20):
+        monkeypatch.setattr(tokens, "SLICE_BYTES", size)
+        ids, bounds = encoder.encode_column(pa.array(texts, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == expected
+
+
+def test_a_committed_file_outlives_later_attempts(tmp_path):
+    def attempt():
+        file = shards.Committed(str(tmp_path), "a")
+        file.write(b"whole")
+        return file
+
+    attempt().commit()
+    first = (tmp_path / "a").stat().st_ino
+    attempt().out.close()  # killed before its commit: only a temporary file is left
+    attempt().commit()
+    assert (tmp_path / "a").stat().st_ino == first and (tmp_path / "a").read_bytes() == b"whole"
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".tmp")] == ["a"]
+    with pytest.raises(FileExistsError):
+        shards.new_folder(str(tmp_path))
+
+
 def test_shards_read_single_documents_and_notice_damage(tmp_path):
     writer = tokens.ShardWriter(tokens.Committed(str(tmp_path), "a.zst"))
     given_ids = {k: np.arange(k * 7, k * 7 + n, dtype="<u4") for k, n in enumerate([3, 0, 50_000, 1, 3_000_000, 2])}
