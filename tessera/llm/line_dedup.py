@@ -1,24 +1,25 @@
 """Line deduplication by aligning overlapping documents.
 
-The query pairs a later document with the first holder of each of its lines and of each of
-its runs: a run is the shortest stretch of consecutive lines from or up to a line that has
-enough words.  So n documents that share a line give n - 1 pairs, not n squared.  Each pair
-is aligned on all lines that both hold, as patience diff does it: the k-th occurrence of a
-line in one text answers the k-th in the other, and the longest run of answers in the same
-order in both is the alignment.  Aligned lines that follow each other in the later document
-form blocks, pair by pair; blocks of enough words are deleted from it.  A run that any
-earlier document holds is deleted whatever the alignment, so passages in another order go
-too, and of the lines that stand together in an earlier document none is missed.
-
-doomed_lines is the simpler rule of the first holders of lines alone.
+1. Lines with a word get a 128-bit digest; a line that only one document holds can't be part
+   of a common block and is left behind here.
+2. What remains of a document falls into stretches of lines that follow each other.  Each
+   stretch is covered by runs: the shortest ones from each line on, and up to each line, that
+   have enough words.  Every common block of two documents is a union of runs that both hold.
+3. A run is known by the rarest of its lines and the digest of all of them.  Documents meet
+   where they share such a rare line and the run around it; each later one is paired with the
+   first holder, so n documents that share a passage give n - 1 pairs, not n squared.  A line
+   that very many documents hold makes no pair but inside a run, and loses none.
+4. Each pair is aligned as patience diff does it: matched runs in the later document's order,
+   the longest sequence whose places in the earlier document ascend.  Runs are contiguous in
+   both documents and of one pair; those of the alignment are deleted from the later document,
+   and by default those that stand in another order in the earlier one too.
 """
 
 from __future__ import annotations
 
-from array import array
 from bisect import bisect_left
-from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,55 +28,27 @@ from pyspark.sql import functions as F
 from tessera.llm.common import SPACE_CHARS, WORD, materialize, small_batches
 
 MIN_BLOCK_WORDS = 20
-LINES = "doc_id long, key long, place int, n_words int"
-RUN_SEED = (1 << 63) + 1
+LINES = "doc_id long, text_id long, key long, check long, place int, n_words int"
+RUNS = "doc_id long, text_id long, rare long, run long, run_check long, first int, last int"
 
 
-def line_key(line: str, occurrence: int) -> int:
-    """Signed 64-bit hash of a stripped line and how often it stood before in its text."""
-    h = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"), seed=occurrence)
-    return h - (1 << 64) if h >> 63 else h
+def text_lines(text: str | None) -> list[tuple[bytes, int]]:
+    """(digest of 16 bytes, words) of the lines with a word, in order; blanks around a line don't count."""
+    bare = (line.strip(SPACE_CHARS) for line in (text or "").split("\n"))
+    return [(xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")), len(WORD.findall(x))) for x in bare if x]
 
 
-def text_lines(text: str | None) -> list[tuple[int, int, int]]:
-    """(key, place, words) of the lines with a word; place counts such lines from 0."""
-    seen: dict[str, int] = {}
-    found = []
-    for line in (text or "").split("\n"):
-        bare = line.strip(SPACE_CHARS)
-        if bare:
-            k = seen.get(bare, 0)
-            seen[bare] = k + 1
-            found.append((line_key(bare, k), len(found), len(WORD.findall(bare))))
-    return found
-
-
-def text_runs(lines: list[tuple[int, int, int]], min_words: int) -> list[tuple[int, int, int]]:
-    """(key, first place, last place) of the shortest runs of at least min_words words from each line on and up to each line.
-
-    Together they cover every longer run: its lines lie in one of those that it holds whole.
-    """
-    ends: set[tuple[int, int]] = set()
-    first, words = 0, 0
-    for last, (_, _, n) in enumerate(lines):  # up to each line
-        words += n
-        while first < last and words - lines[first][2] >= min_words:
-            words -= lines[first][2]
-            first += 1
-        if words >= min_words:
-            ends.add((first, last))
-    last, words = -1, 0
-    for first, (_, _, n) in enumerate(lines):  # from each line on
-        while last + 1 < len(lines) and (words < min_words or last < first):
-            last += 1
-            words += lines[last][2]
-        if words < min_words:
-            break
-        ends.add((first, last))
-        words -= n
-    keys = array("q", [key for key, _, _ in lines]).tobytes()
-    hashes = ((xxhash.xxh64_intdigest(keys[8 * a : 8 * b + 8], seed=RUN_SEED), a, b) for a, b in sorted(ends))
-    return [(h - (1 << 64) if h >> 63 else h, a, b) for h, a, b in hashes]
+def run_bounds(stretch: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) of the shortest runs of at least min_words words from each line on and up to each line, inside one stretch."""
+    n = len(words)
+    upto = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    every = np.arange(n)
+    last = np.searchsorted(upto, upto[:-1] + min_words) - 1
+    first = np.searchsorted(upto, upto[1:] - min_words, "right") - 1
+    ahead = (last < n) & (stretch[np.minimum(last, n - 1)] == stretch)
+    back = (first >= 0) & (stretch[np.maximum(first, 0)] == stretch)
+    both = np.unique(np.concatenate([every[ahead] * n + last[ahead], first[back] * n + every[back]]))
+    return both // n, both % n
 
 
 def longest_ordered(places: list[int]) -> list[int]:
@@ -98,98 +71,94 @@ def longest_ordered(places: list[int]) -> list[int]:
     return chain[::-1]
 
 
-def aligned_blocks(shared: list[tuple[int, int, int, int]], min_words: int) -> list[int]:
-    """Places to delete from a later text, from its shared lines (place, owner, place in the owner, words)."""
+def aligned_places(matches: list[tuple[int, int, int, int]]) -> tuple[set[int], set[int]]:
+    """(places of blocks that the alignments hold, all places of matched runs) of a later text.
+
+    matches: (owner, first, last, first place in the owner) of its matched runs.
+    """
     pairs: dict[int, list[tuple[int, int, int]]] = {}
-    for place, owner, there, words in sorted(shared):
-        pairs.setdefault(owner, []).append((place, there, words))
-    aligned: dict[int, int] = {}
-    for lines in pairs.values():
-        for k in longest_ordered([there for _, there, _ in lines]):
-            aligned[lines[k][0]] = lines[k][2]
-    doomed: list[int] = []
-    block: list[int] = []
-    for place in [*sorted(aligned), -1]:
-        if block and place != block[-1] + 1:
-            if sum(aligned[p] for p in block) >= min_words:
-                doomed += block
-            block = []
-        block.append(place)
-    return doomed
-
-
-def shared_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, shared (place, owner, place in the owner, words) of every document that holds a line of an earlier one."""
+    for owner, first, last, there in sorted(matches):
+        pairs.setdefault(owner, []).append((first, last, there))
+    aligned: set[int] = set()
+    matched: set[int] = set()
+    for runs in pairs.values():
+        for k in longest_ordered([there for _, _, there in runs]):
+            aligned.update(range(runs[k][0], runs[k][1] + 1))
+        for first, last, _ in runs:
+            matched.update(range(first, last + 1))
+    return aligned, matched
+
+
+def document_lines(docs: DataFrame) -> DataFrame:
+    """The lines with a word of every text, as a written table.  text_id tells texts of one doc_id apart."""
     small_batches(docs.sparkSession)
 
     def cut(batches):
         for batch in batches:
-            ids, keys, places, words = [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for key, place, n in text_lines(text):
-                    ids.append(doc_id)
-                    keys.append(key)
-                    places.append(place)
-                    words.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(places, pa.int32()), pa.array(words, pa.int32())], ["doc_id", "key", "place", "n_words"])
-
-    lines = materialize(docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(cut, LINES), "lines")
-    owners = lines.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.max("doc_id").alias("last")).filter(F.col("last") > F.col("first.doc_id"))
-    owners = materialize(owners.select("key", F.col("first.doc_id").alias("owner"), F.col("first.place").alias("there")), "owners")
-    # Spark splits the partitions of lines that very many documents hold: nothing above the join needs a line's rows together.
-    hits = lines.join(owners, "key").filter(F.col("doc_id") > F.col("owner"))
-    return hits.groupBy("doc_id").agg(F.collect_set(F.struct("place", "owner", "there", "n_words")).alias("shared"))
-
-
-def doomed_lines(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame:
-    """doc_id, doomed (places of lines to delete) of the documents that lose any, as a written table."""
-
-    def align(batches):
+            found = [text_lines(t) for t in batch.column(2).to_pylist()]
+            counts = np.array([len(x) for x in found], np.int64)
+            owner = np.repeat(np.arange(batch.num_rows), counts)
+            digests = np.frombuffer(b"".join(d for x in found for d, _ in x), np.int64).reshape(-1, 2)
+            places = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+            words = np.array([n for x in found for _, n in x], np.int32)
+            columns = [batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)), pa.array(digests[:, 0]), pa.array(digests[:, 1])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(places.astype(np.int32)), pa.array(words)], ["doc_id", "text_id", "key", "check", "place", "n_words"])
+
+    rows = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
+    return materialize(rows.mapInArrow(cut, LINES), "lines")
+
+
+def shared_runs(lines: DataFrame, min_words: int) -> DataFrame:
+    """The runs of every text from lines that two documents or more hold, as a written table."""
+    of_line = lines.groupBy("key", "check").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("holders"))
+    shared = materialize(of_line.filter(F.col("low") < F.col("high")).select("key", "check", "holders"), "shared")
+    # Spark splits the partitions of lines that very many documents hold; the next exchange deals by text.
+    held = lines.join(shared, ["key", "check"]).groupBy("doc_id", "text_id").agg(F.collect_set(F.struct("place", "n_words", "key", "check", "holders")).alias("lines"))
+
+    def runs(batches):
         for batch in batches:
-            found = [aligned_blocks([(r["place"], r["owner"], r["there"], r["n_words"]) for r in rows], min_words) for rows in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "doomed"])
-
-    return materialize(shared_lines(docs).mapInArrow(align, "doc_id long, doomed array<int>").filter(F.size("doomed") > 0), "doomed")
-
-
-def paired_blocks(shared: list[tuple[int, int, int]], min_words: int) -> list[int]:
-    """Places to delete from a later text, from the lines it shares with one earlier text (place, place in the earlier, words)."""
-    return aligned_blocks([(place, 0, there, words) for place, there, words in shared], min_words)
-
-
-def doomed_by_pairs(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame:
-    """doc_id, doomed (places of lines to delete) from the alignment of pairs and from shared runs, as a written table."""
-    small_batches(docs.sparkSession)
-
-    def cut(batches):
-        for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                lines = text_lines(text)
-                rows += [(doc_id, key, place, None, n) for key, place, n in lines]
-                rows += [(doc_id, key, first, last, 0) for key, first, last in text_runs(lines, min_words)]
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "key", "place", "last", "n_words"])
+            lists = batch.column(2)
+            of = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            fields = lists.flatten()
+            place, words, key, check, holders = (fields.field(k).to_numpy() for k in range(5))
+            order = np.lexsort((place, of))
+            of, place, words, key, check, holders = (x[order] for x in (of, place, words, key, check, holders))
+            new = np.ones(len(of), bool)
+            new[1:] = (of[1:] != of[:-1]) | (place[1:] != place[:-1] + 1)
+            first, last = run_bounds(np.cumsum(new), words, min_words) if len(of) else (of, of)
+            content = np.stack([key, check], axis=1).tobytes()
+            digests = b"".join(xxhash.xxh3_128_digest(content[16 * a : 16 * b + 16]) for a, b in zip(first.tolist(), last.tolist(), strict=True))
+            rare = [min(zip(holders[a : b + 1].tolist(), key[a : b + 1].tolist(), strict=True))[1] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+            pairs = np.frombuffer(digests, np.int64).reshape(-1, 2)
+            texts = pa.array(of[first])
+            columns = [batch.column(0).take(texts), batch.column(1).take(texts), pa.array(rare, pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(place[first].astype(np.int32)), pa.array(place[last].astype(np.int32))], ["doc_id", "text_id", "rare", "run", "run_check", "first", "last"]
+            )
+
+    return materialize(held.mapInArrow(runs, RUNS), "runs")
+
+
+def common_blocks(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS, moved: bool = True) -> DataFrame:
+    """doc_id, text_id, doomed (places of lines to delete) and n_moved (those outside the alignments' order), as a written table."""
+    runs = shared_runs(document_lines(docs), min_words)
+    meeting = ["rare", "run", "run_check"]
+    first = runs.groupBy(*meeting).agg(F.min(F.struct("doc_id", "text_id", "first")).alias("holder"), F.max("doc_id").alias("latest"))
+    first = first.filter(F.col("latest") > F.col("holder.doc_id")).select(*meeting, F.col("holder.doc_id").alias("owner"), F.col("holder.first").alias("there"))
+    # As above, Spark splits the partitions of runs that very many documents hold; what follows is dealt by text.
+    matched = runs.join(materialize(first, "holders"), meeting).filter(F.col("doc_id") > F.col("owner"))
+    texts = matched.groupBy("doc_id", "text_id").agg(F.collect_set(F.struct("owner", "first", "last", "there")).alias("matches"))
 
     def align(batches):
         for batch in batches:
-            found = [paired_blocks([(r["place"], r["there"], r["n_words"]) for r in rows], min_words) for rows in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "doomed"])
-
-    parts = materialize(docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(cut, "doc_id long, key long, place int, last int, n_words int"), "runs")
-    owners = parts.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("top")).filter(F.col("top") > F.col("owner"))
-    owners = materialize(owners.select("key", "owner"), "owners")
-    # As above, Spark splits the hot partitions of these joins: what follows is dealt out anew.
-    hits = materialize(parts.join(owners, "key").filter(F.col("doc_id") > F.col("owner")).select("doc_id", "place", "last", "owner"), "hits")
-    lines = parts.filter("last is null").select("doc_id", "key", "place", "n_words")
-    earlier = lines.select(F.col("doc_id").alias("owner"), "key", F.col("place").alias("there"))
-    shared = hits.select("doc_id", "owner").distinct().join(lines, "doc_id").join(earlier, ["owner", "key"])
-    pairs = shared.groupBy("doc_id", "owner").agg(F.collect_set(F.struct("place", "there", "n_words")).alias("shared"))
-    blocks = pairs.select("doc_id", "shared").mapInArrow(align, "doc_id long, doomed array<int>").filter(F.size("doomed") > 0)
-    runs = hits.filter("last is not null").select("doc_id", F.sequence("place", "last").alias("doomed"))
-    places = blocks.unionByName(runs).select("doc_id", F.explode("doomed").alias("place"))
-    return materialize(places.groupBy("doc_id").agg(F.collect_set("place").alias("doomed")), "doomed")
+            rows = []
+            for matches in batch.column(2).to_pylist():
+                aligned, every = aligned_places([(m["owner"], m["first"], m["last"], m["there"]) for m in matches])
+                rows.append((sorted(every if moved else aligned), len(every) - len(aligned) if moved else 0))
+            columns = [batch.column(0), batch.column(1), pa.array([x for x, _ in rows], pa.list_(pa.int32())), pa.array([n for _, n in rows], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "doomed", "n_moved"])
+
+    return materialize(texts.mapInArrow(align, "doc_id long, text_id long, doomed array<int>, n_moved long"), "doomed")
 
 
 def without_lines(text: str, doomed: list[int]) -> tuple[str, int]:
@@ -206,29 +175,34 @@ def without_lines(text: str, doomed: list[int]) -> tuple[str, int]:
     return "\n".join(kept), words
 
 
-def deduplicate_lines(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS, find: Callable[[DataFrame, int], DataFrame] = doomed_lines) -> DataFrame:
-    """doc_id, text without the deleted blocks, n_lines, n_removed and removed_words of every row of docs (doc_id, text).
+def deduplicate_lines(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS, moved: bool = True) -> DataFrame:
+    """doc_id, text without the deleted blocks, n_lines, n_removed, n_moved and removed_words of every row of docs (doc_id, text).
 
-    find: the rule, doomed_by_pairs or doomed_lines.  n_lines counts lines with a word
-    before.  By pairs, a copy of an earlier document loses all its lines if it has min_words
-    words; blank lines stay.  Null and empty texts have no line and stay as they are.
-    Repeated rows of one doc_id are one document: they own lines together and lose the same
-    lines.  A row whose doc_id is null has no place in the order and stays whole.
+    A line goes if it lies in a block of at least min_words words, contiguous lines here and in
+    some document with a smaller doc_id; with moved=False only if the block also lies in the
+    alignment with the first holder of it.  n_lines counts lines with a word before, n_moved the
+    deleted lines outside the alignments.  So a copy of an earlier document loses all its lines
+    if it has min_words words; blank lines stay.  Null and empty texts have no line and stay as
+    they are.  Rows of one doc_id are never compared with each other: equal ones lose the same
+    lines, different texts of one doc_id are judged each.  A row whose doc_id is null has no
+    place in the order and stays whole.  Lines are compared by digests of 128 bits.
     """
-    doomed = find(docs, min_words).withColumnRenamed("doc_id", "__id")
+    doomed = common_blocks(docs, min_words, moved).select(F.col("doc_id").alias("other_id"), F.col("text_id").alias("other_text"), "doomed", "n_moved")
     small_batches(docs.sparkSession)
 
     def cut(batches):
         for batch in batches:
             rows = []
-            for text, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, places, n in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
                 lines = sum(1 for x in (text or "").split("\n") if x.strip(SPACE_CHARS))
                 left, words = without_lines(text, places) if text and places else (text, 0)
-                rows.append((left, lines, len(places or []), words))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["doc_id", "text", "n_lines", "n_removed", "removed_words"])
+                rows.append((left, lines, len(places or []), n or 0, words))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            kinds = [pa.string(), *[pa.int64()] * 4]
+            arrays = [batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text", "n_lines", "n_removed", "n_moved", "removed_words"])
 
     # The deleted places grow with the corpus: the join is by sorting whatever their size, so its cost is in proportion.
-    both = docs.select("doc_id", "text").join(doomed.hint("merge"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "doomed")
-    return both.mapInArrow(cut, "doc_id long, text string, n_lines long, n_removed long, removed_words long")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_id"))
+    both = rows.join(doomed.hint("merge"), (F.col("doc_id") == F.col("other_id")) & (F.col("text_id") == F.col("other_text")), "left")
+    return both.select("doc_id", "text", "doomed", "n_moved").mapInArrow(cut, "doc_id long, text string, n_lines long, n_removed long, n_moved long, removed_words long")

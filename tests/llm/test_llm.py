@@ -514,85 +514,78 @@ def test_personal_data_random(spark):
 # ---------------------------------------------------------------- line deduplication
 
 
-def brute_lines(rows, min_words):
-    texts = dict(rows)
-    first = {}
-    for i in sorted(k for k in texts if k is not None):
-        for key, place, _ in line_dedup.text_lines(texts[i]):
-            first.setdefault(key, (i, place))
-    found = {}
-    for i, t in rows:
-        if i is None:
-            continue
-        shared = [(place, *first[key], n) for key, place, n in line_dedup.text_lines(t) if first[key][0] != i]
-        found[i] = line_dedup.aligned_blocks(shared, min_words)
+def brute_removed(rows, min_words):
+    """Lines lost per row: every line in a stretch of min_words words that some earlier document holds as a stretch too."""
+    lines = [[" ".join(x.split(" ")).strip(" \t\n\x0b\f\r") for x in (t or "").split("\n") if x.strip(" \t\n\x0b\f\r")] for _, t in rows]
+
+    def stretches(k):
+        x = lines[k]
+        return [(a, b) for a in range(len(x)) for b in range(a, len(x)) if sum(len(WORD.findall(y)) for y in x[a : b + 1]) >= min_words]
+
+    held = [{tuple(lines[k][a : b + 1]) for a, b in stretches(k)} for k in range(len(rows))]
+    found = Counter()
+    for k, (i, _) in enumerate(rows):
+        before = [j for j, (other, _) in enumerate(rows) if i is not None and other is not None and other < i]
+        lost = {p for a, b in stretches(k) if any(tuple(lines[k][a : b + 1]) in held[j] for j in before) for p in range(a, b + 1)}
+        found[(i, len(lines[k]), len(lost))] += 1
     return found
 
 
+def removed_lines(df, min_words=line_dedup.MIN_BLOCK_WORDS):
+    return Counter((r.doc_id, r.n_lines, r.n_removed) for r in line_dedup.deduplicate_lines(df, min_words).collect())
+
+
 def test_line_blocks_are_deleted_from_later_documents(spark):
     passage = ["the shared passage has many words in its first line " * 3, "and a second line that follows it"]
     rows = [
         (1, "own words one\n" + "\n".join(passage) + "\nend one"), (2, "start two\n" + "\n".join(passage) + "\nmiddle two\nend one"),
         (3, "\n\n" + passage[1] + "\nshort"), (4, "\n".join(passage[::-1])), (5, None), (6, ""), (None, "\n".join(passage)), (7, "end one\nshort\nown words one"),
-        (8, passage[0] + "\n" + passage[0]), (9, passage[0] + "\n" + passage[0]),
+        (8, passage[0] + "\n" + passage[0]), (9, passage[0] + "\n" + passage[0]), (9, passage[0] + "\n" + passage[0]), (9, "another text " * 11), (10, "x\n" + "another text " * 11),
     ]
     found = {r.doc_id: r for r in line_dedup.deduplicate_lines(texts_of(spark, rows)).collect()}
-    truth = brute_lines(rows, line_dedup.MIN_BLOCK_WORDS)
-    assert {i: r.n_removed for i, r in found.items() if i is not None} == {i: len(v) for i, v in truth.items()}
+    assert removed_lines(texts_of(spark, rows)) == brute_removed(rows, line_dedup.MIN_BLOCK_WORDS)
     assert found[1].text == rows[0][1] and found[2].text == "start two\nmiddle two\nend one"
     assert found[3].n_removed == 0 and found[7].n_removed == 0 and found[5].text is None and found[None].text == rows[6][1]
-    assert found[9].text == "" and found[8].n_removed == 1
+    assert found[8].text == "" and found[10].text == "x"
     assert line_dedup.deduplicate_lines(texts_of(spark, [])).count() == 0
 
 
-def test_line_dedup_random(spark):
-    rng = random.Random(4)
-    pool = [" ".join(f"v{rng.randrange(50)}" for _ in range(rng.randrange(1, 12))) for _ in range(60)]
-    rows = [(k, "\n".join(rng.choice(pool) for _ in range(rng.randrange(12)))) for k in range(120)]
-    found = {r.doc_id: r.n_removed for r in line_dedup.deduplicate_lines(texts_of(spark, rows), 10).collect()}
-    assert found == {i: len(v) for i, v in brute_lines(rows, 10).items()}
-
-
-def paired_lines(rows, min_words, partners):
-    """Places lost per document: runs that any earlier document holds, and blocks of the alignment with each of its partners."""
-    lines = {i: line_dedup.text_lines(t) for i, t in rows}
-    keys = {i: [key for key, _, _ in x] for i, x in lines.items()}
-    stretches = {i: [(a, b) for a in range(len(x)) for b in range(a, len(x)) if sum(n for _, _, n in x[a : b + 1]) >= min_words] for i, x in lines.items()}
-    held = {i: {tuple(keys[i][a : b + 1]) for a, b in x} for i, x in stretches.items()}
-    found = {}
-    for i in lines:
-        before = [j for j in lines if j < i]
-        lost = {p for a, b in stretches[i] for p in range(a, b + 1) if any(tuple(keys[i][a : b + 1]) in held[j] for j in before)}
-        for j in partners(i, before, keys, held):
-            there = {key: place for key, place, _ in lines[j]}
-            lost.update(line_dedup.paired_blocks([(place, there[key], n) for key, place, n in lines[i] if key in there], min_words))
-        found[i] = lost
-    return found
-
-
-def first_holders(i, before, keys, held):
-    shared = [[j for j in before if key in keys[j]] for key in keys[i]] + [[j for j in before if run in held[j]] for run in held[i]]
-    return {min(x) for x in shared if x}
+def test_blocks_are_contiguous_in_both_documents_of_a_pair(spark):
+    line = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    a, b, c, d = (line(x, 12) for x in "abcd")
+    far = [f"own {k}" for k in range(40)]
+    rows = [
+        (1, f"x1\n{a}\ny1"), (2, f"x2\n{b}\ny2"), (3, f"x3\n{a}\n{b}\ny3"),  # half of the block from each of two documents
+        (11, "\n".join([c, *far, d])), (12, f"{c}\n{d}"), (13, f"z\n{c}\n{d}"),  # far apart in 11, together in 12 and 13
+        (21, "\n".join(line(x, 15) for x in "rqp")), (22, "\n".join(line(x, 15) for x in "pqr")), (23, "\n".join(line(x, 15) for x in "pqr")),
+    ]
+    found = {r.doc_id: r.n_removed for r in line_dedup.deduplicate_lines(texts_of(spark, rows)).collect()}
+    assert found == {1: 0, 2: 0, 3: 0, 11: 0, 12: 0, 13: 2, 21: 0, 22: 0, 23: 3}
 
 
 def test_passages_in_another_order_are_deleted_from_every_later_document(spark):
     p, q = (" ".join(f"{x}{k}" for k in range(60)) for x in "pq")
-    rows = [(1, f"{q}\nx\n{p}"), (2, f"{p}\ny\n{q}"), (3, f"{p}\ny\n{q}")]
-    found = {r.doc_id: r.text for r in line_dedup.deduplicate_lines(texts_of(spark, rows), find=line_dedup.doomed_by_pairs).collect()}
-    assert found == {1: rows[0][1], 2: "y", 3: ""}
+    df = texts_of(spark, [(1, f"{q}\nx\n{p}"), (2, f"{p}\ny\n{q}"), (3, f"{p}\ny\n{q}")])
+    found = {r.doc_id: r for r in line_dedup.deduplicate_lines(df).collect()}
+    assert {i: r.text for i, r in found.items()} == {1: f"{q}\nx\n{p}", 2: "y", 3: ""} and found[2].n_moved == 1
+    aligned = {r.doc_id: r.n_removed for r in line_dedup.deduplicate_lines(df, moved=False).collect()}
+    assert aligned[1] == 0 and aligned[2] == 1
 
 
-def test_line_dedup_by_pairs_random(spark):
+def test_line_dedup_random(spark):
     rng = random.Random(8)
-    pool = [" ".join(f"v{rng.randrange(50)}" for _ in range(rng.randrange(1, 12))) for _ in range(60)]
-    rows = [(k, "\n".join(rng.choice(pool) for _ in range(rng.randrange(9)))) for k in range(90)]
-    for k in range(90, 120):  # texts of passages of earlier ones, in any order
+    pool = [" ".join(f"v{rng.randrange(50)}" for _ in range(rng.randrange(1, 12))) for _ in range(60)] + ["}", "a", "}"] * 8
+    rows = [(k, "\n".join(rng.choice(pool) for _ in range(rng.randrange(12)))) for k in range(90)]
+    for k in range(90, 140):  # texts of passages of earlier ones, in any order
         parts = [rng.choice(rows)[1].split("\n") for _ in range(3)]
         rows.append((k, "\n".join(x for part in parts for x in part[rng.randrange(2) :])))
-    found = {r.doc_id: r.n_removed for r in line_dedup.deduplicate_lines(texts_of(spark, rows), 10, line_dedup.doomed_by_pairs).collect()}
-    assert found == {i: len(x) for i, x in paired_lines(rows, 10, first_holders).items()}
-    whole = paired_lines(rows, 10, lambda i, before, keys, held: before)
-    assert all(found[i] <= len(x) for i, x in whole.items()) and sum(found.values()) > 0.9 * sum(map(len, whole.values()))
+    rows += [(7, rows[100][1]), (110, rows[20][1]), (None, rows[3][1]), (300, rows[139][1]), (300, rows[139][1])]
+    for size in (10, 20):
+        assert removed_lines(texts_of(spark, rows), size) == brute_removed(rows, size)
+
+
+def test_line_dedup_on_awkward_rows(spark, awkward):
+    assert removed_lines(awkward) == brute_removed([(i, t) for i, t, _, _ in AWKWARD], line_dedup.MIN_BLOCK_WORDS)
 
 
 def test_longest_ordered_is_longest():
