@@ -7,14 +7,18 @@ sets are similar, so
 
 1. documents with equal sets form a class, and one of each class goes on;
 2. bands of registers put similar documents into common buckets;
-3. in each bucket everyone is paired with the most central member, pairs whose joint
-   likelihood rules out the threshold are dropped, the rest is confirmed on full sets;
-4. buckets that still hold several components are searched for all remaining plausible
-   pairs, block by block, and those are compared on full sets in place;
-5. components of the confirmed links give the result.
-
-Step 3 is linear in the bucket sizes and connects nearly everything; step 4 makes sure
-that no link between different components is lost.
+3. in each bucket everyone is paired with the most central member, and pairs whose joint
+   likelihood rules out the threshold are dropped;
+4. in buckets that would still hold several components if all these pairs were links, all
+   further plausible pairs of different components are looked for, on registers;
+5. the full sets of all documents of plausible pairs are made in one pass over the texts;
+6. the pairs of step 3 are confirmed on full sets, and plausible pairs between different
+   components of the confirmed links are compared on full sets, bucket by bucket;
+7. components of the confirmed links give the result.
+
+Step 3 is linear in the bucket sizes and connects nearly everything.  In steps 4 and 6 the
+largest component of a bucket is never compared with itself: its members meet the others
+alone, block by block.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BROADCAST_ROWS, materialize, small_batches
+from tessera.llm.common import materialize, small_batches
 from tessera.llm.components import components
 from tessera.llm.shingles import batch_words, mix, text_shingles
 
@@ -57,9 +61,10 @@ def registers_of(elements: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarr
 
 
 def bucket_keys(registers: np.ndarray) -> np.ndarray:
-    """One 64-bit bucket key per band."""
-    packed = registers[: BANDS * BAND_WIDTH].astype(np.uint64).reshape(BANDS, BAND_WIDTH) << np.array([0, 16, 32, 48], np.uint64)
-    return mix(packed.sum(axis=1, dtype=np.uint64) ^ mix(np.arange(1, BANDS + 1, dtype=np.uint64)))
+    """One 64-bit bucket key per band, of one sketch or of rows of sketches."""
+    bands = registers[..., : BANDS * BAND_WIDTH].astype(np.uint64).reshape(*registers.shape[:-1], BANDS, BAND_WIDTH)
+    packed = (bands << np.array([0, 16, 32, 48], np.uint64)).sum(axis=-1, dtype=np.uint64)
+    return mix(packed ^ mix(np.arange(1, BANDS + 1, dtype=np.uint64)))
 
 
 def estimate(more: np.ndarray, less: np.ndarray, n_u: np.ndarray, n_v: np.ndarray) -> np.ndarray:
@@ -119,17 +124,21 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, elements (sorted hashes as bytes) of the documents in ids (one column, id)."""
-    few = ids.count() <= BROADCAST_ROWS
-    wanted = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    """id, elements (sorted hashes as bytes) of every text of the documents in ids (one column, id), as a written table.
+
+    The texts are dealt by id whatever the number of ids, so the cost is in proportion.
+    """
+    rows = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
+    wanted = rows.join(ids.hint("shuffle_hash"), "id", "left_semi")
 
     def sets(batches):
         for batch in batches:
             words, bounds = batch_words(batch.column(1))
-            rows = [np.unique(text_shingles(words[bounds[k] : bounds[k + 1]])).tobytes() for k in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(rows, pa.binary())], ["id", "elements"])
+            found = [np.unique(text_shingles(words[bounds[k] : bounds[k + 1]])).tobytes() for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "elements"])
 
-    return materialize(wanted.mapInArrow(sets, "id long, elements binary").dropDuplicates(["id"]), "sets")
+    found = wanted.mapInArrow(sets, "id long, elements binary").filter(F.length("elements") > 0)
+    return materialize(found.withColumn("digest", F.xxhash64("elements")).dropDuplicates(["id", "digest"]).drop("digest"), "sets")
 
 
 def similar(x, y, percent: int) -> bool:
@@ -140,10 +149,8 @@ def similar(x, y, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are as similar as the threshold, as a written table."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = full_sets(docs, materialize(ids, "ids"))
     # b, the side that is spread out, is joined first; Spark splits the hot partitions of a.
     both = pairs.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("of_b")), "b").join(sets.select(F.col("id").alias("a"), F.col("elements").alias("of_a")), "a")
 
@@ -153,7 +160,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             kept = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], ["a", "b"])
 
-    return materialize(both.select("a", "b", "of_a", "of_b").mapInArrow(check, "a long, b long"), "links")
+    return materialize(both.select("a", "b", "of_a", "of_b").mapInArrow(check, "a long, b long").distinct(), "links")
 
 
 def _rows(column: pa.Array) -> np.ndarray:
@@ -181,15 +188,39 @@ def star_pairs(places: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
             kept = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], ["a", "b"])
 
-    return materialize(both.select("a", "b", "of_a", "of_b", "n_a", "n_b").mapInArrow(filter_pairs, "a long, b long"), "pairs")
+    return materialize(both.select("a", "b", "of_a", "of_b", "n_a", "n_b").mapInArrow(filter_pairs, "a long, b long").distinct(), "pairs")
+
 
+def cells_of(batches):
+    """The cells of a partition sorted by (bucket, i, j), one table each."""
+    waiting: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = [batch.column(k).to_numpy() for k in range(3)]
+        new = np.zeros(batch.num_rows, bool)
+        for k in keys:
+            new[1:] |= k[1:] != k[:-1]
+        bounds = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for start, end in zip(bounds, bounds[1:], strict=False):
+            if start == end:
+                continue
+            now = tuple(k[start] for k in keys)
+            if now != last and waiting:
+                yield pa.Table.from_batches(waiting)
+                waiting = []
+            last = now
+            waiting.append(batch.slice(start, end - start))
+    if waiting:
+        yield pa.Table.from_batches(waiting)
 
-def cell_pairs(cell: dict[str, np.ndarray], percent: int):
+
+def cell_pairs(cell: pa.Table, percent: int):
     """Places (x, others) of plausible pairs of different components of one cell whose first common bucket is the cell's."""
-    i, j, bucket = cell["i"][0], cell["j"][0], np.int64(cell["bucket"][0]).view(np.uint64)
-    registers = np.frombuffer(b"".join(cell["registers"]), np.uint16).reshape(-1, REGISTERS)
-    n, root, ids, own = cell["n"], cell["root"], cell["id"], cell["own"]
-    keys = np.stack([bucket_keys(r) for r in registers])
+    number = {k: cell.column(k).to_numpy() for k in ("bucket", "i", "j", "own", "id", "root", "n")}
+    i, j, bucket = number["i"][0], number["j"][0], number["bucket"][:1].view(np.uint64)[0]
+    registers = _rows(cell.column("registers"))
+    own, root, ids, n = number["own"], number["root"], number["id"], number["n"]
+    keys = bucket_keys(registers)
     for x in np.flatnonzero(own == i).tolist():
         others = np.flatnonzero((own == j) & (root != root[x]) & ((ids > ids[x]) if i == j else True))
         if others.size:
@@ -199,57 +230,62 @@ def cell_pairs(cell: dict[str, np.ndarray], percent: int):
             yield x, others[plausible(same, registers[others], np.full(len(others), n[x]), n[others], percent)]
 
 
-def cells_of(batches):
-    """The cells of a partition sorted by (bucket, i, j), one at a time: columns as arrays, bytes as lists."""
-    waiting: dict[str, list] = {}
-    key = None
-    columns = lambda: {k: v if k in ("registers", "elements") else np.array(v) for k, v in waiting.items()}
-    for batch in batches:
-        for row in batch.to_pylist():
-            now = (row["bucket"], row["i"], row["j"])
-            if now != key:
-                if waiting:
-                    yield columns()
-                key, waiting = now, {k: [] for k in row}
-            for k, v in row.items():
-                waiting[k].append(v)
-    if waiting:
-        yield columns()
-
-
-def open_links(places: DataFrame, sketch: DataFrame, roots: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between different components that share a bucket, enough to join whatever true links join.
+def dealt_cells(places: DataFrame, roots: DataFrame, block: int = BLOCK) -> DataFrame:
+    """bucket, i, j, own, id, root: the members of buckets of several components, dealt to cells where every two that may be linked meet.
 
-    The members of an open bucket are cut into blocks of about BLOCK; every two blocks meet
-    in a cell, which costs no more memory in a large bucket than in a small one.  A pair that
-    shares several buckets is looked at in the first of them.  A first pass over registers
-    leaves the members with a plausible partner; a second one compares their full sets where
-    they are, until the components are joined.  No pair is written out but a confirmed one.
+    places: bucket, id; roots: node, root.  A bucket's largest component is cut into blocks -1,
+    -2, ...; all other members into blocks 0, 1, ...  Cell (i, j) holds blocks i and j: every two
+    blocks of the others meet, and each of them meets those of the largest component, which
+    never meet each other.  So m members of whom k stand outside the largest component give
+    about m * ceil(k / block) + k * m / block rows, and a cell has about 2 * block.
     """
     known = places.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     known = materialize(known, "placed")
-    wide = known.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).filter(F.col("low") != F.col("high"))
-    blocks = wide.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = known.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    # Block i meets block j >= i in cell (i, j): a member goes to the cells of its row and of its column.
-    cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")))
-    dealt = members.select("bucket", "id", "root", "own", F.explode(cells).alias("cell")).select("bucket", "id", "root", "own", "cell.i", "cell.j")
+    parts = known.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    wide = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).filter(F.col("all") > F.col("top.n"))
+    blocks = wide.select(
+        "bucket", F.col("top.root").alias("top"), F.ceil((F.col("all") - F.col("top.n")) / block).cast("int").alias("small"), F.ceil(F.col("top.n") / block).cast("int").alias("large")
+    )
+    members = known.join(blocks, "bucket").withColumn("in_top", F.col("root") == F.col("top"))
+    place = F.pmod(F.xxhash64("id"), F.when(F.col("in_top"), F.col("large")).otherwise(F.col("small"))).cast("int")
+    members = members.withColumn("own", F.when(F.col("in_top"), -1 - place).otherwise(place))
+    every = F.sequence(F.lit(0), F.col("small") - 1)
+    with_small = F.transform(every, lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")))
+    with_large = F.transform(F.sequence(F.lit(1), F.col("large")), lambda k: F.struct(F.col("own").alias("i"), (-k).alias("j")))
+    cells = F.when(F.col("in_top"), F.transform(every, lambda k: F.struct(k.alias("i"), F.col("own").alias("j")))).otherwise(F.concat(with_small, with_large))
+    return members.select("bucket", "id", "root", "own", F.explode(cells).alias("cell")).select("bucket", "cell.i", "cell.j", "own", "id", "root")
+
 
-    def by_cell(rows: DataFrame) -> DataFrame:
-        return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+def by_cell(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+
+def plausible_members(places: DataFrame, sketch: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """The rows of dealt_cells that have a plausible partner of another component there, as a written table."""
 
     def involved(batches):
-        kinds = {"bucket": pa.int64(), "i": pa.int32(), "j": pa.int32(), "own": pa.int32(), "id": pa.int64(), "root": pa.int64()}
         for cell in cells_of(batches):
             some: set[int] = set()
             for x, others in cell_pairs(cell, percent):
                 some.update([x, *others.tolist()] if others.size else [])
-            at = sorted(some)
-            yield pa.RecordBatch.from_arrays([pa.array(cell[k][at], t) for k, t in kinds.items()], list(kinds))
+            if some:
+                yield from cell.select(["bucket", "i", "j", "own", "id", "root"]).take(pa.array(sorted(some))).combine_chunks().to_batches()
+
+    ordered = by_cell(dealt_cells(places, roots).join(sketch, "id").select("bucket", "i", "j", "own", "id", "root", "registers", "n"))
+    return materialize(ordered.mapInArrow(involved, "bucket long, i int, j int, own int, id long, root long").distinct(), "open")
+
+
+def open_links(members: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between different components, enough to join whatever true links join.
+
+    members: rows of plausible_members.  Full sets are compared where they are, until the
+    components of a cell are joined; no pair is written out but a confirmed one.
+    """
 
     def link(batches):
         for cell in cells_of(batches):
-            joined = {r: r for r in cell["root"].tolist()}
+            roots, ids, elements = cell.column("root").to_pylist(), cell.column("id").to_pylist(), cell.column("elements")
+            joined = {r: r for r in roots}
 
             def find(r: int) -> int:
                 while joined[r] != r:
@@ -260,16 +296,13 @@ def open_links(places: DataFrame, sketch: DataFrame, roots: DataFrame, docs: Dat
             found = []
             for x, others in cell_pairs(cell, percent):
                 for o in others.tolist():
-                    one, other = find(int(cell["root"][x])), find(int(cell["root"][o]))
-                    if one != other and similar(cell["elements"][x], cell["elements"][o], percent):
+                    one, other = find(roots[x]), find(roots[o])
+                    if one != other and similar(elements[x].as_buffer(), elements[o].as_buffer(), percent):
                         joined[max(one, other)] = min(one, other)
-                        found.append(sorted((int(cell["id"][x]), int(cell["id"][o]))))
+                        found.append(sorted((ids[x], ids[o])))
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    ordered = by_cell(dealt.join(sketch, "id").select("bucket", "i", "j", "own", "id", "root", "registers", "n"))
-    left = materialize(ordered.mapInArrow(involved, "bucket long, i int, j int, own int, id long, root long"), "open")
-    sets = full_sets(docs, materialize(left.select("id").distinct(), "ids"))
-    whole = by_cell(left.join(sketch, "id").join(sets, "id").select("bucket", "i", "j", "own", "id", "root", "registers", "n", "elements"))
+    whole = by_cell(members.join(sketch, "id").join(sets, "id").select("bucket", "i", "j", "own", "id", "root", "registers", "n", "elements"))
     return materialize(whole.mapInArrow(link, "a long, b long").distinct(), "links")
 
 
@@ -277,29 +310,45 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and n_links of every row of docs (doc_id, text).
 
     Two documents are linked if 100 * |intersection| >= percent * |union| of their shingle
-    sets; component_id is the smallest doc_id reachable by links.  n_links counts confirmed
-    links of the class that the document stands for (copies of one set are not expanded).
-    Null, empty and blank texts have an empty set and are linked with nothing.  Repeated
-    rows share an id and a component.  A null doc_id can't be linked to: its component is
-    null and it is kept.
+    sets; component_id is the smallest doc_id reachable by links.  n_links counts the
+    confirmed links of the class that the document stands for: links that components needed,
+    not all that there are (copies of one set are not expanded, nor are links inside a
+    component that other links have joined).  Null, empty and blank texts have an empty set:
+    such a row is linked with nothing and keeps its own id.  Repeated rows share an id and a
+    component.  Different texts of one doc_id are one document, linked with whatever one of
+    them is linked with.  A null doc_id can't be linked to: its component is null and it is
+    kept.
     """
     sketch = sketches(docs)
     sized = sketch.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     same: list[str | Column] = ["set_a", "set_b", "n_shingles"]
     classes = materialize(sized.groupBy(*same).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("members")), "classes")
-    chosen = sized.join(classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    heads = classes.select(*same, F.col("id").alias("doc_id"))
+    chosen = sized.join(heads, [*same, "doc_id"], "left_semi").dropDuplicates(["doc_id", "set_a", "set_b"])
     chosen = materialize(chosen.select(F.col("doc_id").alias("id"), "registers", F.col("n_shingles").alias("n"), "buckets"), "chosen")
-    places = chosen.select("id", F.explode("buckets").alias("bucket"))
+    places = chosen.select("id", F.explode("buckets").alias("bucket")).distinct()
     registers = chosen.select("id", "registers", "n")
 
-    links = confirm(star_pairs(places, registers, percent), docs, percent)
+    pairs = star_pairs(places, registers, percent)
+    maybe = plausible_members(places, registers, materialize(components(pairs), "roots"), percent)
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(maybe.select("id")).distinct()
+    ids = materialize(ids, "ids")
+    sets = full_sets(docs, ids)
+    links = confirm(pairs, sets, percent)
+    # Documents of several texts join the classes that the texts are in.
+    several = sized.groupBy("doc_id").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("set_a", "set_b")))
+    several = several.filter((F.col("min_set_a") != F.col("max_set_a")) | (F.col("min_set_b") != F.col("max_set_b"))).select("doc_id")
+    own = materialize(sized.join(several, "doc_id").select("doc_id", *same).join(classes, same).select("doc_id", "id").distinct(), "several")
+    hubs = own.groupBy("doc_id").agg(F.min("id").alias("a"))
+    links = links.unionByName(own.join(hubs, "doc_id").filter(F.col("id") != F.col("a")).select("a", F.col("id").alias("b")))
     roots = materialize(components(links), "roots")
-    more = open_links(places, registers, roots, docs, percent)
+
+    left = plausible_members(places.join(ids, "id", "left_semi"), registers, roots, percent)
+    more = open_links(left, registers, sets, percent)
     if more.limit(1).count():
         links = links.unionByName(more)
         roots = materialize(components(links), "roots")
     degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    # Two sets can share their smallest doc_id only if that id occurs with two texts; its component is one all the same.
     named = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").join(degree, "id", "left")
     named = named.select(*same, F.coalesce("root", "id").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "members")
     # Classes of one document that no link touches are their own component: only the others are joined back.
