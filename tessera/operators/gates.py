@@ -53,12 +53,15 @@ def upper_median(values: Column) -> Column:
 def below_peers(df: DataFrame, peer: str, ratio: str, fraction: float = 0.5) -> DataFrame:
     """Every row with its peer group's upper median and whether it is below that fraction of it.
 
-    The median is taken from the group's sorted counts: the row at half the group's length.
+    The median is the row at half the group's length.  Equal values are counted first, so only
+    a group's distinct values are put in order, and the one median per group is joined back.
     """
-    w = Window.partitionBy(peer).orderBy(ratio)
-    place = df.withColumn("__place", F.row_number().over(w)).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(peer)))
-    median = F.max(F.when(F.col("__place") == F.floor(F.col("__n") / 2) + 1, F.col(ratio))).over(Window.partitionBy(peer))
-    return place.withColumn("peer_median", median).withColumn("thin", F.col(ratio) < F.lit(fraction) * F.col("peer_median")).drop("__place", "__n")
+    counts = df.filter(F.col(ratio).isNotNull()).groupBy(peer, ratio).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(peer)
+    upto = counts.withColumn("__upto", F.sum("__n").over(w.orderBy(ratio))).withColumn("__all", F.sum("__n").over(w))
+    medians = upto.filter(F.col("__upto") > F.floor(F.col("__all") / 2)).groupBy(F.col(peer).alias("__peer")).agg(F.min(ratio).alias("peer_median"))
+    found = df.join(medians, F.col(peer).eqNullSafe(F.col("__peer")), "left").drop("__peer")
+    return found.withColumn("thin", F.col(ratio) < F.lit(fraction) * F.col("peer_median"))
 
 
 def golden_sample(actual: DataFrame, expected: DataFrame, key: Sequence[str], name: str, part: str) -> DataFrame:

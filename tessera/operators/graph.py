@@ -1,8 +1,7 @@
 """Walking a small ontology: closure, inherited children, most specific definitions, expansion trees.
 
-An ontology is metadata: its edges fit a broadcast many times over.  The walks are
-breadth-first joins that stop at a fixed depth or when nothing new is found, with the
-frontier written out each round.
+The walks are breadth-first joins, each round's frontier a written table; they end when
+nothing new is found.
 """
 
 from __future__ import annotations
@@ -10,22 +9,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.match import rule_side
+from tessera.scratch import materialize
+
 MAX_DEPTH = 6
 
 
-def closure(edges: DataFrame, child: str = "child", parent: str = "parent", max_depth: int = 32) -> DataFrame:
+def closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
     """(node, ancestor, depth) of all supertypes, with the shortest depth; cycles end where nothing new appears."""
-    step = edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).filter("ancestor is not null").distinct()
-    found = step.withColumn("depth", F.lit(1))
-    frontier = found
-    for depth in range(2, max_depth + 1):
+    step = materialize(edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).filter("ancestor is not null").distinct(), "edges")
+    found = frontier = step.withColumn("depth", F.lit(1))
+    depth = 1
+    while True:
+        depth += 1
         reached = frontier.alias("f").join(step.alias("s"), F.col("f.ancestor") == F.col("s.node")).select(F.col("f.node"), F.col("s.ancestor")).distinct()
-        fresh = reached.join(found.select("node", "ancestor"), ["node", "ancestor"], "left_anti").withColumn("depth", F.lit(depth))
+        fresh = materialize(reached.join(found.select("node", "ancestor"), ["node", "ancestor"], "left_anti").withColumn("depth", F.lit(depth)), "frontier")
         if not fresh.limit(1).count():
-            break
+            return found
         frontier = fresh
         found = found.unionByName(fresh)
-    return found
+
+
+def with_parts(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """(child, parent): the edges and one from every hyphenated name to each of its parts."""
+    plain = edges.select(F.col(child).alias("child"), F.col(parent).alias("parent"))
+    names = plain.select(F.col("child").alias("name")).unionByName(plain.select(F.col("parent").alias("name"))).filter(F.contains("name", F.lit("-"))).distinct()
+    parts = names.select(F.col("name").alias("child"), F.explode(F.split("name", "-")).alias("parent")).filter("parent <> '' and parent <> child")
+    return plain.unionByName(parts).distinct()
 
 
 def inherited(owned: DataFrame, ancestors: DataFrame, value: str) -> DataFrame:
@@ -40,9 +50,9 @@ def most_specific(tags: DataFrame, definitions: DataFrame, ancestors: DataFrame)
     tags: id, tag.  definitions: def, part.
     """
     sizes = definitions.groupBy("def").agg(F.countDistinct("part").alias("n_parts"))
-    hits = tags.distinct().join(F.broadcast(definitions.distinct()), F.col("tag") == F.col("part")).groupBy("id", "def").agg(F.count(F.lit(1)).alias("n"))
-    whole = hits.join(F.broadcast(sizes), "def").filter("n = n_parts").select("id", "def", "n_parts")
-    covered = whole.join(F.broadcast(ancestors), F.col("def") == F.col("node")).select("id", F.col("ancestor").alias("def")).distinct()
+    hits = tags.distinct().join(rule_side(definitions.distinct()), F.col("tag") == F.col("part")).groupBy("id", "def").agg(F.count(F.lit(1)).alias("n"))
+    whole = hits.join(rule_side(sizes), "def").filter("n = n_parts").select("id", "def", "n_parts")
+    covered = whole.join(rule_side(ancestors), F.col("def") == F.col("node")).select("id", F.col("ancestor").alias("def")).distinct()
     open_ = whole.join(covered, ["id", "def"], "left_anti")
     return open_.groupBy("id").agg(F.min_by("def", F.struct(-F.col("n_parts"), F.col("def"))).alias("def"))
 
@@ -62,6 +72,10 @@ def expand(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH) -> Da
 
 
 def tag_collisions(leaves: DataFrame, tags: str, name: str) -> DataFrame:
-    """tag set and names of leaves that carry the same tags."""
-    same = leaves.groupBy(F.array_sort(tags).alias("tag_set")).agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("first"), F.max(name).alias("last")).filter("n > 1")
+    """tag set, number of leaves that carry it, the first and the last of them, and whether the first has the shortest name of all.
+
+    The first leaf is the one of the shortest name, then the smallest.
+    """
+    rank = F.struct(F.length(name), F.col(name))
+    same = leaves.groupBy(F.array_sort(tags).alias("tag_set")).agg(F.count(F.lit(1)).alias("n"), F.min_by(name, rank).alias("first"), F.max(name).alias("last")).filter("n > 1")
     return same.select(F.array_join("tag_set", ",").alias("tag_set"), "n", "first", "last")

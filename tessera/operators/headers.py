@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.match import rule_side
+
 
 def squeezed(text: Column) -> Column:
     """Lower case without white space."""
@@ -19,7 +21,7 @@ def resolve_columns(cells: DataFrame, table: Sequence[str], column: str, text: s
     aliases: field, alias, ord.  The alias with the smallest ord decides, then the leftmost
     cell; a field without a match has no row.
     """
-    hits = cells.select(*table, column, squeezed(F.col(text)).alias("__cell")).join(F.broadcast(aliases.withColumn("__alias", squeezed(F.col("alias")))), F.contains("__cell", F.col("__alias")))
+    hits = cells.select(*table, column, squeezed(F.col(text)).alias("__cell")).join(rule_side(aliases.withColumn("__alias", squeezed(F.col("alias")))), F.contains("__cell", F.col("__alias")))
     return hits.groupBy(*table, "field").agg(F.min(F.struct("ord", column)).alias("x")).select(*table, "field", F.col(f"x.{column}").alias(column))
 
 

@@ -7,11 +7,15 @@ choice of join.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.order import greedy_assignment
+from tessera.scratch import materialize
+
 MAX_RULES = 20_000
 
 
@@ -51,6 +55,19 @@ def by_evidence(df: DataFrame, text: str, sets: Sequence[tuple[str, Sequence[str
     return df.withColumn(f"{out}_hits", best).withColumn(out, found)
 
 
+def by_evidence_or_title(df: DataFrame, text: str, title: str, sets: Sequence[tuple[str, Sequence[str], int]], titles: Sequence[tuple[str, str]]) -> DataFrame:
+    """df with class and reason: the class by evidence in the text, else by the first title rule (class, pattern), else none."""
+    found = by_evidence(df, text, sets, "__class")
+    named = F.lit(None).cast("string")
+    why = F.lit("not enough evidence")
+    for name, pattern in reversed(list(titles)):
+        hit = F.coalesce(F.col(title), F.lit("")).rlike(f"(?i){pattern}")
+        named = F.when(hit, name).otherwise(named)
+        why = F.when(hit, F.concat(F.lit("title: "), F.regexp_extract(F.col(title), f"(?i){pattern}", 0))).otherwise(why)
+    reason = F.when(F.col("__class").isNotNull(), F.concat(F.lit("evidence: "), F.col("__class_hits").cast("string"))).otherwise(why)
+    return found.withColumn("class", F.coalesce("__class", named)).withColumn("reason", reason).drop("__class", "__class_hits")
+
+
 def longest_prefix(df: DataFrame, key: str, ids: Sequence[str], profiles: DataFrame) -> DataFrame:
     """ids and profile: the profile (profile, prefix, ord) with the longest prefix of the key; the smallest ord on ties.
 
@@ -73,9 +90,25 @@ def containing(points: DataFrame, bands: DataFrame, value: str, low: str, high:
 
 
 def best_overlap(left: DataFrame, right: DataFrame, key: Sequence[str], a: str, b: str, order: str) -> DataFrame:
-    """For each group a of left the group b of right that shares most keys; the smallest order on ties: a, b, n."""
-    pairs = left.select(*key, a).distinct().join(right.select(*key, b, order).distinct(), list(key)).groupBy(a, b, order).agg(F.count(F.lit(1)).alias("n"))
-    return pairs.groupBy(a).agg(F.max_by(b, F.struct("n", -F.col(order))).alias(b), F.max("n").alias("n"))
+    """For each group a of left the group b of right that shares most keys; the smallest order on ties: a, b, n.
+
+    Groups with the same keys, told by a digest of them, share alike: one of each kind is
+    compared, so equal groups, however many, make no pairs.
+    """
+
+    def kinds(df: DataFrame, group: str, rank: Column) -> tuple[DataFrame, DataFrame]:
+        rows = df.select(*key, F.col(group).alias("__g"), rank.alias("__o")).distinct()
+        digest = [F.bit_xor(F.xxhash64(*key)).alias("__d1"), F.bit_xor(F.xxhash64(F.lit(1), *key)).alias("__d2"), F.count(F.lit(1)).alias("__d3")]
+        of = rows.groupBy("__g", "__o").agg(*digest)
+        heads = of.groupBy("__d1", "__d2", "__d3").agg(F.min(F.struct("__o", "__g")).alias("__head"))
+        named = of.join(heads, ["__d1", "__d2", "__d3"]).select("__g", "__o", "__head")
+        return named, rows.join(heads.select(F.col("__head.__g").alias("__g")), "__g", "left_semi")
+
+    named, x = kinds(left, a, F.lit(0))
+    _, y = kinds(right, b, F.col(order))
+    pairs = x.select(*key, F.col("__g").alias("__a")).join(y.select(*key, F.col("__g").alias("__b"), "__o"), list(key)).groupBy("__a", "__b", "__o").agg(F.count(F.lit(1)).alias("n"))
+    best = pairs.groupBy("__a").agg(F.max_by("__b", F.struct("n", -F.col("__o"))).alias(b), F.max("n").alias("n"))
+    return named.select(F.col("__g").alias(a), F.col("__head.__g").alias("__a")).join(best, "__a").select(a, b, "n")
 
 
 def same_or_contained(a: Column, b: Column, least: int = 4) -> Column:
@@ -98,27 +131,34 @@ def token_scores(names: DataFrame, name: str, tags: DataFrame) -> DataFrame:
     return words.join(rule_side(keyed), "token").groupBy(name, "code").agg(F.max("weight").alias("weight"))
 
 
+_INNERMOST = re.compile(r"\([^()]*\)")
+_GAP = re.compile(r"\.[*+?]")
+
+
 def loose_parts(include: str) -> list[list[str]]:
     """An ordered pattern's alternatives as parts that must all occur, in any order.
 
     Alternatives tied to the start or end and those of one part are left out: loosening
     them would match too much.
     """
-    alternatives, depth, part = [], 0, ""
-    for ch in include:
-        depth += (ch == "(") - (ch == ")")
-        if ch == "|" and not depth:
-            alternatives.append(part)
-            part = ""
-        else:
-            part += ch
-    found = []
-    for alternative in [*alternatives, part]:
-        pieces = [p for p in alternative.replace(".?", ".*").replace(".+", ".*").split(".*") if p.strip()]
-        anchored = alternative.startswith("^") or alternative.endswith("$")
-        if not anchored and len(pieces) > 1 and all(sum(c.isalnum() for c in p) >= 3 for p in pieces):
-            found.append(pieces)
-    return found
+    groups: list[str] = []
+
+    def put_away(found: re.Match[str]) -> str:
+        groups.append(found.group())
+        return f"<{len(groups) - 1}>"
+
+    def bring_back(text: str) -> str:
+        for k in reversed(range(len(groups))):
+            text = text.replace(f"<{k}>", groups[k])
+        return text
+
+    # Groups are put away from the inside out; what is left has bars and gaps of the outermost level only.
+    flat = include
+    while _INNERMOST.search(flat):
+        flat = _INNERMOST.sub(put_away, flat)
+    alternatives = [x for x in flat.split("|") if not (x.startswith("^") or x.endswith("$"))]
+    parts = [[bring_back(p) for p in _GAP.split(x) if p.strip()] for x in alternatives]
+    return [p for p in parts if len(p) > 1 and min(len(re.findall(r"\w", x.replace("_", ""))) for x in p) >= 3]
 
 
 def loose_match(text: Column, include: str) -> Column:
@@ -134,6 +174,29 @@ def loose_match(text: Column, include: str) -> Column:
     return found
 
 
+def assign_templates(names: DataFrame, by: str, item: str, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """by, rule, item and status (matched, loose, missing) of every rule (rule, pattern) in every `by`.
+
+    Rules in order claim the smallest name that fits their pattern and no earlier rule claimed.
+    A second pass offers the names that are left to the rules that are left, by loose_match.
+    """
+    listed = F.array(*(F.struct(F.lit(k).alias("ord"), F.lit(r).alias("rule")) for k, (r, _) in enumerate(rules)))
+    wanted = names.select(by).distinct().select(by, F.explode(listed).alias("x")).select(by, "x.ord", "x.rule")
+
+    def candidates(df: DataFrame, fits: Sequence[Column]) -> DataFrame:
+        hits = F.array(*(F.when(fit, F.struct(F.lit(k).alias("ord"), F.lit(r).alias("rule"))) for k, ((r, _), fit) in enumerate(zip(rules, fits, strict=True))))
+        return df.select(by, item, F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("x")).select(by, "x.ord", "x.rule", F.col(item).alias("item"), F.lit(0).alias("score"))
+
+    strict = candidates(names, [F.lower(item).rlike(p) for _, p in rules])
+    first = materialize(greedy_assignment(strict, [by], "ord", "rule", "item", "score"), "claims")
+    left = wanted.join(first, [by, "rule"], "left_anti")
+    free = names.join(first.select(by, F.col("item").alias(item)), [by, item], "left_anti")
+    loose = candidates(free, [loose_match(F.col(item), p) for _, p in rules]).join(left.select(by, "rule"), [by, "rule"], "left_semi")
+    second = greedy_assignment(loose, [by], "ord", "rule", "item", "score")
+    claims = first.withColumn("status", F.lit("matched")).unionByName(second.withColumn("status", F.lit("loose")))
+    return wanted.join(claims, [by, "rule"], "left").select(by, "rule", "item", F.coalesce("status", F.lit("missing")).alias("status"))
+
+
 def top_inputs(hits: DataFrame, requirement: str, rank: str, order: Sequence[str], keep: int = 8) -> DataFrame:
     """The best `keep` inputs of each requirement by rank, then order, with their place from 1."""
     place = F.row_number().over(Window.partitionBy(requirement).orderBy(rank, *order))
@@ -152,3 +215,41 @@ def merge_records(left: DataFrame, right: DataFrame, key: Sequence[str], fields:
     both = a.join(b, list(key), "full_outer")
     origin = F.when(F.col("__l").isNull(), "right").when(F.col("__r").isNull(), "left").otherwise("both")
     return both.select(*key, *(F.coalesce(f"__l_{f}", f"__r_{f}").alias(f) for f in fields), origin.alias("origin"))
+
+
+def contained_names(left: DataFrame, right: DataFrame, by: Sequence[str], name: str, other: str, least: int = 4) -> DataFrame:
+    """Rows (by, name, other) of names that are equal once squeezed, or hold each other, under one `by`.
+
+    Both sides are cut down to distinct names first, and meet only where they share a piece of
+    `least` letters or digits: a held name's first piece stands in the name that holds it.
+    Shorter names can only be equal.
+    """
+    bare = lambda c: F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", "")
+    x = left.select(*by, name, bare(F.col(name)).alias("__x")).distinct()
+    y = right.select(*by, other, bare(F.col(other)).alias("__y")).distinct()
+    pieces = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (least - 1)), lambda k: F.substring(c, k, F.lit(least))))
+    long_x, long_y = x.filter(F.length("__x") >= least), y.filter(F.length("__y") >= least)
+    in_y = long_x.withColumn("__piece", F.substring("__x", 1, least)).join(long_y.withColumn("__piece", F.explode(pieces(F.col("__y")))), [*by, "__piece"]).filter(F.contains("__y", F.col("__x")))
+    in_x = long_y.withColumn("__piece", F.substring("__y", 1, least)).join(long_x.withColumn("__piece", F.explode(pieces(F.col("__x")))), [*by, "__piece"]).filter(F.contains("__x", F.col("__y")))
+    short = x.withColumn("__piece", F.col("__x")).join(y.withColumn("__piece", F.col("__y")), [*by, "__piece"])
+    columns = [*by, name, other]
+    return in_y.select(*columns).unionByName(in_x.select(*columns)).unionByName(short.select(*columns)).distinct()
+
+
+def nearest_sets(queries: DataFrame, sets: DataFrame, q: str, tokens_q: str, s: str, tokens_s: str) -> DataFrame:
+    """q, s, score and n_best: the set with the highest Jaccard similarity to each query, how many sets have it, the smallest s of them.
+
+    Queries and sets meet on shared tokens and are counted; equal sets are compared once.  A
+    query that shares no token with any set has score 0 with the smallest s of all.
+    """
+    heads = sets.groupBy(F.array_sort(F.array_distinct(tokens_s)).alias("__t")).agg(F.min(s).alias(s), F.count(F.lit(1)).alias("__same"))
+    heads = heads.withColumn("__n", F.size("__t"))
+    x = queries.select(q, F.array_distinct(tokens_q).alias("__q")).select(q, F.size("__q").alias("__m"), F.explode("__q").alias("__token"))
+    y = heads.select(s, "__n", "__same", F.explode("__t").alias("__token"))
+    shared = x.join(y, "__token").groupBy(q, s, "__m", "__n", "__same").agg(F.count(F.lit(1)).alias("__k"))
+    scored = shared.withColumn("score", F.col("__k") / (F.col("__m") + F.col("__n") - F.col("__k")))
+    top = scored.groupBy(q).agg(F.max("score").alias("score"))
+    best = scored.join(top, [q, "score"]).groupBy(q, "score").agg(F.min(s).alias(s), F.sum("__same").alias("n_best"))
+    none = sets.agg(F.min(s).alias("__none"), F.count(F.lit(1)).alias("__all"))
+    found = queries.select(q).join(best, q, "left").crossJoin(F.broadcast(none))  # one row
+    return found.select(q, F.coalesce(s, "__none").alias(s), F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("n_best", "__all").alias("n_best"))

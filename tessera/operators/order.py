@@ -1,9 +1,8 @@
 """Order-dependent operators.
 
 Each takes explicit order columns and, where it works per entity, partition columns.
-Window forms stream through a partition.  The folds (segments, bands, assignment) hold one
-entity's rows as an array: an entity here is a document, an interface or a user session,
-not a skewed join key.
+Window forms stream through a partition.  The folds (bands, assignment) hold one entity's
+rows as an array: an entity there is a document or an interface, not a skewed join key.
 """
 
 from __future__ import annotations
@@ -13,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.scratch import materialize
+
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of each key in the given order."""
@@ -58,19 +59,27 @@ def _gathered(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: S
 
 
 def key_reuse_segments(df: DataFrame, by: Sequence[str], order: Sequence[str], key: str) -> DataFrame:
-    """by, order, key and segment: a new segment starts where a key was already seen since the last start."""
-    rows = _gathered(df, by, order, [key])
-    empty = F.struct(F.lit(0).alias("segment"), F.array().cast("array<string>").alias("used"), F.array().cast("array<int>").alias("out"))
+    """by, order, key and segment: a new segment starts where a key was already seen since the last start; null keys never count as seen.
 
-    def step(acc: Column, row: Column) -> Column:
-        name = row[key].cast("string")
-        again = F.array_contains(acc["used"], name)
-        segment = acc["segment"] + F.when(again, 1).otherwise(0)
-        used = F.when(again, F.array(name)).otherwise(F.concat(acc["used"], F.array(name)))
-        return F.struct(segment.alias("segment"), used.alias("used"), F.concat(acc["out"], F.array(segment)).alias("out"))
-
-    folded = rows.withColumn("segments", F.aggregate("rows", empty, step, lambda acc: acc["out"]))
-    return folded.select(*by, F.explode(F.arrays_zip("rows", "segments")).alias("x")).select(*by, *(F.col(f"x.rows.{c}").alias(c) for c in (*order, key)), F.col("x.segments").alias("segment"))
+    If a segment starts at place s, the next one starts at the first place that repeats a key
+    of s or later: the least next occurrence of all places from s on.  The chain of these
+    starts is followed by doubling, over written tables, so no entity is ever one row.
+    """
+    places = df.select(*by, *order, key).withColumn("__at", F.row_number().over(Window.partitionBy(*by).orderBy(*order, key)))
+    again = F.when(F.col(key).isNotNull(), F.lead("__at").over(Window.partitionBy(*by, key).orderBy("__at")))
+    behind = Window.partitionBy(*by).orderBy(F.desc("__at")).rowsBetween(Window.unboundedPreceding, 0)
+    places = materialize(places.withColumn("__again", again).withColumn("__next", F.min("__again").over(behind)).drop("__again"), "places")
+    starts = places.filter("__at = 1").select(*by, "__at")
+    jumps = places.filter("__next is not null").select(*by, "__at", "__next")
+    same = lambda x, y, at: [F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in by] + [F.col(at) == F.col("j.__at")]
+    while jumps.limit(1).count():
+        landed = starts.alias("s").join(jumps.alias("j"), same("s", "j", "s.__at")).select(*(f"s.{c}" for c in by), F.col("j.__next").alias("__at"))
+        starts = materialize(starts.unionByName(landed).distinct(), "starts")
+        farther = jumps.alias("f").join(jumps.alias("j"), same("f", "j", "f.__next")).select(*(f"f.{c}" for c in by), "f.__at", "j.__next")
+        jumps = materialize(farther, "jumps")
+    marked = places.alias("p").join(starts.withColumn("__start", F.lit(1)).alias("j"), same("p", "j", "p.__at"), "left").select("p.*", "j.__start")
+    upto = Window.partitionBy(*by).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    return marked.select(*by, *order, key, (F.count("__start").over(upto) - 1).cast("int").alias("segment"))
 
 
 def band_groups(df: DataFrame, by: Sequence[str], order: Sequence[str], low: str, high: str) -> DataFrame:

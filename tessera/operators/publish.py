@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,19 +37,28 @@ def ratio_tally(df: DataFrame, by: Sequence[str], flags: dict[str, Column]) -> D
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *counts, *shares) if by else df.agg(F.count(F.lit(1)).alias("n"), *counts, *shares)
 
 
-def search(parts: Sequence[tuple[str, DataFrame, Column, Column]], needle: str, cap: int | None = None) -> DataFrame:
-    """kind, ref and label of rows whose label holds the needle, regardless of case, over several tables.
+def search(parts: Sequence[tuple[str, DataFrame, Column, Column]], needle: str, cap: int | None = None, label_chars: int | None = None) -> DataFrame:
+    """kind, ref and label of rows whose text holds the needle, regardless of case, over several tables.
 
-    cap: at most that many hits per kind, the smallest refs (a feature of the search page).
+    The whole text is searched; label_chars cuts only what is shown.  cap: at most that many
+    hits per kind, the smallest refs (a feature of the search page).
     """
     found = None
     for kind, df, ref, label in parts:
-        hits = df.filter(F.contains(F.lower(label), F.lit(needle.lower()))).select(F.lit(kind).alias("kind"), ref.cast("string").alias("ref"), label.alias("label"))
+        hits = df.filter(F.contains(F.lower(label), F.lit(needle.lower()))).select(F.lit(kind).alias("kind"), ref.cast("string").alias("ref"), (F.substring(label, 1, label_chars) if label_chars else label).alias("label"))
         hits = hits.orderBy("ref").limit(cap) if cap else hits
         found = hits if found is None else found.unionByName(hits)
     return found
 
 
+def top_and_rest(counts: DataFrame, by: str, label: str, n: str, keep: int) -> DataFrame:
+    """by, place, label and n: the `keep` most frequent labels, ties by label, then one row for how many more there are and their sum."""
+    place = F.row_number().over(Window.partitionBy(by).orderBy(F.desc(n), label)).cast("long")
+    ranked = counts.select(by, F.col(label).alias("label"), F.col(n).alias("n"), place.alias("place"))
+    rest = ranked.filter(F.col("place") > keep).groupBy(by).agg(F.concat(F.lit("… "), F.count(F.lit(1)).cast("string"), F.lit(" more")).alias("label"), F.sum("n").alias("n"))
+    return ranked.filter(F.col("place") <= keep).select(by, "place", "label", "n").unionByName(rest.select(by, F.lit(keep + 1).cast("long").alias("place"), "label", "n"))
+
+
 def page(df: DataFrame, order: Sequence[Column], number: int, size: int = 60) -> DataFrame:
     """Page `number` (from 0) of the rows in a total order."""
     return df.orderBy(*order).offset(number * size).limit(size)

@@ -117,8 +117,10 @@ def fuzzy_containment(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of one brand and size whose names hold each other."""
     p = load(spark, d, "part").select("p_partkey", "p_brand", "p_size", "p_name", "p_type")
     b = p.select("p_brand", "p_size", F.col("p_partkey").alias("right_key"), F.concat_ws(" ", "p_name", "p_type").alias("other"))
-    both = p.join(b, ["p_brand", "p_size"]).filter(F.col("p_partkey") != F.col("right_key"))
-    return both.filter(match.same_or_contained(F.col("p_name"), F.col("other"))).select(F.col("p_partkey").alias("left_key"), "right_key")
+    # Names meet first, then the parts that carry them: the pairs that are asked for, and no others.
+    names = match.contained_names(p, b, ["p_brand", "p_size"], "p_name", "other")
+    both = names.join(p, ["p_brand", "p_size", "p_name"]).join(b, ["p_brand", "p_size", "other"])
+    return both.filter(F.col("p_partkey") != F.col("right_key")).select(F.col("p_partkey").alias("left_key"), "right_key")
 
 
 _TAGS = [("widget", "small part"), ("cold-gear", "gear for cold rooms"), ("red", "colour red"), ("PRM", "promo")]
@@ -220,10 +222,7 @@ def jaccard_diff(spark: SparkSession, d: str) -> DataFrame:
     """Each item's most similar tag set with its verdict."""
     b = load(spark, d, "benchmark").select("item_id", S.tokens(F.col("text")).alias("q"))
     s = load(spark, d, "part").select("p_partkey", S.tokens(F.concat_ws(" ", "p_name", "p_type", F.lit("the of and"))).alias("t"))
-    # Equal tag sets score alike: only the smallest id of each set meets the items, and there are few sets.
-    sets = s.groupBy("t").agg(F.min("p_partkey").alias("p_partkey"))
-    j = b.join(match.rule_side(sets)).withColumn("score", match.jaccard(F.col("q"), F.col("t")))
-    best = j.groupBy("item_id").agg(F.max_by(F.struct("p_partkey", "score"), F.struct("score", -F.col("p_partkey"))).alias("b")).select("item_id", "b.p_partkey", "b.score")
+    best = match.nearest_sets(b, s, "item_id", "q", "p_partkey", "t")
     verdict = F.when(F.col("score") >= 0.999, "exact").when(F.col("score") >= 0.75, "hit").when(F.col("score") >= 0.6, "ambiguous").otherwise("only-ours")
     return best.select("item_id", "p_partkey", F.round("score", 9).alias("score"), verdict.alias("verdict"))
 

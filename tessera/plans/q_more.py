@@ -99,11 +99,10 @@ def scaled_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT n_nationkey, list_reduce(list_transform(string_split(upper(n_name), ''), lambda c: chr(ascii(c) - 1)), lambda a, b: a || b) AS decoded FROM nation""")
+SELECT n_nationkey, list_reduce(list_transform(string_split(upper(n_name) || ' ab', ''), lambda c: CASE WHEN ascii(c) > 32 THEN chr(ascii(c) - 1) ELSE c END), lambda a, b: a || b) AS decoded FROM nation""")
 def shifted_names(spark: SparkSession, d: str) -> DataFrame:
-    """Text of a font whose code points are shifted by one."""
-    chars = F.filter(F.split(F.upper("n_name"), ""), lambda c: c != "")
-    return load(spark, d, "nation").select("n_nationkey", F.array_join(F.transform(chars, lambda c: F.chr(F.ascii(c) - 1)), "").alias("decoded"))
+    """Text of a font whose code points above the blank are shifted by one."""
+    return load(spark, d, "nation").select("n_nationkey", S.shifted_back(F.concat(F.upper("n_name"), F.lit(" ab"))).alias("decoded"))
 
 
 @query("""

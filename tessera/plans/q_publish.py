@@ -83,12 +83,12 @@ def dynamic_columns(spark: SparkSession, d: str) -> DataFrame:
 @query("""
 SELECT 'part' AS kind, CAST(p_partkey AS VARCHAR) AS ref, p_name AS label FROM part WHERE contains(lower(p_name), '7') OR contains(lower(p_name), 'red')
 UNION ALL SELECT 'nation', CAST(n_nationkey AS VARCHAR), n_name FROM nation WHERE contains(lower(n_name), 'red')
-UNION ALL SELECT 'turn', conv_id || '-' || turn, left(text, 40) FROM conversations WHERE contains(lower(left(text, 40)), 'red')""")
+UNION ALL SELECT 'turn', conv_id || '-' || turn, left(text, 40) FROM conversations WHERE contains(lower(text), 'red')""")
 def global_search(spark: SparkSession, d: str) -> DataFrame:
     """A needle in several tables."""
     part, nation, turns = (load(spark, d, t) for t in ("part", "nation", "conversations"))
     ref = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    found = publish.search([("part", part, F.col("p_partkey"), F.col("p_name")), ("nation", nation, F.col("n_nationkey"), F.col("n_name")), ("turn", turns, ref, F.substring("text", 1, 40))], "red")
+    found = publish.search([("part", part, F.col("p_partkey"), F.col("p_name")), ("nation", nation, F.col("n_nationkey"), F.col("n_name")), ("turn", turns, ref, F.col("text"))], "red", label_chars=40)
     return found.unionByName(publish.search([("part", part.filter("not contains(lower(p_name), 'red')"), F.col("p_partkey"), F.col("p_name"))], "7"))
 
 

@@ -51,52 +51,92 @@ def read_text(spark: SparkSession, path: str, fallback: str = "windows-949") ->
     return lines.filter("line <> ''")
 
 
+def csv_rows(text: Column, separator: Column | str = ",") -> Column:
+    """The rows of separated text as arrays of cells, any number of each; quoted cells may hold separators, quotes and line breaks.
+
+    Rows without any character are left out; blanks around a cell go.
+    """
+    sep = F.lit(separator) if isinstance(separator, str) else separator
+    quoted = '"(?:[^"]++|"")*+"'
+    cell = F.concat(F.lit(rf"(?:[ \t]*+{quoted}[ \t]*+(?=["), sep, F.lit(r"\r\n]|\z)|[^"), sep, F.lit(r"\r\n]*+)"))
+    record = F.concat(cell, F.lit("(?:["), sep, F.lit("]"), cell, F.lit(")*+"))
+    records = F.filter(F.regexp_extract_all(text, record, F.lit(0)), lambda r: r != "")
+    # A separator before the first cell makes every cell follow one.
+    cells = lambda r: F.regexp_extract_all(F.concat(sep, r), F.concat(F.lit("["), sep, F.lit("]("), cell, F.lit(")")), F.lit(1))
+
+    def bare(c: Column) -> Column:
+        c = F.trim(c)
+        inner = F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+        return F.when((F.length(c) > 1) & F.startswith(c, F.lit('"')) & F.endswith(c, F.lit('"')), inner).otherwise(c)
+
+    return F.transform(records, lambda r: F.transform(cells(r), bare))
+
+
+def separator_of(text: Column, lines: int = 12) -> Column:
+    """`;` where the first lines hold more of it than of `,`, else `,`."""
+    head = F.array_join(F.slice(F.split(text, "\r\n|\n|\r"), 1, lines), "\n")
+    count = lambda mark: F.length(head) - F.length(F.replace(head, F.lit(mark), F.lit("")))
+    return F.when(count(";") > count(","), ";").otherwise(",")
+
+
+def _texts(spark: SparkSession, path: str, fallback: str) -> DataFrame:
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    text, encoding = decoded(F.col("content"), fallback)
+    return spark.read.format("binaryFile").load(path).select("path", encoding.alias("encoding"), text.alias("text"))
+
+
 def read_csv(spark: SparkSession, path: str, columns: str, fallback: str = "windows-949", separator: str = ",") -> DataFrame:
-    """path, row and the declared columns of headed CSV files, each decoded by its own encoding.
+    """path, encoding, row and the declared columns of headed CSV files, each decoded by its own encoding.
 
     Rows are matched to the declared columns by the file's own header, so files with
-    different column orders or missing columns come out alike.
+    different column orders or missing columns come out alike, whatever their width.
     """
-    lines = read_text(spark, path, fallback)
     names = [c.split()[0] for c in columns.split(",") if c.strip()]
-    head = lines.filter("pos = 0").select("path", F.transform(F.split("line", separator), lambda x: F.trim(F.replace(x, F.lit('"'), F.lit("")))).alias("__head"))
-    width = 64
-    generic = ", ".join(f"c{k} string" for k in range(width))
-    body = lines.filter("pos > 0").join(F.broadcast(head) if head.count() <= 10_000 else head, "path")
-    cells = body.select("path", "encoding", F.col("pos").alias("row"), "__head", F.from_csv("line", generic, {"sep": separator}).alias("c"))
-    values = cells.withColumn("__v", F.array(*(F.col(f"c.c{k}") for k in range(width))))
-    at = lambda n: F.try_element_at("__v", F.nullif(F.array_position("__head", n), F.lit(0)).cast("int"))
-    return values.select("path", "encoding", "row", *(at(n).alias(n) for n in names))
+    rows = _texts(spark, path, fallback).select("path", "encoding", csv_rows(F.col("text"), separator).alias("rows"))
+    body = rows.select("path", "encoding", F.col("rows")[0].alias("head"), F.posexplode("rows").alias("row", "cells")).filter("row > 0")
+    at = lambda n: F.try_element_at("cells", F.nullif(F.array_position("head", n), F.lit(0)).cast("int"))
+    return body.select("path", "encoding", "row", *(at(n).alias(n) for n in names))
 
 
-def sniff_separator(spark: SparkSession, path: str, lines: int = 12) -> str:
-    """`;` or `,`, whichever the first lines hold more of."""
-    head = spark.read.text(path).limit(lines)
-    n = head.agg(F.sum(F.length("value") - F.length(F.replace("value", F.lit(";"), F.lit("")))), F.sum(F.length("value") - F.length(F.replace("value", F.lit(","), F.lit(""))))).first()
-    return ";" if (n[0] or 0) >= (n[1] or 0) else ","
+# Numbers of standard object types.
+TYPE_NUMBERS = {0: "AI", 1: "AO", 2: "AV", 3: "BI", 4: "BO", 5: "BV", 8: "Dev", 13: "MSI", 14: "MSO", 19: "MSV"}
+#: Columns of an object list and a part of the header cell that names each.
+OBJECT_COLUMNS = {
+    "keyname": "keyname", "name": "object-name", "type": "object-type", "inst": "object-instance", "descr": "description", "low": "min-present-value",
+    "high": "max-present-value", "settable": "settable", "unit_code": "unit", "state_ref": "state-text",
+}
 
 
-def read_object_list(spark: SparkSession, folder: str, stem: str) -> tuple[DataFrame, DataFrame]:
+def read_object_list(spark: SparkSession, folder: str, stem: str, fallback: str = "windows-1252") -> tuple[DataFrame, DataFrame]:
     """(device rows, object rows) of a four-file object list: body, state texts, units and object types.
 
-    The body is joined with the two small dictionaries by code; a code that a dictionary
-    lacks leaves a null.  The row of type 8 is the device itself.  Ordered by type and instance.
+    Each file is decoded and cut by its own encoding and separator.  The body's columns are
+    found by their header cells, so their order and number don't matter; rows without a
+    numeric type and instance are no objects.  Codes that a dictionary lacks leave a null, a
+    state has as many texts as its row.  Objects are ordered by type and instance.
     """
-    body_path = f"{folder}/{stem}.csv"
-    sep = sniff_separator(spark, body_path)
-
-    def table(path: str, columns: str) -> DataFrame:
-        return spark.read.option("sep", sep).option("comment", "#").option("header", "false").option("ignoreLeadingWhiteSpace", "true").schema(columns).csv(path)
 
-    body = table(body_path, "keyname string, device int, name string, type int, inst int, descr string, present string, low double, high double, settable string, cov string, address string, unit_code int, state_ref int")
+    def cells(name: str) -> DataFrame:
+        texts = _texts(spark, f"{folder}/{name}.csv", fallback)
+        return texts.select(F.posexplode(csv_rows(F.col("text"), separator_of(F.col("text")))).alias("row", "cells"))
+
+    number = lambda c: c.try_cast("double").try_cast("int")
+    rows = cells(stem)
+    heads = rows.filter(F.startswith(F.trim(F.col("cells")[0]), F.lit("#")) & F.contains(F.lower(F.array_join("cells", " ")), F.lit("keyname")))
+    head = heads.agg(F.min_by(F.struct(F.transform("cells", lambda c: F.trim(F.replace(F.lower(c), F.lit("#"), F.lit("")))).alias("names"), "row"), "row").alias("head")).select("head.names", F.col("head.row").alias("head_row"))
+    body = rows.crossJoin(F.broadcast(head)).filter((F.col("row") > F.col("head_row")) & ~F.startswith(F.col("cells")[0], F.lit("#")))  # one head row
+    place = lambda part: F.array_position(F.transform("names", lambda n: F.contains(n, F.lit(part))), True)
+    at = lambda part: F.nullif(F.try_element_at("cells", F.nullif(place(part), F.lit(0)).cast("int")), F.lit(""))
+    body = body.select(*(at(part).alias(c) for c, part in OBJECT_COLUMNS.items()))
+    body = body.withColumns({c: number(F.col(c)) for c in ("type", "inst", "unit_code", "state_ref")} | {c: F.col(c).try_cast("double") for c in ("low", "high")})
     body = body.filter("type is not null and inst is not null")
-    units = table(f"{folder}/{stem}-Units.csv", "code int, unit string").filter("code is not null")
-    states = table(f"{folder}/{stem}-StateTexts.csv", "ref int, s1 string, s2 string, s3 string, s4 string, s5 string, s6 string, s7 string, s8 string").filter("ref is not null")
-    texts = states.select(F.col("ref").alias("state_ref"), F.filter(F.array(*(f"s{k}" for k in range(1, 9))), lambda x: x.isNotNull()).alias("states"))
-    kinds = F.create_map(*(F.lit(x) for kv in {0: "AI", 1: "AO", 2: "AV", 3: "BI", 4: "BO", 5: "BV", 8: "Dev", 13: "MSI", 14: "MSO", 19: "MSV"}.items() for x in kv))
-    joined = body.join(units.withColumnRenamed("code", "unit_code"), "unit_code", "left").join(texts, "state_ref", "left")
-    joined = joined.withColumn("kind", F.try_element_at(kinds, F.col("type")))
-    return joined.filter("type = 8"), joined.filter("type <> 8").orderBy("type", "inst")
+    coded = lambda name, key: cells(name).select(number(F.col("cells")[0]).alias(key), "row", F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(0))).alias("rest")).filter(F.col(key).isNotNull())
+    units = coded(f"{stem}-Units", "unit_code").groupBy("unit_code").agg(F.max_by(F.col("rest")[0], "row").alias("unit"))
+    texts = coded(f"{stem}-StateTexts", "state_ref").groupBy("state_ref").agg(F.max_by(F.filter("rest", lambda x: x != ""), "row").alias("states"))
+    kinds = F.create_map(*(F.lit(x) for kv in TYPE_NUMBERS.items() for x in kv))
+    joined = body.join(units, "unit_code", "left").join(texts, "state_ref", "left")
+    joined = joined.withColumn("kind", F.coalesce(F.try_element_at(kinds, F.col("type")), F.concat(F.lit("T"), F.col("type").cast("string"))))
+    return joined.filter("type = 8"), joined.filter("type <> 8").orderBy("kind", "inst")
 
 
 def read_documents(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:

@@ -6,17 +6,10 @@ State lives in the checkpoint folder of the query, so a restart goes on where it
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared folder of spark.checkpoint.dir, or in a temporary one where that is not set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
-    return f"{root.rstrip('/')}/tessera/{tag}-{uuid.uuid4().hex}"
+from tessera.scratch import scratch
 
 
 def daily(events: DataFrame, late: str = "2 days") -> DataFrame:
