@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 import sys
-import tempfile
 import types
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.scratch import materialize, scratch
+
+__all__ = ["WORD", "WORD_SQL", "fold_of", "join_dimension", "materialize", "scratch", "small_batches", "table", "unit_hash", "worker_state"]
+
 #: A word: a run of anything but space, tab, LF, VT, FF and CR.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -25,29 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared folder that the cluster names in spark.checkpoint.dir.
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Keep Arrow batches of long texts small, so that Python workers stay within bounds.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is made.
+    The settings are read when a plan runs, after the operator has returned it, so they stay set
+    on the session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root) if spark.conf.isModifiable("spark.checkpoint.dir") else None
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/tessera/{tag}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: lineage ends here."""
-    spark = df.sparkSession
-    path = scratch(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Keep Arrow batches of long texts small, so that Python workers stay within bounds."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
