@@ -76,12 +76,10 @@ def partitions_for(df: DataFrame) -> int:
     return max(1, -(-size // PARTITION_BYTES))
 
 
-def range_sorted(df: DataFrame, key: str, scan: DataFrame) -> DataFrame:
-    """Rows in ascending order of key (nulls first) over the partitions and within each.
-
-    scan: the rows before any join; Spark estimates a join's size as the product of its sides.
-    """
-    return df.repartitionByRange(partitions_for(scan), F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first())
+def range_sorted(df: DataFrame, key: str, tie: str) -> DataFrame:
+    """Rows in ascending order of key (nulls first), then tie, over the partitions and within each."""
+    first = F.col(key).asc_nulls_first()
+    return df.repartitionByRange(partitions_for(df), first).sortWithinPartitions(first, tie)
 
 
 def one_task_each(manifest: DataFrame) -> DataFrame:

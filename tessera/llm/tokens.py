@@ -352,7 +352,7 @@ def write_tokens(docs: DataFrame, definition: str, folder: str, end_id: int = EN
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], ["part", "path", "n_docs", "n_ids", "n_frames", "n_bytes"])
 
     rows = docs.select("doc_id", "text")
-    return materialize(range_sorted(rows, "doc_id", rows).mapInArrow(write, MANIFEST), "manifest")
+    return materialize(range_sorted(rows, "doc_id", "text").mapInArrow(write, MANIFEST), "manifest")
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:

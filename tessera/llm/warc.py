@@ -20,11 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import join_dimension, materialize, scratch, small_batches
-from tessera.llm.shards import Committed, new_folder, one_task_each, range_sorted, store_of
+from tessera.llm.common import materialize, scratch, small_batches
+from tessera.llm.shards import Committed, new_folder, one_task_each, partitions_for, store_of
 
 MIN_REVISIT_BYTES = 100
-FILE_BYTES = 64 << 20
+FILE_BYTES = 8 << 20
 #: Bytes read at a time; what follows a record in a piece is copied once for each record in it.
 PIECE = 64 << 10
 DATE = "2024-01-01T00:00:00Z"
@@ -45,9 +45,11 @@ def http_head(length: int) -> bytes:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, revisit_of: int | None, is_revisit: bool) -> bytes:
-    """One WARC record; a revisit holds the HTTP head alone."""
+def record(page_id: int | None, url: str | None, payload: bytes, earlier: dict[str, int]) -> bytes:
+    """One WARC record; a revisit (of the page that `earlier` names for the payload's digest) holds the HTTP head alone."""
     digest = hashlib.sha256(payload).hexdigest()
+    revisit_of = earlier.get(digest)
+    is_revisit = revisit_of is not None
     block = http_head(len(payload)) + (b"" if is_revisit else payload)
     fields = [
         ("WARC-Type", "revisit" if is_revisit else "response"),
@@ -108,32 +110,45 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block
 
 
-def mark_revisits(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, is_revisit and refers_to.
+def revisits(pages: DataFrame) -> DataFrame:
+    """page_id, digest and refers_to of the pages that repeat an earlier payload; no payload is shuffled for it.
 
-    Of equal payloads of at least 100 bytes the smallest page_id is the response.  Only
-    digests that occur twice or more are joined back; see join_dimension for hot ones.
-    Repeated rows of that page_id are responses each; a null page_id is never the smallest.
+    Of equal payloads of at least 100 bytes the smallest page_id is the response; a null
+    page_id is never the smallest.
     """
     body = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select("page_id", "url", "html", F.when(F.octet_length(body) >= MIN_REVISIT_BYTES, F.sha2(body.cast("binary"), 256)).alias("digest"))
-    twice = rows.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col("first_id").isNotNull())
-    found = join_dimension(rows, materialize(twice.select("digest", "first_id"), "copies"), "digest")
-    revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return found.select("page_id", "url", "html", revisit.alias("is_revisit"), F.when(revisit, F.col("first_id")).alias("refers_to"))
+    long_enough = pages.filter(F.octet_length(body) >= MIN_REVISIT_BYTES)
+    digests = materialize(long_enough.select("page_id", F.sha2(body.cast("binary"), 256).alias("digest")), "digests")
+    twice = digests.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col("refers_to").isNotNull())
+    # Spark splits the partitions of payloads that very many pages hold.
+    found = digests.join(twice.drop("n"), "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
+    return found.select("page_id", "digest", "refers_to").distinct()
+
+
+def ordered_records(pages: DataFrame) -> DataFrame:
+    """Pages in ascending order of page_id, each behind the rows that say what it repeats: payloads are shuffled once.
+
+    Rows of one page_id are ordered by url and html.
+    """
+    rows = pages.select("page_id", F.lit(1).alias("is_page"), "url", "html", F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("refers_to"))
+    marks = revisits(pages).select("page_id", F.lit(0).alias("is_page"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", "refers_to")
+    by_id = F.col("page_id").asc_nulls_first()
+    return rows.unionByName(materialize(marks, "revisits")).repartitionByRange(partitions_for(pages), by_id).sortWithinPartitions(by_id, "is_page", "url", "html")
 
 
 def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write one record per row in ascending page_id order; the manifest, as a written table.
 
-    Null html counts as empty; null page_ids come first; an empty table gives no file.  The
-    folder must be new.
+    Null html counts as empty; null page_ids come first; repeated rows of the smallest page_id
+    of a payload are responses each; an empty table gives no file.  The folder must be new.
     """
     small_batches(pages.sparkSession, 200)
     new_folder(folder)
 
     def write(batches):
         part, file, n, count, rows = TaskContext.get().partitionId(), None, 0, 0, []
+        earlier: dict[str, int] = {}
+        marked = None
 
         def close():
             file.commit()
@@ -141,7 +156,12 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> D
 
         try:
             for batch in batches:
-                for page_id, url, html, is_revisit, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for page_id, is_page, url, html, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if earlier and marked != page_id:
+                        earlier = {}
+                    if not is_page:
+                        earlier[digest], marked = refers_to, page_id
+                        continue
                     if file and file.size >= file_bytes:
                         close()
                         file, n, count = None, n + 1, 0
@@ -149,7 +169,7 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> D
                         name = f"pages-{part:07d}-{n:05d}.warc.gz"
                         file = Committed(folder, name)
                         file.write(member(warcinfo(name)))
-                    file.write(member(record(page_id, url, (html or "").encode("utf-8", "surrogatepass"), refers_to, is_revisit)))
+                    file.write(member(record(page_id, url, (html or "").encode("utf-8", "surrogatepass"), earlier)))
                     count += 1
             if file:
                 close()
@@ -161,7 +181,7 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> D
             kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], _NAMES)
 
-    return materialize(range_sorted(mark_revisits(pages), "page_id", pages).mapInArrow(write, MANIFEST), "manifest")
+    return materialize(ordered_records(pages).mapInArrow(write, MANIFEST), "manifest")
 
 
 def read_warc(manifest: DataFrame) -> DataFrame:
