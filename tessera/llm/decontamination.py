@@ -1,11 +1,15 @@
 """Benchmark decontamination with SimHash over item-sized windows.
 
-The benchmark is the stated query set; it is cut into blocks of bounded size and every
-document is searched for the items of a block in one pass, without a shuffle:
-
-* a window of an item's size is laid wherever one of the item's five-word shingles occurs
-  in the document, at the item's own offset; a window in which too few positions carry
-  benchmark shingles to reach the similarity is passed over, which loses nothing;
+The benchmark is the stated query set; Spark cuts it into blocks of bounded size in the
+shared folder, and one pass over the documents, without a shuffle, searches every text for
+the items of all blocks, one block after the other:
+
+* a window of an item's size is laid wherever one of the item's anchors, five-word shingles,
+  occurs in the document, at the anchor's own offset.  Anchors are the item's shingles but the
+  common ones; as a window that is similar enough holds four fifths of an item's shingles,
+  an item with more anchors than a fifth always has one there;
+* a window in which too few positions carry benchmark shingles to reach the similarity is
+  passed over, which loses nothing;
 * the window's SimHash is looked up in a multi-index of the items' fingerprints: 64 bits
   in four blocks of 16, each searched up to a distance of a quarter of the radius, so every
   item within the radius is found (by the pigeonhole principle);
@@ -15,20 +19,28 @@ document is searched for the items of a block in one pass, without a shuffle:
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, OrderedDict
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tessera.llm.common import small_batches
+from tessera.llm.common import scratch, small_batches, worker_state
+from tessera.llm.shards import store_of
 from tessera.llm.shingles import WIDTH, batch_words, join_hashes
 
-RADIUS, INDEX_BLOCKS, BLOCK_BITS = 19, 4, 16
+RADIUS, INDEX_BLOCKS, BLOCK_BITS = 23, 4, 16
 SIMILARITY = 0.8
 ITEMS_PER_BLOCK = 20_000
+#: Places of a block's items that a shingle may have and still be an anchor of all of them.
+COMMON_PLACES = 64
+#: Texts searched for one block before the next, in bytes, and blocks that a worker keeps ready.
+GROUP_BYTES, READY_BLOCKS = 32 << 20, 2
 FILTER_BITS = 22
 MATCHES = "array<struct<item_id:long,start:long,n_words:long,similarity:double>>"
 
@@ -59,12 +71,15 @@ class ItemIndex:
         shingles = [join_hashes(w, WIDTH) for _, w in kept]
         self.weights = [Counter(s.tolist()) for s in shingles]
         self.prints = np.array([simhash(s) for s in shingles], np.uint64)
-        anchors: dict[int, set[tuple[int, int]]] = {}
+        places = Counter(h for s in shingles for h in s.tolist())
+        self.anchors: dict[int, set[tuple[int, int]]] = {}
         for s in shingles:
-            for place, h in enumerate(s.tolist()):
-                anchors.setdefault(h, set()).add((place, len(s) + WIDTH - 1))
-        self.anchors = anchors
-        self.hashes = np.array(sorted(anchors), np.uint64)
+            ranked = sorted((places[h], k, h) for k, h in enumerate(s.tolist()))
+            needed = int((1 - SIMILARITY) * len(ranked)) + 1
+            for n, (common, place, h) in enumerate(ranked):
+                if n < needed or common <= COMMON_PLACES:
+                    self.anchors.setdefault(h, set()).add((place, len(s) + WIDTH - 1))
+        self.hashes = np.array(sorted(places), np.uint64)
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.hashes >> np.uint64(64 - FILTER_BITS)] = True
         self.masks = near_values(RADIUS // INDEX_BLOCKS)
@@ -109,7 +124,7 @@ class ItemIndex:
         """Items found in one text, each with its most similar window, in order of item_id."""
         upto = np.concatenate([[0], np.cumsum(hit)])
         n_words = len(shingles) + WIDTH - 1
-        windows = {(max(p - place, 0), size) for p in np.flatnonzero(hit).tolist() for place, size in self.anchors[int(shingles[p])]}
+        windows = {(max(p - place, 0), size) for p in np.flatnonzero(hit).tolist() for place, size in self.anchors.get(int(shingles[p]), ())}
         best: dict[int, tuple[float, int, int]] = {}
         for start, size in sorted(windows):
             end = min(start + size, n_words)
@@ -131,57 +146,100 @@ def build_index(rows: list[tuple[int, str | None]]) -> ItemIndex:
     return ItemIndex([i for i, _ in rows], [words[bounds[k] : bounds[k + 1]] for k in range(len(rows))])
 
 
-def search(docs: DataFrame, rows: list[tuple[int, str | None]]) -> DataFrame:
-    """The rows of docs, all columns, with the items of one block found in `text` as a last column __found."""
-    small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(rows)
-    columns = docs.columns
+def stored_blocks(benchmark: DataFrame, items_per_block: int = ITEMS_PER_BLOCK) -> tuple[str, int]:
+    """(folder, number of blocks): the items (item_id, text), dealt by a hash into blocks of about items_per_block.
 
-    def find(batches):
-        index = build_index(shared.value)
-        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("n_words", pa.int64()), ("similarity", pa.float64())]))
-        for batch in batches:
-            words, bounds = batch_words(batch.column("text"))
-            if len(words) < WIDTH or not len(index.hashes):
-                found = [[] for _ in range(batch.num_rows)]
-            else:
-                shingles = join_hashes(words, WIDTH)
-                hit = index.is_anchor(shingles)
-                found = []
-                for k in range(batch.num_rows):
-                    a, b = int(bounds[k]), max(int(bounds[k]), int(bounds[k + 1]) - WIDTH + 1)
-                    found.append(index.matches(shingles[a:b], hit[a:b]) if hit[a:b].any() else [])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*columns, "__found"])
-
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(find, f"{schema}, __found {MATCHES}")
-
-
-def item_blocks(benchmark: DataFrame, items_per_block: int = ITEMS_PER_BLOCK) -> list[list[tuple[int, str]]]:
-    """The items (item_id, text) in blocks of about items_per_block, by a hash; null ids and texts are no items."""
-    items = benchmark.select("item_id", "text").filter(F.col("text").isNotNull() & F.col("item_id").isNotNull())
+    Null ids and texts are no items.  Items go from Spark to the folder, never through the driver.
+    """
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.col("text").isNotNull() & F.col("item_id").isNotNull())
     blocks = max(1, -(-items.count() // items_per_block))
-    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    return [sorted((r["item_id"], r["text"]) for r in items.filter(place == k).collect()) for k in range(blocks)]
+    folder = scratch(benchmark.sparkSession, "items")
+    items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))).repartition("block").write.partitionBy("block").parquet(folder)
+    return folder, blocks
+
+
+def read_block(folder: str, block: int) -> ItemIndex:
+    store, root = store_of(f"{folder}/block={block}")
+    files = [f.path for f in store.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.path.endswith(".parquet")]
+    rows = [(r["item_id"], r["text"]) for path in files for r in pq.read_table(path, filesystem=store, partitioning=None).to_pylist()]
+    return build_index(sorted(rows))
+
+
+def block_index(folder: str, block: int) -> ItemIndex:
+    """The index of a block, made once per worker while it is among the last READY_BLOCKS asked for."""
+    ready: OrderedDict[tuple[str, int], ItemIndex] = worker_state("item_blocks", OrderedDict)
+    if (folder, block) not in ready:
+        while len(ready) >= READY_BLOCKS:
+            ready.popitem(last=False)
+        ready[folder, block] = read_block(folder, block)
+    ready.move_to_end((folder, block))
+    return ready[folder, block]
+
+
+def search_column(index: ItemIndex, texts: pa.Array) -> list[list[dict]]:
+    """The items of one block in every text of a column."""
+    words, bounds = batch_words(texts)
+    if len(words) < WIDTH or not len(index.hashes):
+        return [[] for _ in range(len(texts))]
+    shingles = join_hashes(words, WIDTH)
+    hit = index.is_anchor(shingles)
+    found = []
+    for k in range(len(texts)):
+        a, b = int(bounds[k]), max(int(bounds[k]), int(bounds[k + 1]) - WIDTH + 1)
+        found.append(index.matches(shingles[a:b], hit[a:b]) if hit[a:b].any() else [])
+    return found
+
+
+def search(rows: DataFrame, benchmark: DataFrame, items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
+    """rows (one struct column `row` with a field text) and matches: all items found in row.text, in order of item_id."""
+    small_batches(rows.sparkSession)
+    folder, blocks = stored_blocks(benchmark, items_per_block)
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("n_words", pa.int64()), ("similarity", pa.float64())]))
+
+    def groups(batches):
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            waiting.append(batch)
+            if sum(b.nbytes for b in waiting) >= GROUP_BYTES:
+                yield waiting
+                waiting = []
+        if waiting:
+            yield waiting
+
+    def find(batches):
+        for group in groups(batches):
+            found: list[list[list[dict]]] = [[[] for _ in range(batch.num_rows)] for batch in group]
+            for block in range(blocks):
+                index = block_index(folder, block)
+                for batch, of_rows in zip(group, found, strict=True):
+                    for all_, some in zip(of_rows, search_column(index, batch.column(0).field("text")), strict=True):
+                        all_ += some
+            for batch, of_rows in zip(group, found, strict=True):
+                ordered = [sorted(x, key=lambda m: (m["item_id"], m["start"], m["n_words"], m["similarity"])) for x in of_rows]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ordered, kind)], ["row", "matches"])
+
+    return rows.mapInArrow(find, StructType([rows.schema["row"], *StructType.fromDDL(f"matches {MATCHES}").fields]))
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
     """doc_id and matches (item_id, start, n_words, similarity) of every row of docs (doc_id, text).
 
     benchmark: item_id, text.  Items of fewer than five words have no shingle and match
-    nothing; neither do null and empty texts.  Every block of items is one pass over the
-    documents, without a shuffle; a repeated item matches once per row.  Rows are searched
-    one by one, so null ids and repeated rows change nothing.  start and n_words count words
+    nothing; neither do null and empty texts.  A repeated item matches once per row.  Rows are
+    searched one by one, so null ids and repeated rows change nothing.  Of an item's windows in
+    a text the most similar one is given, the first of equals.  start and n_words count words
     from 0.
     """
-    found = docs.select("doc_id", "text", F.array().cast(MATCHES).alias("matches"))
-    for rows in item_blocks(benchmark, items_per_block):
-        found = search(found, rows).select("doc_id", "text", F.concat("matches", "__found").alias("matches"))
-    return found.select("doc_id", F.array_sort("matches").alias("matches"))
+    rows = docs.select(F.struct("doc_id", "text").alias("row"))
+    return search(rows, benchmark, items_per_block).select("row.doc_id", "matches")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, contaminated, n_items, items, and the most similar item with its similarity, of every document."""
+    """doc_id, contaminated, n_items, items, and the most similar item with its similarity, of every row of docs.
+
+    Rows, items and ties are treated as in find_benchmark; of equally similar items the smallest
+    item_id is given.  Where nothing is found, item_id and similarity are null and items is empty.
+    """
     found = find_benchmark(docs, benchmark)
     best = F.array_max(F.transform("matches", lambda m: F.struct(m["similarity"].alias("s"), (-m["item_id"]).alias("i"))))
     return found.select(
@@ -195,7 +253,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs in which no benchmark item is found, with docs' own columns."""
-    for rows in item_blocks(benchmark):
-        docs = search(docs, rows).filter(F.size("__found") == 0).drop("__found")
-    return docs
+    """The rows of docs in which no benchmark item is found, with docs' own columns, whatever their names.
+
+    Rows are judged one by one as in find_benchmark: null and empty texts stay, and repeated
+    rows stay or go together.
+    """
+    whole = docs.select(F.struct(*docs.columns).alias("row"))
+    return search(whole, benchmark).filter(F.size("matches") == 0).select("row.*")
