@@ -11,6 +11,8 @@ Only built-in column functions are used.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ from tessera.llm.common import WORD_SQL, join_dimension, materialize, unit_hash
 WEIGHTS = (3, 1, 2)
 SHARE, CAP = 1.5, 2
 SYMBOLS_SQL = "[#*$%&|<>]"
-MIN_RANGES, RANGE_ROWS = 256, 20_000
+#: Expected rows of one key range at most, and the widest range as a ratio of its ends.
+RANGE_ROWS, WIDEST = 20_000, 0.1
 
 
 def word_count(text: Column) -> Column:
@@ -44,8 +47,18 @@ def _key(seed: str) -> Column:
     return (-F.log(unit_hash(F.col("doc_id"), seed)) / F.col("w")).alias("key")
 
 
-def _ranged(keyed: DataFrame, ranges: int) -> DataFrame:
-    return keyed.withColumn("range", F.floor((1.0 - F.exp(-F.col("key"))) * ranges))
+def _ranged(keyed: DataFrame, step: float) -> DataFrame:
+    """Ranges whose ends stand in a fixed ratio.
+
+    A key of weight w lies between x and x * (1 + d) with a chance of w * x * d / exp(w * x) at
+    most, so in any range with d / e at most, whatever the weight.
+    """
+    return keyed.withColumn("range", F.floor(F.log("key") / F.lit(step)))
+
+
+def range_step(rows: int) -> float:
+    """Logarithm of the ratio of a range's ends for so many rows."""
+    return math.log1p(min(WIDEST, math.e * RANGE_ROWS / max(rows, 1)))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -72,14 +85,14 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return level.select("source", "source_size", F.least(F.col("most"), F.coalesce(reached, F.lit(0.0)) * F.col("weight")).alias("target"))
 
 
-def mixing_plan(docs: DataFrame, seed: str = "mix") -> tuple[DataFrame, DataFrame, int]:
-    """(keyed documents, plan, number of key ranges): the plan has one row per source: source_size, target, epochs and where the fraction ends.
+def mixing_plan(docs: DataFrame, seed: str = "mix") -> tuple[DataFrame, DataFrame, float]:
+    """(keyed documents, plan, width of the key ranges): the plan has one row per source: source_size, target, epochs and where the fraction ends.
 
     A row of the fraction has range < cut_range, or range = cut_range and (key, doc_id) up to (cut_key, cut_id).
     """
     keyed = materialize(_keyed(docs, seed), "keyed")
-    ranges = max(MIN_RANGES, -(-keyed.count() // RANGE_ROWS))
-    keyed = _ranged(keyed, ranges)
+    step = range_step(keyed.count())
+    keyed = _ranged(keyed, step)
     sums = materialize(keyed.groupBy("source", "range").agg(F.sum("size").alias("size")), "ranges")
     targets = source_targets(sums.groupBy("source").agg(F.sum("size").alias("source_size")))
     budget = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)))
@@ -95,9 +108,11 @@ def mixing_plan(docs: DataFrame, seed: str = "mix") -> tuple[DataFrame, DataFram
     )
     ends = materialize(ends, "ends")
     inside = join_dimension(keyed, ends, "source", "inner").filter(F.col("range") == F.col("cut_range"))
+    # Repeated rows share a key and are taken together: one row for all of them, however many.
+    inside = inside.groupBy("source", "before", "rest", "key", "doc_id").agg(F.sum("size").alias("all"), F.max("size").alias("size"))
     order = Window.partitionBy("source").orderBy("key", "doc_id")
     cuts = (
-        inside.withColumn("upto", F.col("before") + F.sum("size").over(order))
+        inside.withColumn("upto", F.col("before") + F.sum("all").over(order))
         .filter(F.col("upto") - F.col("size") / 2 <= F.col("rest"))
         .groupBy("source")
         .agg(F.max(F.struct("key", "doc_id")).alias("cut"))
@@ -108,7 +123,7 @@ def mixing_plan(docs: DataFrame, seed: str = "mix") -> tuple[DataFrame, DataFram
         budget.alias("p").join(ends.alias("e"), same, "left").join(cuts.alias("c"), last, "left")
         .select("p.source", "p.source_size", "p.target", "p.epochs", "e.cut_range", F.col("c.cut.key").alias("cut_key"), F.col("c.cut.doc_id").alias("cut_id"))
     )
-    return keyed, materialize(plan, "plan"), ranges
+    return keyed, materialize(plan, "plan"), step
 
 
 def _copies() -> Column:
@@ -135,11 +150,11 @@ def mix(docs: DataFrame, seed: str = "mix") -> DataFrame:
     Keys are computed from the rows themselves, so only the small plan is joined to the
     texts and no text is shuffled.
     """
-    _, plan, ranges = mixing_plan(docs, seed)
+    _, plan, step = mixing_plan(docs, seed)
     whole = docs.select(F.struct(*docs.columns).alias("row"))
     sized = whole.select("row", "row.doc_id", "row.source", word_count(F.col("row.text")).alias("size"))
     weighed = sized.select("row", "doc_id", "source", quality_weight(F.col("row.text"), F.col("size")).alias("w"))
-    rows = _ranged(weighed.select("row", "doc_id", "source", _key(seed)), ranges)
+    rows = _ranged(weighed.select("row", "doc_id", "source", _key(seed)), step)
     found = join_dimension(rows, plan, "source", "left").withColumn("copies", _copies().cast("int"))
     return found.filter(F.col("copies") > 0).select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
