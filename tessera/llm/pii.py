@@ -3,7 +3,8 @@
 Only built-in column functions are used.  A span's place comes from the pieces that
 split() leaves between matches: both split() and regexp_extract_all() walk the same
 leftmost, non-overlapping matches.  Account numbers are proposed from every place where
-one can start, and cut to the part that the check confirms.
+one can start, and cut to the part that the check confirms.  Context are the characters
+before and behind a span, whatever stands there; a context word counts as a whole word only.
 """
 
 from __future__ import annotations
@@ -38,14 +39,17 @@ HINTS: dict[str, Callable[[Column], Column]] = {
     "iban": lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]"),
 }
 CONTEXT = {
-    "email": ("mail", "contact", "write"),
-    "ip": ("ip", "host", "server", "address"),
-    "card": ("card", "visa", "credit", "payment"),
-    "phone": ("phone", "call", "tel", "mobile"),
-    "iban": ("iban", "account", "bank"),
-    "card_short": ("card", "amex", "credit", "payment"),
+    "email": ("mail", "mails", "email", "emails", "contact", "write"),
+    "ip": ("ip", "ips", "host", "hosts", "server", "servers", "address", "addresses"),
+    "card": ("card", "cards", "visa", "mastercard", "credit", "payment", "payments"),
+    "phone": ("phone", "phones", "telephone", "call", "tel", "mobile"),
+    "iban": ("iban", "ibans", "account", "accounts", "bank"),
+    "card_short": ("card", "cards", "amex", "credit", "payment", "payments"),
 }
 CONTEXT_CHARS = 40
+#: Characters of the pieces into which a text is cut to look its contexts up.
+PIECE_CHARS = 1024
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Characters of an account number by country (registry of ISO 13616).
 ACCOUNT_CHARS = {
     k: int(n)
@@ -56,7 +60,7 @@ ACCOUNT_CHARS = {
     )
     for k in codes.split()
 }
-SPAN = "struct<s:int,e:int,digits:int,score:double>"
+SPAN = "struct<s:int,e:int,digits:int>"
 
 
 def _chars(text: Column, count: Column) -> Column:
@@ -106,17 +110,65 @@ CHECKS: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def score_of(kind: str, before: Column) -> Column:
-    """0.6, or 0.95 where a context word of the kind stands in the characters before the span."""
-    near = F.lower(F.substring(before, F.greatest(F.length(before) - CONTEXT_CHARS + 1, F.lit(1)), F.lit(CONTEXT_CHARS)))
-    hit = F.lit(False)
-    for word in CONTEXT[kind]:
-        hit = hit | F.contains(near, F.lit(word))
-    return F.when(hit, 0.95).otherwise(0.6)
+def context_pattern(kind: str) -> str:
+    """A context word of the kind between characters that are no letters or digits."""
+    return f"[^a-z0-9](?:{'|'.join(CONTEXT[kind])})[^a-z0-9]"
 
 
-def _tail(text: Column) -> Column:
-    return F.substring(text, -CONTEXT_CHARS, CONTEXT_CHARS)
+def score_of(kind: str, near: Column) -> Column:
+    """0.6, or 0.95 where a context word of the kind stands in the characters around the span."""
+    return F.when(near.rlike(context_pattern(kind)), 0.95).otherwise(0.6)
+
+
+def around(pieces: Column, span: Column) -> Column:
+    """The CONTEXT_CHARS characters before and behind a span and one more each way, A-Z in lower case; blanks stand for the text's ends and the span.
+
+    pieces: the text in pieces of PIECE_CHARS characters.
+    """
+    reach = CONTEXT_CHARS + 1
+
+    def cut(start: Column, length: Column) -> Column:
+        k = F.floor(start / PIECE_CHARS).cast("int")
+        two = F.concat(*(F.coalesce(F.try_element_at(pieces, k + n), F.lit("")) for n in (1, 2)))
+        return F.substring(two, start - k * PIECE_CHARS + 1, length)
+
+    first = F.greatest(span["s"] - reach, F.lit(0))
+    before = F.concat(F.when(span["s"] <= CONTEXT_CHARS, " ").otherwise(""), cut(first, span["s"] - first), F.lit(" "))
+    behind = F.rpad(cut(span["e"], F.lit(reach)), reach, " ")
+    return F.translate(F.concat(before, F.lit(" "), behind), CAPITALS, SMALL)
+
+
+def scored(spans: Column, pieces: Column, kind: str) -> Column:
+    """spans with a score each."""
+
+    def one(x: Column) -> Column:
+        near = around(pieces, x)
+        score = F.when(x["digits"] < 16, score_of("card_short", near)).otherwise(score_of("card", near)) if kind == "card" else score_of(kind, near)
+        return F.struct(x["s"].alias("s"), x["e"].alias("e"), x["digits"].alias("digits"), score.alias("score"))
+
+    return F.transform(spans, one)
+
+
+def fold(items: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """Walk over an array with a state; step gives (state, array of what is added to the result).
+
+    What is found is added up in chunks of the square root of the length, so that the growing
+    result is not copied at every item.
+    """
+    n = F.size(items)
+    width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+    chunks = F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1, width)).otherwise(F.array().cast("array<int>")), lambda k: F.slice(items, k + 1, width))
+    nothing = F.array().cast(f"array<{SPAN}>")
+
+    def inner(acc: Column, x: Column) -> Column:
+        moved = step(acc["state"], x)
+        return F.struct(moved["state"].alias("state"), F.when(F.size(moved["added"]) > 0, F.concat(acc["found"], moved["added"])).otherwise(acc["found"]).alias("found"))
+
+    def outer(acc: Column, chunk: Column) -> Column:
+        begun = F.struct(acc["state"].alias("state"), nothing.alias("found"))
+        return F.aggregate(chunk, begun, inner, lambda a: F.struct(a["state"].alias("state"), F.concat(acc["found"], a["found"]).alias("found")))
+
+    return F.aggregate(chunks, F.struct(start.alias("state"), nothing.alias("found")), outer, lambda acc: acc["found"])
 
 
 def account_length(match: Column) -> Column:
@@ -144,31 +196,25 @@ def find_accounts(text: Column) -> Column:
     pieces = F.when(F.size(pieces) > F.size(found), pieces).otherwise(F.concat(F.array(F.lit("")), pieces))  # no piece stands before a start at 0
     nothing = F.array().cast(f"array<{SPAN}>")
 
-    def walk(acc: Column, x: Column) -> Column:
+    def walk(at: Column, x: Column) -> Column:
         match, before = x["m"], x["p"]
-        start = acc["pos"] + F.length(before)
-        free = acc["skip"] <= F.length(before)
-        near = _tail(F.concat(acc["tail"], F.substring(before, acc["skip"] + 1, F.length(before))))
+        start = at["pos"] + F.length(before)
+        free = at["skip"] <= F.length(before)
         n = F.when(free & match.isNotNull(), account_length(match)).otherwise(0)
-        span = F.array(F.struct(start.alias("s"), (start + n).alias("e"), F.lit(0).alias("digits"), score_of("iban", near).alias("score")).cast(SPAN))
-        return F.struct(
-            start.cast("int").alias("pos"),
-            F.when(n > 0, n).when(free, 0).otherwise(acc["skip"] - F.length(before)).cast("int").alias("skip"),
-            F.when(n > 0, F.lit("")).otherwise(near).alias("tail"),
-            F.when(n > 0, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"),
-        )
 
-    first = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("skip"), F.lit("").alias("tail"), nothing.alias("spans"))
-    return F.when(HINTS["iban"](text), F.aggregate(F.arrays_zip(found.alias("m"), pieces.alias("p")), first, walk, lambda acc: acc["spans"])).otherwise(nothing)
+        def placed(n: Column) -> Column:
+            span = F.array(F.struct(start.cast("int").alias("s"), (start + n).cast("int").alias("e"), F.lit(0).alias("digits")).cast(SPAN))
+            skip = F.when(n > 0, n).when(free, 0).otherwise(at["skip"] - F.length(before))
+            return F.struct(F.struct(start.cast("int").alias("pos"), skip.cast("int").alias("skip")).alias("state"), F.when(n > 0, span).otherwise(nothing).alias("added"))
 
+        return F.element_at(F.transform(F.array(n), placed), 1)  # n is computed once
 
-def find_spans(text: Column, kind: str) -> Column:
-    """array of (s, e, digits, score) of the confirmed matches of a kind, in order of place; code points, end exclusive.
+    first = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("skip"))
+    return F.when(HINTS["iban"](text), fold(F.arrays_zip(found.alias("m"), pieces.alias("p")), first, walk)).otherwise(nothing)
 
-    Short cards, which are dropped without context, see the 40 characters before them
-    whatever other numbers stand there; for the rest the query's SQL ends the context at the
-    match before of the same kind.
-    """
+
+def find_spans(text: Column, kind: str) -> Column:
+    """array of (s, e, digits) of the confirmed matches of a kind, in order of place; code points, end exclusive."""
     if kind == "iban":
         return find_accounts(text)
     pattern, valid = PATTERNS[kind], CHECKS[kind]
@@ -176,23 +222,19 @@ def find_spans(text: Column, kind: str) -> Column:
     parts = F.arrays_zip(found.alias("m"), F.split(text, pattern, -1).alias("p"))
     nothing = F.array().cast(f"array<{SPAN}>")
 
-    def walk(acc: Column, x: Column) -> Column:
+    def walk(at: Column, x: Column) -> Column:
         match, before = x["m"], x["p"]
-        start = acc["pos"] + F.length(before)
+        start = at["pos"] + F.length(before)
         end = start + F.coalesce(F.length(match), F.lit(0))
         digits = F.length(_digits(match)) if kind == "card" else F.lit(0)
-        scores = F.when(digits < 16, score_of("card_short", F.concat(acc["tail"], before))).otherwise(score_of("card", before)) if kind == "card" else score_of(kind, before)
-        span = F.struct(start.alias("s"), end.alias("e"), digits.alias("digits"), scores.alias("score")).cast(SPAN)
-        spans = F.when(match.isNotNull() & valid(match), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-        tail = _tail(F.concat(acc["tail"], before, F.coalesce(match, F.lit(""))))
-        return F.struct(end.cast("int").alias("pos"), tail.alias("tail"), spans.alias("spans"))
+        span = F.array(F.struct(start.cast("int").alias("s"), end.cast("int").alias("e"), digits.alias("digits")).cast(SPAN))
+        return F.struct(F.struct(end.cast("int").alias("pos")).alias("state"), F.when(match.isNotNull() & valid(match), span).otherwise(nothing).alias("added"))
 
-    start = F.struct(F.lit(0).cast("int").alias("pos"), F.lit("").alias("tail"), nothing.alias("spans"))
-    return F.when(HINTS[kind](text), F.aggregate(parts, start, walk, lambda acc: acc["spans"])).otherwise(nothing)
+    return F.when(HINTS[kind](text), fold(parts, F.struct(F.lit(0).alias("pos")), walk)).otherwise(nothing)
 
 
 def personal_data(docs: DataFrame, min_score: float = 0.9) -> DataFrame:
-    """doc_id, text and one span array per kind of every document.
+    """doc_id, text and one span array (s, e, digits, score) per kind of every document.
 
     card holds confirmed runs of 16 to 19 digits; card_short those of 13 to 15 whose score
     reaches min_score (a checksum alone is weak evidence for so short a run).  Base kinds
@@ -200,6 +242,9 @@ def personal_data(docs: DataFrame, min_score: float = 0.9) -> DataFrame:
     by one, so null ids, repeated rows and other columns change nothing.
     """
     spans = docs.select("doc_id", "text", *(find_spans(F.coalesce("text", F.lit("")), k).alias(f"__{k}") for k in PATTERNS))
+    found = sum((F.size(f"__{k}") for k in PATTERNS), F.lit(0))
+    spans = spans.withColumn("__pieces", F.when(found > 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))))
+    spans = spans.select("doc_id", "text", *(scored(F.col(f"__{k}"), F.col("__pieces"), k).alias(f"__{k}") for k in PATTERNS))
     return spans.select(
         "doc_id",
         "text",
@@ -242,9 +287,15 @@ def _sql_listed(kind: str, of: str) -> str:
     return f"list_transform({of}, lambda x: '{kind}:' || x.s || ':' || (x.s + length(x.m)))"
 
 
+def _sql_near(x: str) -> str:
+    """The characters around a span x of the text t, as around() gives them."""
+    reach, end = CONTEXT_CHARS + 1, f"({x}.s + length({x}.m))"
+    before = f"CASE WHEN {x}.s <= {CONTEXT_CHARS} THEN ' ' ELSE '' END || substring(t, greatest({x}.s - {reach}, 0) + 1, {x}.s - greatest({x}.s - {reach}, 0))"
+    return f"translate({before} || '  ' || rpad(substring(t, {end} + 1, {reach}), {reach}, ' '), '{CAPITALS}', '{SMALL}')"
+
+
 def _sql_scores(kind: str, of: str) -> str:
-    words = " OR ".join(f"contains(lower(right(x.p, {CONTEXT_CHARS})), '{w}')" for w in CONTEXT[kind])
-    return f"list_transform({of}, lambda x: CASE WHEN {words} THEN '0.95' ELSE '0.6' END)"
+    return f"list_transform({of}, lambda x: CASE WHEN regexp_matches({_sql_near('x')}, '{context_pattern(kind)}') THEN '0.95' ELSE '0.6' END)"
 
 
 def oracle_sql() -> str:
@@ -279,14 +330,14 @@ def oracle_sql() -> str:
     spans = ", ".join(_sql_spans(k, p, valid[k]) for k, p in quoted.items())
     of = {k: f"f_{k}" for k in ("email", "ip", "phone", "iban")}
     of["card"] = "list_filter(f_card, lambda c: length(translate(c.m, '+ ().-', '')) >= 16)"
-    short = " OR ".join(f"contains(lower(right(c.p, {CONTEXT_CHARS})), '{w}')" for w in CONTEXT["card_short"])
+    short = f"regexp_matches({_sql_near('c')}, '{context_pattern('card_short')}')"
     of["card_short"] = f"list_filter(f_card, lambda c: length(translate(c.m, '+ ().-', '')) < 16 AND ({short}))"
     both = BASE_KINDS + ADDED_KINDS
     listed = lambda kinds: "array_to_string(" + " || ".join(_sql_listed(k, of[k]) for k in kinds) + ", ',')"
     return f"""
     WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-    pieces AS (SELECT doc_id, {pieces} FROM texts),
-    found AS (SELECT doc_id, {spans} FROM pieces)
+    pieces AS (SELECT doc_id, t, {pieces} FROM texts),
+    found AS (SELECT doc_id, t, {spans} FROM pieces)
     SELECT doc_id, {", ".join(f"CAST(len({of[k]}) AS BIGINT) AS n_{k}" for k in BASE_KINDS)},
       sha256({listed(BASE_KINDS)}) AS base_sha256, {listed(both)} AS spans,
       array_to_string({" || ".join(_sql_scores(k, of[k]) for k in both)}, ',') AS scores
