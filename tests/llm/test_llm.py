@@ -184,21 +184,59 @@ def test_a_small_language_keeps_its_grams_beside_a_large_one(spark):
     letters[:, ::11] = 32
     large = [(k, row.tobytes().decode("utf-32-le"), "zh") for k, row in enumerate(letters)]
     train = spark.createDataFrame([*large, (1000, "qwxv zzkj", "xx")], "doc_id long, text string, lang string")
-    langs, models, alphabet = language.fit(train)
-    assert langs == ["xx", "zh"] and len(models[1][3][0][0]) > 1_000_000
-    assert [r.lang_pred for r in language.predict(train.filter("doc_id = 1000").select("doc_id", "text"), langs, models, alphabet).collect()] == ["xx"]
-
-
-def test_kneser_ney_sums_to_one():
-    words = ["banana", "bandana", "cab", "ab"]
-    keys, _ = language.grams_of(words)
-    grams, counts = np.unique(keys, return_counts=True)
-    alphabet = len(np.unique(grams & np.uint64(0xFFFF))) + 1
-    tables = language.kneser_ney(grams, counts, alphabet)
-    last = np.unique(grams & np.uint64(0xFFFF))
-    for context in [*np.unique(grams >> np.uint64(16))[:6].tolist(), 0x7A007A007A]:
-        every = np.concatenate([last, [np.uint64(0xFFFF)]]) | np.uint64(context) << np.uint64(16)
-        assert abs(np.exp(language.gram_scores(tables, every.astype(np.uint64), alphabet)).sum() - 1) < 1e-5
+    model = language.fit(train)
+    assert model.langs == ("xx", "zh")
+    assert spark.read.parquet(model.folder).filter("lang = 'zh' and slot = 6").count() > 1_000_000
+    assert [r.lang_pred for r in language.predict(train.filter("doc_id = 1000").select("doc_id", "text"), model).collect()] == ["xx"]
+
+
+def brute_kneser_ney(words, alphabet):
+    """(probability of a gram's last character after the others, last characters, contexts), straight from the definition."""
+    blocks = [f"   {w} " for w in words]
+    four = Counter(b[k : k + 4] for b in blocks for k in range(len(b) - 3))
+    levels = {4: four}
+    for order in (3, 2, 1):
+        levels[order] = Counter(g[1:] for g in levels[order + 1])
+
+    def p(gram):
+        n = levels[len(gram)]
+        once, twice = sum(v == 1 for v in n.values()), sum(v == 2 for v in n.values())
+        d = min(max(once / (once + 2 * twice), 0.1), 0.9) if once else 0.5
+        lower = p(gram[1:]) if len(gram) > 1 else 1 / alphabet
+        seen = [v for g, v in n.items() if g[:-1] == gram[:-1]]
+        return max(n[gram] - d, 0) / sum(seen) + d * len(seen) / sum(seen) * lower if seen else lower
+
+    return p, sorted(levels[1]), sorted({g[:3] for g in four})
+
+
+def test_models_are_kneser_ney_by_brute_force(spark):
+    words = ["banana", "bandana", "cab", "ab", "nab", "cañada"]
+    model = language.fit(spark.createDataFrame([(" ".join(words), "aa"), ("other text", "bb"), (" ".join(words), "aa"), ("½ ²", "cc")], "text string, lang string"))
+    assert model.langs == ("aa", "bb") and model.alphabet == len(set("".join(words) + "othertext ")) + 1
+    tables = language.read_models(model)[0]
+    p, last, contexts = brute_kneser_ney(words * 2, model.alphabet)
+    pack = lambda g: np.array([sum(ord(c) << 16 * (len(g) - 1 - k) for k, c in enumerate(g))], np.uint64)
+    for context in [*contexts, "zzz", "zza", "qan"]:
+        found = [float(np.exp(language.gram_scores(tables, pack(context + c), model.alphabet)[0])) for c in [*last, "\uffff"]]
+        assert np.allclose(found, [p(context + c) for c in [*last, "\uffff"]], rtol=1e-4)
+        assert abs(sum(found[:-1]) + (model.alphabet - len(last)) * found[-1] - 1) < 1e-4
+
+
+def test_letters_are_letters():
+    assert language.LETTERS.findall("½ ² ① Ⅷ 12 _ a1b दिल्ली ét́ ́") == ["a", "b", "दिल्ली", "ét́"]
+
+
+def test_scores_do_not_depend_on_how_texts_are_grouped(spark, monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 60))) for _ in range(rng.randrange(200))) for _ in range(40)] + [None, "", "½"]
+    model = language.fit(spark.createDataFrame([(t, x) for x, t in (("aa", "abc abd ade"), ("bb", "éé bcd éa"))], "text string, lang string"))
+    names = np.array(model.langs, dtype=object)
+    whole = language.Scorer(model).texts(texts, names)
+    monkeypatch.setattr(language, "PIECE_CHARS", 50)
+    monkeypatch.setattr(language, "KNOWN_WORDS", 30)
+    cut = language.Scorer(model).texts(texts, names)
+    assert [(r[0], r[3]) for r in cut] == [(r[0], r[3]) for r in whole] and whole[-1][0] == "und"
+    assert np.allclose([r[2] or 0 for r in cut], [r[2] or 0 for r in whole])
 
 
 # ---------------------------------------------------------------- WARC
@@ -332,10 +370,63 @@ def test_multi_index_finds_all_within_the_radius():
     index = decontamination.ItemIndex(list(range(200)), [rng.integers(0, 2**63, 40, np.uint64) for _ in range(200)])
     for k in range(50):
         fingerprint = index.prints[k]
-        for bit in rng.choice(64, 19, replace=False):
+        for bit in rng.choice(64, decontamination.RADIUS, replace=False):
             fingerprint ^= np.uint64(1) << np.uint64(bit)
         near = index.within_radius(fingerprint)
-        assert near == np.flatnonzero(np.bitwise_count(index.prints ^ fingerprint) <= 19).tolist() and k in near
+        assert near == np.flatnonzero(np.bitwise_count(index.prints ^ fingerprint) <= decontamination.RADIUS).tolist() and k in near
+
+
+def brute_matches(items, words):
+    """Items with an item-sized window, laid where a shingle of the item stands at its own offset, of similarity 0.8 or more."""
+    found = set()
+    runs = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+    for item_id, own in items:
+        shingles = [tuple(own[k : k + 5]) for k in range(len(own) - 4)]
+        weights = Counter(shingles)
+        starts = {max(p - k, 0) for p, r in enumerate(runs) for k, x in enumerate(shingles) if x == r}
+        for start in starts:
+            inside = Counter(runs[start : start + len(shingles)])
+            common = (inside & weights).total()
+            if common >= 0.8 * (inside.total() + len(shingles) - common):
+                found.add(item_id)
+    return found
+
+
+def test_decontamination_recall_against_exact_similarity():
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(400)]
+    boilerplate = [rng.choice(vocabulary) for _ in range(12)]
+    items = []
+    for k in range(300):
+        words = [rng.choice(vocabulary) for _ in range(rng.choice([5, 8, 30, 60, 120]))]
+        items.append((k, words + boilerplate if k % 3 == 0 else words))
+    index = decontamination.build_index([(k, " ".join(w)) for k, w in items])
+    assert max(len(x) for x in index.anchors.values()) <= decontamination.COMMON_PLACES
+    texts, truth = [], []
+    for n in range(1500):
+        words = list(items[n % 300][1])
+        for _ in range(rng.randrange(1 + len(words) // 40)):
+            at, kind = rng.randrange(len(words)), rng.randrange(3)
+            words[at : at + (kind != 1)] = [] if kind == 2 else ["changed"]
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(20))] + words + [rng.choice(vocabulary) for _ in range(20)]
+        texts.append(" ".join(words))
+        truth.append(brute_matches(items, words))
+    found = [{m["item_id"] for m in x} for x in decontamination.search_column(index, pa.array(texts))]
+    both = sum(len(a & b) for a, b in zip(found, truth, strict=True))
+    assert all(a <= b for a, b in zip(found, truth, strict=True)) and both >= 0.999 * sum(map(len, truth)) and both > 1000
+
+
+def test_decontamination_of_long_texts_repeated_rows_and_clashing_names(spark):
+    item = " ".join(f"q{k}" for k in range(40))
+    docs = spark.createDataFrame(
+        [(1, LONG + " " + item, 5, "a"), (1, LONG + " " + item, 5, "a"), (2, LONG, 6, "b"), (2, LONG, 6, "b"), (3, f"{item} " * 500, 7, "c"), (4, None, 8, None)],
+        "doc_id long, text string, matches int, row string",
+    )
+    benchmark = spark.createDataFrame([(k, item) for k in range(50)] + [(60, "common " * 30)], "item_id long, text string")
+    left = decontamination.decontaminate(docs, benchmark)
+    assert left.columns == docs.columns and sorted((r.doc_id, r.matches) for r in left.collect()) == [(2, 6), (2, 6), (4, 8)]
+    found = {r.doc_id: r for r in decontamination.contamination(docs, benchmark).collect()}
+    assert found[1].n_items == found[3].n_items == 50 and found[1].item_id == 0 and not found[2].contaminated
 
 
 # ---------------------------------------------------------------- near duplicates
@@ -504,6 +595,21 @@ def test_numbers_beside_others_are_found(spark):
     assert [texts[6][x.s : x.e] for x in found[6].card_short] == ["378282246310005", "371449635398431"]
 
 
+def test_context_words_are_whole_words_on_both_sides(spark):
+    number, host, phone = "4111 1111 1111 1111", "10.0.0.1", "+49 30 1234567"
+    texts = {
+        1: (f"ship {host}", "ip", [0.6]), 2: (f"IP: {host}", "ip", [0.95]), 3: (f"hotel {phone}", "phone", [0.6]), 4: (f"{phone} (tel)", "phone", [0.95]), 5: (f"discard {number}", "card", [0.6]),
+        6: (f"{number} is my Card", "card", [0.95]), 7: (f"card {number}, {number}", "card", [0.95, 0.95]), 8: (f"{number}{' ' * 36}card", "card", [0.95]), 9: (f"{number}{' ' * 37}card", "card", [0.6]),
+        10: (f"{number}{' ' * 36}cardigan", "card", [0.6]), 11: (f"card{' ' * 36}{number}", "card", [0.95]), 12: (f"scard{' ' * 36}{number}", "card", [0.6]), 13: (f"card{' ' * 37}{number}", "card", [0.6]),
+        14: ("é" * 5000 + f" card {number} " + "é" * 5000 + f" {number}", "card", [0.95, 0.6]), 15: (f"card {number} " * 3000, "card", [0.95] * 3000),
+    }
+    found = {r.doc_id: r for r in pii.personal_data(texts_of(spark, [(i, t) for i, (t, _, _) in texts.items()])).collect()}
+    for i, (text, kind, scores) in texts.items():
+        assert [x.score for x in found[i][kind]] == scores, i
+        if kind == "card":
+            assert all(text[x.s : x.e] == number for x in found[i][kind])
+
+
 def test_personal_data_random(spark):
     rng = random.Random(9)
     texts = ["".join(rng.choice("0123456789 -.+@()aB%é\n") for _ in range(rng.randrange(120))) for _ in range(1500)]
