@@ -197,6 +197,22 @@ def assign_templates(names: DataFrame, by: str, item: str, rules: Sequence[tuple
     return wanted.join(claims, [by, "rule"], "left").select(by, "rule", "item", F.coalesce("status", F.lit("missing")).alias("status"))
 
 
+def requirement_status(df: DataFrame, by: str, kind: str, text: str, strong: Column, rules: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """by, name, status and n_kinds of every requirement (name, field, context, exclude) in every `by`.
+
+    A row is a hit where the field's pattern and the context's are found and the exclusion's is
+    not; empty patterns ask nothing.  One strong hit makes it matched, any hit a candidate.
+    """
+    fits = [F.col(text).rlike(f) & (F.lit(not c) | F.col(text).rlike(c)) & ~(F.lit(bool(x)) & F.col(text).rlike(x)) for _, f, c, x in rules]
+    named = F.array(*(F.when(fit, name) for (name, *_), fit in zip(rules, fits, strict=True)))
+    hits = df.select(by, kind, strong.alias("strong"), F.explode(F.filter(named, lambda x: x.isNotNull())).alias("name"))
+    kinds = hits.groupBy(by, "name", kind).agg(F.bool_or("strong").alias("strong"))
+    found = kinds.groupBy(by, "name").agg(F.bool_or("strong").alias("strong"), F.count(F.lit(1)).alias("n_kinds"))
+    wanted = df.select(by).distinct().select(by, F.explode(F.array(*(F.lit(name) for name, *_ in rules))).alias("name"))
+    status = F.when(F.col("strong"), "matched").when(F.col("n_kinds") > 0, "candidate").otherwise("missing")
+    return wanted.join(found, [by, "name"], "left").select(by, "name", status.alias("status"), F.coalesce("n_kinds", F.lit(0)).alias("n_kinds"))
+
+
 def top_inputs(hits: DataFrame, requirement: str, rank: str, order: Sequence[str], keep: int = 8) -> DataFrame:
     """The best `keep` inputs of each requirement by rank, then order, with their place from 1."""
     place = F.row_number().over(Window.partitionBy(requirement).orderBy(rank, *order))

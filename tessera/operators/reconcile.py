@@ -97,3 +97,19 @@ def diverging_pairs(df: DataFrame, key: Sequence[str], role: str, first: str, se
     a = df.filter(F.col(role) == first).groupBy(*key).agg(F.max(value).alias("__a"))
     b = df.filter(F.col(role) == second).groupBy(*key).agg(F.max(value).alias("__b"))
     return a.join(b, list(key)).select(*key, F.col("__a").eqNullSafe(F.col("__b")).alias("agrees"))
+
+
+def sync_plan(units: DataFrame, of_class: str, raw: str, value: Column) -> DataFrame:
+    """units with value and action: without a class a unit is refused, an unchanged value is the same, others are to be written."""
+    planned = units.withColumn("value", value)
+    return planned.withColumn("action", F.when(F.col(of_class).isNull(), "refused").when(F.col("value").eqNullSafe(F.col(raw)), "same").otherwise("write"))
+
+
+def first_rung(tables: DataFrame, model: str, code: str, shapes: Sequence[tuple[int, Column]]) -> DataFrame:
+    """model, rung, code and n: of the ways (rung, condition) to find a model's codes the lowest that finds any, with all its codes."""
+    rung = F.lit(None).cast("int")
+    for number, found in sorted(shapes, key=lambda s: -s[0]):
+        rung = F.when(found, number).otherwise(rung)
+    tried = tables.select(model, code, rung.alias("rung")).filter("rung is not null")
+    lowest = tried.groupBy(model).agg(F.min("rung").alias("rung"))
+    return tried.join(lowest, [model, "rung"], "left_semi").groupBy(model, "rung", code).agg(F.count(F.lit(1)).alias("n"))
