@@ -10,7 +10,6 @@ isotonic calibration.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +45,7 @@ def pool_adjacent(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def isotonic(histogram: list[tuple[int, float, float]]) -> tuple[np.ndarray, np.ndarray]:
-    """Knots (raw score, probability) from (bin, rows, rows labelled 1); one weak prior row each way keeps them within (0, 1)."""
+    """Knots (raw score, probability) from (bin, rows, rows labelled 1); probabilities keep 0.001 away from 0 and 1."""
     rows = sorted(histogram)
     if not rows:
         return np.array([0.0, 1.0]), np.array([0.0, 1.0])
@@ -103,14 +102,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, size: int = 256, width: f
             [pa.array([h for h, _ in keep], pa.int64()), pa.array([i for _, i in keep], pa.int64()), pa.array([sums[h, i].tolist() for h, i in keep], pa.list_(pa.float64()))], ["half", "i", "row"]
         )
 
-    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"half": [key[0]], "i": [key[1]], "row": [np.sum(np.stack(rows["row"].to_numpy()), axis=0).tolist()]})
-
+    # One row per partition, half and i comes here; sums of columns hold one row of each group at a time.
     parts = train.mapInArrow(normal_equations, "half long, i long, row array<double>")
-    solved = parts.groupBy("half", "i").applyInPandas(add, "half long, i long, row array<double>").collect()
+    solved = parts.groupBy("half", "i").agg(*(F.sum(F.col("row")[j]).alias(f"s{j}") for j in range(size + 2))).collect()
     sums = np.zeros((2, size + 1, size + 2))
     for r in solved:
-        sums[r["half"], r["i"]] = r["row"]
+        sums[r["half"], r["i"]] = r[2:]
     if not all(sums[h, 0, 0] for h in (0, 1)):  # one half has no rows: both use what there is
         sums[:] = sums.sum(axis=0)
     penalty = ridge * np.eye(size + 1)
