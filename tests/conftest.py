@@ -46,6 +46,6 @@ def rows_of(found):
     places = [names.index(c) for c in sorted(names)]
 
     def cell(v):
-        return "" if v is None or v != v else repr(round(v, 6)) if isinstance(v, float) else str(v)
+        return "(null)" if v is None else "(nan)" if v != v else repr(round(v, 6)) if isinstance(v, float) else str(v)
 
     return sorted(tuple(cell(row[k]) for k in places) for row in rows)
