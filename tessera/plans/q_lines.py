@@ -353,3 +353,25 @@ def ranked_tables(spark: SparkSession, d: str) -> DataFrame:
     rows = load(spark, d, "part").select("p_partkey", "p_brand", category.alias("category"), score.alias("score"))
     place = F.row_number().over(Window.partitionBy("p_brand", "category").orderBy(F.desc("score"), "p_partkey")).cast("long")
     return rows.withColumn("place", place)
+
+
+#: Nine independent readers of point lines; where no group is given for the name it stands on the next line.
+POINT_READERS = [
+    ("lontalk", "^(nv[io]|nci)([A-Z][A-Za-z0-9]*)$", 2, 0), ("bacnet", "^((?:A|B|MS)[IOV]-[0-9]+)$", 1, 0), ("reversed", "^([0-9]+-(?:A|B)[IOV])$", 1, 0),
+    ("type first", "^((?:A|B)[IOV] [0-9]+) (.+)$", 1, 2), ("name first", "^(.+) ((?:A|B)[IOV]-?[0-9]+)$", 2, 1), ("wide register", "^([34][0-9]{5}) (.+)$", 1, 2),
+    ("register", "^([34][0-9]{4}) (.+)$", 1, 2), ("hex register", "^([0-9A-F]{4}h) (.+)$", 1, 2), ("bare id", "^([0-9]{1,6})$", 1, 0),
+]
+_FORMS = ["'nvoTemp' || s", "'AI-' || s", "s || '-BV'", "'AO ' || s || ' ' || n", "n || ' BI' || s", "'4' || lpad(s, 5, '0') || ' ' || n", "'3' || lpad(s, 4, '0') || ' ' || n", "lpad(s, 4, '0') || 'h ' || n", "s"]
+_CODES = ["'Temp' || s", "'AI-' || s", "s || '-BV'", "'AO ' || s", "'BI' || s", "'4' || lpad(s, 5, '0')", "'3' || lpad(s, 4, '0')", "lpad(s, 4, '0') || 'h'", "s"]
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey, CAST(p_size AS VARCHAR) AS s, p_name AS n, p_partkey % 9 AS k FROM part)
+SELECT p_partkey, CASE k {" ".join(f"WHEN {k} THEN '{r[0]}'" for k, r in enumerate(POINT_READERS))} END AS reader, CASE k {" ".join(f"WHEN {k} THEN {c}" for k, c in enumerate(_CODES))} END AS code, n AS name FROM p""")
+def point_line_readings(spark: SparkSession, d: str) -> DataFrame:
+    """Nine forms of point lines read by nine readers; codes alone take the next line as name."""
+    own = F.expr("CASE k " + " ".join(f"WHEN {k} THEN {f}" for k, f in enumerate(_FORMS)) + " END")
+    p = load(spark, d, "part").select("p_partkey", F.col("p_size").cast("string").alias("s"), F.col("p_name").alias("n"), (F.col("p_partkey") % 9).alias("k"))
+    both = F.filter(F.array(own, F.when(F.col("k").isin(0, 1, 2, 8), F.col("n"))), lambda x: x.isNotNull())
+    rows = p.select("p_partkey", F.posexplode(both).alias("pos", "line"))
+    return lines.readings(rows, ["p_partkey"], POINT_READERS).select("p_partkey", "reader", "code", "name")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.functions import labels as L
 from tessera.functions import scalar as S
 from tessera.operators import headers, order
 from tessera.plans.registry import query
@@ -112,7 +113,7 @@ def continued_titles(spark: SparkSession, d: str) -> DataFrame:
     """Titles without their continuation mark."""
     title = F.when(F.col("p_size") % 3 == 0, F.concat("p_name", F.lit(" (Continued)"))).otherwise(F.col("p_name"))
     t = load(spark, d, "part").select(title.alias("title"))
-    return t.groupBy(F.regexp_replace("title", r"(?i)\s*\(continued\)\s*$", "").alias("base")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("title").rlike(r"(?i)\(continued\)\s*$")).alias("continued"))
+    return t.groupBy(L.base_title(F.col("title")).alias("base")).agg(F.count(F.lit(1)).alias("n"), F.count_if(L.is_continued(F.col("title"))).alias("continued"))
 
 
 @query("""
@@ -218,8 +219,8 @@ def table_relevance(spark: SparkSession, d: str) -> DataFrame:
 SELECT coalesce(lang, 'all') AS lang, count(*) AS n, count(DISTINCT source) AS n_sources FROM documents GROUP BY GROUPING SETS ((lang), ())""")
 def totals_and_parts(spark: SparkSession, d: str) -> DataFrame:
     """Totals beside the parts they are made of."""
-    load(spark, d, "documents").createOrReplaceTempView("documents")
-    return spark.sql("SELECT coalesce(lang, 'all') AS lang, count(*) AS n, count(DISTINCT source) AS n_sources FROM documents GROUP BY GROUPING SETS ((lang), ())")
+    text = "SELECT coalesce(lang, 'all') AS lang, count(*) AS n, count(DISTINCT source) AS n_sources FROM {documents} GROUP BY GROUPING SETS ((lang), ())"
+    return spark.sql(text, documents=load(spark, d, "documents"))
 
 
 @query("""
@@ -276,7 +277,7 @@ def bit_names(spark: SparkSession, d: str) -> DataFrame:
     """Of a bit's two labels the one that is not negated."""
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     zero = F.when(flag == "A", F.concat(status, F.lit(" on"))).when(flag == "N", F.concat(F.lit("no "), status)).otherwise(status)
-    return load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", zero.alias("zero"), F.when(zero.rlike("^no "), status).otherwise(zero).alias("chosen"))
+    return load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", zero.alias("zero"), L.positive_label(zero).alias("chosen"))
 
 
 @query("""
@@ -368,9 +369,9 @@ def subscript_rejoin(spark: SparkSession, d: str) -> DataFrame:
 SELECT s_suppkey, s_name || CASE WHEN s_acctbal > 5000 THEN ' / large' WHEN s_acctbal < 0 THEN ' / debt' ELSE '' END AS label, CASE WHEN s_nationkey < 5 THEN 'chiller' WHEN s_nationkey < 10 THEN 'rooftop' ELSE 'other' END AS subtype FROM supplier""")
 def selector_labels(spark: SparkSession, d: str) -> DataFrame:
     """Display labels and subtypes by cascades."""
-    suffix = F.when(F.col("s_acctbal") > 5000, " / large").when(F.col("s_acctbal") < 0, " / debt").otherwise("")
-    subtype = F.when(F.col("s_nationkey") < 5, "chiller").when(F.col("s_nationkey") < 10, "rooftop").otherwise("other")
-    return load(spark, d, "supplier").select("s_suppkey", F.concat("s_name", suffix).alias("label"), subtype.alias("subtype"))
+    label = L.display_label(F.col("s_name"), [(F.col("s_acctbal") > 5000, "large"), (F.col("s_acctbal") < 0, "debt")])
+    subtype = L.cascade([(F.col("s_nationkey") < 5, "chiller"), (F.col("s_nationkey") < 10, "rooftop")], "other")
+    return load(spark, d, "supplier").select("s_suppkey", label.alias("label"), subtype.alias("subtype"))
 
 
 @query("""
@@ -379,7 +380,7 @@ def promoted_status(spark: SparkSession, d: str) -> DataFrame:
     """Proposals promoted to verified for chosen codes; confirmed ones keep their status."""
     o = load(spark, d, "orders")
     stored = F.when(F.col("o_orderstatus") == "P", "manual").otherwise("extracted")
-    status = F.when((stored == "extracted") & F.startswith("o_orderpriority", F.lit("1")), "verified").otherwise(stored)
+    status = L.promoted(stored, F.startswith("o_orderpriority", F.lit("1")))
     return o.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("o_custkey").alias("n_models"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import labels
 from tessera.operators import gates, publish, reconcile
 from tessera.plans.registry import query
 from tessera.sources.tables import load
@@ -189,8 +190,9 @@ SELECT coalesce(own, CASE WHEN contains(c_mktsegment, 'AUTO') THEN 'auto' WHEN c
 def conditional_default(spark: SparkSession, d: str) -> DataFrame:
     """An explicit value beats an ordered list of rules."""
     seg = F.col("c_mktsegment")
-    derived = F.when(F.contains(seg, F.lit("AUTO")), "auto").when(F.col("c_acctbal") < 0, "debt").when(F.contains(seg, F.lit("E")), "other").otherwise("none")
-    return load(spark, d, "customer").groupBy(F.coalesce(F.when(F.col("c_custkey") % 7 == 0, "explicit"), derived).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    rules = [(F.contains(seg, F.lit("AUTO")), "auto"), (F.col("c_acctbal") < 0, "debt"), (F.contains(seg, F.lit("E")), "other")]
+    kind = labels.defaulted(F.when(F.col("c_custkey") % 7 == 0, "explicit"), rules, "none")
+    return load(spark, d, "customer").groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""

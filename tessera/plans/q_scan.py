@@ -73,6 +73,27 @@ def register_scan(spark: SparkSession, d: str) -> DataFrame:
     return scan.scan(cells, REGISTERS)[0].select("doc", "type", "inst", "name")
 
 
+TYPED = scan.Family("typed points", [("objtype", "object type"), ("instance", "instance"), ("name", "point name")], keys=("objtype",))
+_TYPED_CELLS = """
+WITH c AS (SELECT c_nationkey, c_custkey, c_name, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer),
+d AS (SELECT DISTINCT c_nationkey FROM c),
+h AS (SELECT 0 AS k, 'Point  Name' AS val UNION ALL SELECT 1, 'Object Type' UNION ALL SELECT 2, 'INSTANCE')
+SELECT 'c' || c_nationkey AS doc, 1 AS page, 0 AS tab, 0 AS row, k AS col, val FROM d CROSS JOIN h
+UNION ALL SELECT 'c' || c_nationkey, 1, 0, CAST(r AS INT), 0, c_name FROM c
+UNION ALL SELECT 'c' || c_nationkey, 1, 0, CAST(r AS INT), 1, CASE c_custkey % 4 WHEN 0 THEN 'Analog Value' WHEN 1 THEN 'BI' WHEN 2 THEN 'multi-state Output' ELSE 'Schedule' END FROM c
+UNION ALL SELECT 'c' || c_nationkey, 1, 0, CAST(r AS INT), 2, CAST(c_custkey % 50 AS VARCHAR(9)) FROM c"""
+
+
+@query("""
+WITH t AS (SELECT 'c' || c_nationkey AS doc, CASE c_custkey % 4 WHEN 0 THEN 'AV' WHEN 1 THEN 'BI' WHEN 2 THEN 'MSO' END AS type, CAST(c_custkey % 50 AS INT) AS inst, c_custkey, c_name AS name FROM customer),
+f AS (SELECT *, row_number() OVER (PARTITION BY doc, type, inst ORDER BY c_custkey) AS r FROM t WHERE type IS NOT NULL)
+SELECT doc, type, inst, name FROM f WHERE r = 1""")
+def typed_scan(spark: SparkSession, d: str) -> DataFrame:
+    """A third family: the type in a column of its own, the number in another."""
+    cells = spark.sql(_TYPED_CELLS.replace("FROM customer", "FROM {customer}").replace("VARCHAR(9)", "STRING"), customer=load(spark, d, "customer"))
+    return scan.scan(cells, TYPED)[0].select("doc", "type", "inst", "name")
+
+
 _SIDES = {"degF": "IP", "deg. C": "SI", "percent": "both", "CFM": "IP", "kPa": "SI", "L/S": "SI", "furlong": None, "Voltage": "both"}
 
 

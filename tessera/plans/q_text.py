@@ -48,8 +48,7 @@ p AS (SELECT *, CASE WHEN regexp_matches(raw, '^AI') THEN 'AI' WHEN regexp_match
 SELECT type, count(*) AS n, min(inst) AS low, max(inst) AS high, count(DISTINCT inst) AS n_inst FROM p GROUP BY type""")
 def object_ids(spark: SparkSession, d: str) -> DataFrame:
     """Object ids in five spellings parsed and tallied."""
-    load(spark, d, "lineitem").createOrReplaceTempView("lineitem")
-    raw = spark.sql(_OBJECTS).select(S.object_id(F.col("raw")).alias("x")).select("x.type", "x.inst")
+    raw = spark.sql(_OBJECTS.replace("FROM lineitem", "FROM {lineitem}"), lineitem=load(spark, d, "lineitem")).select(S.object_id(F.col("raw")).alias("x")).select("x.type", "x.inst")
     return raw.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.min("inst").alias("low"), F.max("inst").alias("high"), F.countDistinct("inst").alias("n_inst"))
 
 
@@ -126,8 +125,7 @@ e AS (SELECT p_partkey, regexp_extract_all(note, '(-?[0-9]+)\s*[=:]\s*([A-Za-z][
 SELECT p_partkey, i AS place, c[i] AS code, trim(l[i]) AS label FROM (SELECT *, unnest(range(1, len(c) + 1)) AS i FROM e WHERE len(c) >= 2)""")
 def enum_states(spark: SparkSession, d: str) -> DataFrame:
     """Enumerations in notes as child rows; fewer than two entries are none."""
-    load(spark, d, "part").createOrReplaceTempView("part")
-    notes = spark.sql(f"SELECT p_partkey, {_STATES} AS note FROM part")
+    notes = load(spark, d, "part").select("p_partkey", F.expr(_STATES).alias("note"))
     found = with_children(notes, ["p_partkey"], S.enum_states(F.col("note")), ["code", "label"])
     return found.withColumn("place", F.col("place").cast("long"))
 
@@ -143,8 +141,7 @@ SELECT p_partkey, array_to_string(list_transform(list_filter(p, lambda x: starts
   list_contains(p, 'writable') AS writable FROM n""")
 def note_decompose(spark: SparkSession, d: str) -> DataFrame:
     """Notes cut into tagged parts; a repeated tag is joined, the rest stays a description."""
-    load(spark, d, "part").createOrReplaceTempView("part")
-    n = spark.sql(f"SELECT p_partkey, {_NOTE} AS note FROM part")
+    n = load(spark, d, "part").select("p_partkey", F.expr(_NOTE).alias("note"))
     note = F.col("note")
     return n.select(
         "p_partkey", S.note_parts(note, "range ").alias("range_raw"), S.note_parts(note, "code ").alias("code"),
