@@ -155,9 +155,6 @@ def fold(items: Column, start: Column, step: Callable[[Column, Column], Column])
     What is found is added up in chunks of the square root of the length, so that the growing
     result is not copied at every item.
     """
-    n = F.size(items)
-    width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
-    chunks = F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1, width)).otherwise(F.array().cast("array<int>")), lambda k: F.slice(items, k + 1, width))
     nothing = F.array().cast(f"array<{SPAN}>")
 
     def inner(acc: Column, x: Column) -> Column:
@@ -168,7 +165,13 @@ def fold(items: Column, start: Column, step: Callable[[Column, Column], Column])
         begun = F.struct(acc["state"].alias("state"), nothing.alias("found"))
         return F.aggregate(chunk, begun, inner, lambda a: F.struct(a["state"].alias("state"), F.concat(acc["found"], a["found"]).alias("found")))
 
-    return F.aggregate(chunks, F.struct(start.alias("state"), nothing.alias("found")), outer, lambda acc: acc["found"])
+    def walk(once: Column) -> Column:
+        n = F.size(once)
+        width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+        chunks = F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1, width)).otherwise(F.array().cast("array<int>")), lambda k: F.slice(once, k + 1, width))
+        return F.aggregate(chunks, F.struct(start.alias("state"), nothing.alias("found")), outer, lambda acc: acc["found"])
+
+    return F.element_at(F.transform(F.array(items), walk), 1)  # the items are found once, not once a chunk
 
 
 def account_length(match: Column) -> Column:
