@@ -260,3 +260,28 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     whole = docs.select(F.struct(*docs.columns).alias("row"))
     return search(whole, benchmark).filter(F.size("matches") == 0).select("row.*")
+
+
+#: The matches by exact similarity of all windows that any shingle of an item places, without fingerprints; item_ids are unique.
+ORACLE = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM benchmark
+  WHERE text IS NOT NULL AND item_id IS NOT NULL),
+ds AS (SELECT doc_id, len(w) AS nw, unnest(range(0, len(w) - 4)) AS p, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS x FROM dw WHERE len(w) >= 5),
+its AS (SELECT item_id, len(w) AS size, unnest(range(0, len(w) - 4)) AS k, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS x FROM iw WHERE len(w) >= 5),
+counts AS (SELECT item_id, x, count(*) AS n FROM its GROUP BY item_id, x),
+cand AS (SELECT DISTINCT doc_id, nw, item_id, size, greatest(p - k, 0) AS start FROM ds JOIN its ON ds.x = its.x),
+placed AS (SELECT doc_id, item_id, start, size - 4 AS m, least(start + size, nw) - 4 AS upto FROM cand),
+win AS (
+  SELECT c.doc_id, c.item_id, c.start, c.m, c.upto - c.start AS n_window, ds.x, count(*) AS n FROM placed c JOIN ds ON ds.doc_id = c.doc_id AND ds.p >= c.start AND ds.p < c.upto
+  GROUP BY c.doc_id, c.item_id, c.start, c.m, c.upto, ds.x),
+common AS (
+  SELECT win.doc_id, win.item_id, start, m, n_window, sum(least(win.n, counts.n)) AS common FROM win JOIN counts ON counts.item_id = win.item_id AND counts.x = win.x
+  GROUP BY win.doc_id, win.item_id, start, m, n_window),
+matches AS (SELECT doc_id, item_id, max(common / (m + n_window - common)::DOUBLE) AS s FROM common GROUP BY doc_id, item_id HAVING max(common / (m + n_window - common)::DOUBLE) >= 0.8),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items, max(s) AS similarity, arg_min(item_id, (-s, item_id)) AS item_id FROM matches GROUP BY doc_id)
+SELECT d.doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items, found.item_id, similarity
+FROM documents d LEFT JOIN found ON found.doc_id = d.doc_id
+"""

@@ -206,3 +206,31 @@ def deduplicate_lines(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS, moved:
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_id"))
     both = rows.join(doomed.hint("merge"), (F.col("doc_id") == F.col("other_id")) & (F.col("text_id") == F.col("other_text")), "left")
     return both.select("doc_id", "text", "doomed", "n_moved").mapInArrow(cut, "doc_id long, text string, n_lines long, n_removed long, n_moved long, removed_words long")
+
+
+#: The rule in DuckDB, for tables of one row per doc_id: the shortest runs of 20 words from each line on and up to each line, by their text.
+ORACLE = r"""
+WITH raw AS (
+  SELECT doc_id, unnest(range(0, len(parts))) AS pos, unnest(parts) AS raw FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+bare AS (SELECT *, regexp_replace(regexp_replace(raw, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') AS line FROM raw),
+l AS (
+  SELECT doc_id, pos, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS place
+  FROM bare WHERE line <> ''),
+c AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY place) AS upto, sum(w) OVER (PARTITION BY doc_id ORDER BY place) - w AS ahead FROM l),
+wide AS (SELECT a.doc_id, a.place AS first, b.place AS last FROM c a JOIN c b ON a.doc_id = b.doc_id AND a.place <= b.place AND b.upto - a.ahead >= 20),
+runs AS (SELECT doc_id, first, min(last) AS last FROM wide GROUP BY doc_id, first UNION SELECT doc_id, max(first), last FROM wide GROUP BY doc_id, last),
+texts AS (
+  SELECT r.doc_id, r.first, r.last, string_agg(line, chr(10) ORDER BY place) AS t FROM runs r JOIN c ON c.doc_id = r.doc_id AND place BETWEEN r.first AND r.last
+  GROUP BY r.doc_id, r.first, r.last),
+owners AS (SELECT t, min(doc_id) AS owner FROM texts GROUP BY t HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT x.doc_id, place, w FROM texts x JOIN owners o ON o.t = x.t JOIN c ON c.doc_id = x.doc_id AND place BETWEEN x.first AND x.last WHERE x.doc_id > owner),
+kept AS (
+  SELECT b.doc_id, string_agg(raw, chr(10) ORDER BY b.pos) AS text FROM bare b LEFT JOIN l ON l.doc_id = b.doc_id AND l.pos = b.pos
+  LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.place = l.place WHERE g.place IS NULL GROUP BY b.doc_id),
+counts AS (SELECT doc_id, count(*) AS n_lines FROM l GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n_removed, CAST(sum(w) AS BIGINT) AS removed_words FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed_words, 0) AS removed_words,
+  length(coalesce(kept.text, '')) AS n_chars, sha256(coalesce(kept.text, '')) AS text_sha256
+FROM documents d LEFT JOIN counts ON counts.doc_id = d.doc_id LEFT JOIN removed ON removed.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""

@@ -59,7 +59,7 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.deduplicate_lines(table(spark, sf_dir, "documents"))
     text = F.coalesce("text", F.lit(""))
-    return found.select("doc_id", "n_lines", "n_removed", "n_moved", "removed_words", F.length(text).cast("long").alias("n_chars"), F.sha2(text.cast("binary"), 256).alias("text_sha256"))
+    return found.select("doc_id", "n_lines", "n_removed", "removed_words", F.length(text).cast("long").alias("n_chars"), F.sha2(text.cast("binary"), 256).alias("text_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -80,7 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_warc": warc.ORACLE,
+    "op5_decontamination": decontamination.ORACLE,
     "op6_mixing": mixing.ORACLE,
     "op8_near_duplicates": near_duplicates.ORACLE,
     "op9_personal_data": pii.oracle_sql(),
+    "op10_line_dedup": line_dedup.ORACLE,
 }
