@@ -81,7 +81,7 @@ def point_rows(rows: DataFrame, family: Family) -> DataFrame:
     kind = F.coalesce(parsed["type"], F.when(bare.isNotNull(), F.lit(family.default_type)), F.when(has("objtype").isNotNull(), typed["type"]))
     inst = F.coalesce(parsed["inst"], F.when(F.lit(family.default_type).isNotNull(), bare), F.when(has("objtype").isNotNull(), typed["inst"]))
     guard = S.unit_or_note(has("unit"), has("note"))
-    repeats_header = squeezed(has("name")).isin(*(a for f, a in family.aliases if f == "name"))
+    repeats_header = squeezed(has("name")).isin(*("".join(a.lower().split()) for f, a in family.aliases if f == "name"))
     skip = F.when(has("name").isNull(), "no name").when(repeats_header, "header again").when(kind.isNull() | inst.isNull(), "no id")
     return rows.select(*TABLE, "row", kind.alias("type"), inst.alias("inst"), has("name").alias("name"), guard["unit"].alias("unit_raw"), S.canonical_unit(guard["unit"]).alias("unit"), guard["note"].alias("note"), skip.alias("skip"))
 

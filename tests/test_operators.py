@@ -117,3 +117,87 @@ def test_search_cap_is_per_kind(spark):
     df = spark.createDataFrame([(i, "Red") for i in range(5)], "i int, n string")
     found = publish.search([("a", df, F.col("i"), F.col("n")), ("b", df, F.col("i"), F.col("n"))], "red", cap=2)
     assert found.groupBy("kind").count().collect()[0]["count"] == 2 and found.count() == 4
+
+
+def test_units_of_one_system(spark):
+    assert column(spark, ["°F", "Deg C", "PERCENT", "% rh", "Lps", "furlong", "", None, "GPM"], S.unit_side) == ["IP", "SI", "both", "both", "SI", None, None, None, "IP"]
+    assert column(spark, ["Mass", "VELOCITY - x", "Not  Applicable", "Enthalpy, spec", "thing"], S.unit_state) == ["group", "group", "group", "group", "unknown"]
+    assert column(spark, ["mmAq", "㎥/h", "kbps", "% RH", "Hrs"], S.canonical_unit) == ["mmH2O", "m3h", "bps", "percent", "h"]
+
+
+def test_range_signs(spark):
+    found = column(spark, ["1 – 2", "1--2", "1 TO 2", "1-2-3", "1 ~ DRV", "-5~-1"], S.parse_range)
+    assert [(x["min"], x["max"]) for x in found] == [(1, 2), (1, 2), (1, 2), (None, None), (None, None), (-5, -1)]
+
+
+def test_object_ids_of_other_shapes(spark):
+    found = column(spark, ["AI 7 ]", "ai[ 12 ]", "Analog  Inputs , 3", "Binary Output 1]", "Analog, 1", "AI1234567", "MSV-4 x", "multistate input 9", "LAV: 2"], S.object_id)
+    assert [tuple(x) for x in found] == [("AI", 7), ("AI", 12), ("AI", 3), (None, None), (None, None), (None, None), (None, None), ("MSI", 9), ("LAV", 2)]
+
+
+def test_registers(spark):
+    assert column(spark, ["3x0004", "D14A", "40001", "2x0001", "3x04", "1234567", "d14a", ""], S.register_address) == [30004, 0x14A, 40001, None, None, None, None, None]
+
+
+def test_long_chains_and_null_keys_in_segments(spark):
+    keys = ["a", None, None, "b", "a"] + ["x"] * 70
+    df = spark.createDataFrame([(None, i, k) for i, k in enumerate(keys)] + [(2, 0, "z")], "d int, i int, k string")
+    found = [r.segment for r in order.key_reuse_segments(df, ["d"], ["i"], "k").filter("d is null").orderBy("i").collect()]
+    assert found == [0, 0, 0, 0, 1] + list(range(1, 71))
+
+
+def test_loose_parts_keep_groups_whole():
+    assert match.loose_parts("sup(ply|.*air).*temp.+sensor|a.*bcd") == [["sup(ply|.*air)", "temp", "sensor"]]
+
+
+def test_names_that_hold_each_other(spark):
+    left = spark.createDataFrame([("b", "Fan Speed"), ("b", "ab"), ("b", "abc"), ("c", "Fan")], "b string, n string")
+    right = spark.createDataFrame([("b", "supply fan-speed 2"), ("b", "AB"), ("b", "abcd"), ("b", "fans"), ("c", "fan")], "b string, o string")
+    found = {(r.b, r.n, r.o) for r in match.contained_names(left, right, ["b"], "n", "o").collect()}
+    both = left.join(right, "b").filter(match.same_or_contained(F.col("n"), F.col("o")))
+    assert found == {(r.b, r.n, r.o) for r in both.collect()} == {("b", "Fan Speed", "supply fan-speed 2"), ("b", "Fan Speed", "fans"), ("b", "ab", "AB"), ("c", "Fan", "fan")}
+
+
+def test_overlaps_of_equal_groups(spark):
+    left = spark.createDataFrame([(g, k) for g in (1, 2, 3) for k in ("x", "y")] + [(4, "z")], "a int, k string")
+    right = spark.createDataFrame([(8, "x", 2), (8, "y", 2), (9, "x", 1), (9, "y", 1), (7, "y", 0)], "b int, k string, o int")
+    assert {(r.a, r.b, r.n) for r in match.best_overlap(left, right, ["k"], "a", "b", "o").collect()} == {(1, 9, 2), (2, 9, 2), (3, 9, 2)}
+
+
+def test_nearest_sets_tell_ties(spark):
+    queries = spark.createDataFrame([(1, ["a", "b"]), (2, ["q"]), (3, [])], "i int, q array<string>")
+    sets = spark.createDataFrame([(10, ["a"]), (11, ["b"]), (12, ["a"]), (13, ["z", "a", "b"])], "s int, t array<string>")
+    found = {r.i: (r.s, round(r.score, 3), r.n_best) for r in match.nearest_sets(queries, sets, "i", "q", "s", "t").collect()}
+    assert found == {1: (13, 0.667, 1), 2: (10, 0.0, 4), 3: (10, 0.0, 4)}
+
+
+def test_templates_claim_in_two_passes(spark):
+    names = spark.createDataFrame([("m", x) for x in ("supply air temp", "air temp of supply", "fan")], "m string, n string")
+    found = {r.rule: (r.item, r.status) for r in match.assign_templates(names, "m", "n", [("r1", "supply.*temp"), ("r2", "supply.*temp"), ("r3", "^pump")]).collect()}
+    assert found == {"r1": ("supply air temp", "matched"), "r2": ("air temp of supply", "loose"), "r3": (None, "missing")}
+
+
+def test_closure_of_compound_names(spark):
+    edges = spark.createDataFrame([("hot-water-pump", "motor"), ("pump", "device")], "child string, parent string")
+    found = {(r.node, r.ancestor, r.depth) for r in graph.closure(graph.with_parts(edges)).collect()}
+    assert {("hot-water-pump", "pump", 1), ("hot-water-pump", "device", 2), ("hot-water-pump", "motor", 1)} <= found and len(found) == 6
+
+
+def test_deep_closures_are_whole(spark):
+    edges = spark.createDataFrame([(f"n{k}", f"n{k + 1}") for k in range(40)], "child string, parent string")
+    assert graph.closure(edges).filter("node = 'n0'").count() == 40
+
+
+def test_scan_of_tables_with_banners_and_continuations(spark):
+    from tessera.operators import scan
+
+    family = scan.Family("f", [("id", "object id"), ("name", "point name"), ("unit", "unit")])
+    tables = {
+        1: [["Controller X", "", ""], ["Object\nID", "Point Name", "Units"], ["AI-1", "Temp", "°C"], ["", "Other", "kW"], ["AI-1", "Again", ""]],
+        2: [["Point Name", "Extra", "Object ID"], ["Fan", "e", "BO: 2"], ["Point Name", "", "Object ID"], ["Mode", "", "MV[3]"]],
+        3: [["Object ID", "Point Name", "Unit"]],
+    }
+    cells = spark.createDataFrame([("d", 1, t, r, c, v) for t, rows in tables.items() for r, row in enumerate(rows) for c, v in enumerate(row)], "doc string, page int, tab int, row int, col int, val string")
+    points, skipped, unknown = scan.scan(cells, family)
+    assert sorted((r.type, r.inst, r["name"], r.unit) for r in points.collect()) == [("AI", 1, "Temp", "degC"), ("BO", 2, "Fan", None), ("MSV", 3, "Mode", None)]
+    assert {r.reason: r.n for r in skipped.collect()} == {"no id": 1, "repeat": 1, "header again": 1} and [r.column for r in unknown.collect()] == ["Extra"]
