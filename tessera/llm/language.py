@@ -31,9 +31,10 @@ from tessera.llm.shards import store_of
 
 ORDER = 4
 FOLDS, HELD_OUT = 5, 0
-KNOWN_WORDS, LONG_WORD = 400_000, 48
+#: Words whose scores a worker keeps before it starts anew, and the longest of them.
+KNOWN_WORDS, LONG_WORD = 120_000, 48
 #: Characters of text taken apart at a time.
-PIECE_CHARS = 2_000_000
+PIECE_CHARS = 400_000
 #: Bins of entropy per unit, for the bound of rejection.
 ENTROPY_BINS = 10_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -229,7 +230,7 @@ def pieces_of(texts: list[str | None]):
             at = end
 
 
-def gram_counts(train: DataFrame, flush_words: int = 200_000) -> DataFrame:
+def gram_counts(train: DataFrame, flush_words: int = 80_000) -> DataFrame:
     """lang, gram, n over the text of all rows of train (lang, text)."""
     small_batches(train.sparkSession)
 
