@@ -158,7 +158,7 @@ def manifest(leaves: DataFrame, fanout: int = FANOUT, block_levels: int = BLOCK_
     groups = ranked(held.groupBy("lang").agg(F.count(F.lit(1)).alias("parts")), [], ["lang"], "groups")
     groups = materialize(groups.select(F.col("lang").alias("of"), F.col("place").alias("tree"), F.col("total").alias("trees")), "groups")
     held = held.join(groups, held["lang"].eqNullSafe(groups["of"])).select(*held.columns, "tree", "trees")
-    nodes = materialize(placed(rows, held, ["lang"]).withColumn("digest", F.col("leaf")).drop("lang"), "nodes")
+    nodes = materialize(placed(rows, held, ["lang"]).withColumn("digest", F.col("leaf")).drop("lang", "at", "part", "ahead", "trees"), "nodes")
 
     roots = block_roots(nodes, fanout, block_levels)
     inner = paths_to_root(roots, fanout, block_levels)

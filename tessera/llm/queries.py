@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, html_text, language, line_dedup, merkle, mixing, near_duplicates, pii, tokens, warc
+from tessera.llm import decontamination, html_text, language, line_dedup, merkle, mixing, near_duplicates, pii, prefix_trie, tokens, warc
 from tessera.llm.common import table
 from tessera.llm.quality_classifier import quality_scores
 from tessera.llm.quality_rules import quality_rules
@@ -62,6 +62,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "removed_words", F.length(text).cast("long").alias("n_chars"), F.sha2(text.cast("binary"), 256).alias("text_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_duplicates,
         op9_personal_data,
         op10_line_dedup,
+        op11_prefix_trie,
         op12_html_text,
         op13_merkle_manifest,
     )
@@ -95,6 +100,7 @@ ORACLES: dict[str, str] = {
     "op8_near_duplicates": near_duplicates.ORACLE,
     "op9_personal_data": pii.oracle_sql(),
     "op10_line_dedup": line_dedup.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
     "op12_html_text": html_text.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }

@@ -6,7 +6,7 @@ of its group in the partitions before, which are summed over one row per partiti
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize
@@ -17,14 +17,6 @@ BLOCK = 1 << 16
 ROW_BITS = 33
 
 
-def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """The condition that both frames agree in all these columns, null equal to null."""
-    found = F.lit(True)
-    for name in names:
-        found = found & left[name].eqNullSafe(right[name])
-    return found
-
-
 def in_order(df: DataFrame, group: list[str], order: list[str], tag: str) -> DataFrame:
     """df range-sorted by group and order (nulls first), as a written table with `part` (partition) and `at` (ascending over all rows).
 
@@ -45,17 +37,20 @@ def spans(rows: DataFrame, group: list[str]) -> DataFrame:
 
 
 def placed(rows: DataFrame, held: DataFrame, group: list[str]) -> DataFrame:
-    """rows of in_order() with what held (spans(), more columns allowed) says of their group, and `place` (from 0) in it."""
-    more = [c for c in held.columns if c not in ("part", "first", "ahead", *group)]
-    found = rows.join(held, (rows["part"] == held["part"]) & same(rows, held, group))
-    place = (held["ahead"] + rows["at"] - held["first"]).alias("place")
-    return found.select(*(rows[c] for c in rows.columns if c not in ("at", "part")), *(held[c] for c in more), place)
+    """rows of in_order() with what held (spans(), more columns allowed) says of their group, and `place` (from 0) in it; `at` and `part` stay."""
+    more = [c for c in held.columns if c not in ("part", "first", *group)]
+    right = held.select(*(F.col(c).alias(f"__{c}") for c in held.columns))
+    on = F.col("part") == F.col("__part")
+    for c in group:
+        on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    place = (F.col("__ahead") + F.col("at") - F.col("__first")).alias("place")
+    return rows.join(right, on).select(*rows.columns, *(F.col(f"__{c}").alias(c) for c in more), place)
 
 
 def ranked(df: DataFrame, group: list[str], order: list[str], tag: str) -> DataFrame:
     """df with `place` (from 0, in its group, by order) and `total` (rows of the group)."""
     rows = in_order(df, group, order, tag)
-    return placed(rows, spans(rows, group), group)
+    return placed(rows, spans(rows, group), group).drop("at", "part", "ahead")
 
 
 def running_sums(df: DataFrame, place: str, sums: list[str], block: int = BLOCK) -> DataFrame:
