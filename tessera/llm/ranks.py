@@ -63,7 +63,7 @@ def running_sums(df: DataFrame, place: str, sums: list[str], block: int = BLOCK)
     inner = blocked.select("*", *(F.sum(c).over(inside).alias(f"__in_{c}") for c in sums))
     totals = materialize(blocked.groupBy("__block").agg(*(F.sum(c).alias(c) for c in sums)), "blocks")
     if totals.count() > block:
-        upto = running_sums(totals, "__block", sums, block)
+        upto = running_sums(totals.withColumnRenamed("__block", "p"), "p", sums, block).withColumnRenamed("p", "__block")
     else:
         upto = totals.select("__block", *(F.sum(c).over(Window.orderBy("__block")).alias(c) for c in sums))
     before = upto.select((F.col("__block") + 1).alias("__next"), *(F.col(c).alias(f"__ahead_{c}") for c in sums))
