@@ -717,25 +717,64 @@ def test_personal_data_random(spark):
 # ---------------------------------------------------------------- line deduplication
 
 
-def brute_removed(rows, min_words):
-    """Lines lost per row: every line in a stretch of min_words words that some earlier document holds as a stretch too."""
-    lines = [[" ".join(x.split(" ")).strip(" \t\n\x0b\f\r") for x in (t or "").split("\n") if x.strip(" \t\n\x0b\f\r")] for _, t in rows]
-
-    def stretches(k):
-        x = lines[k]
-        return [(a, b) for a in range(len(x)) for b in range(a, len(x)) if sum(len(WORD.findall(y)) for y in x[a : b + 1]) >= min_words]
-
-    held = [{tuple(lines[k][a : b + 1]) for a, b in stretches(k)} for k in range(len(rows))]
-    found = Counter()
-    for k, (i, _) in enumerate(rows):
-        before = [j for j, (other, _) in enumerate(rows) if i is not None and other is not None and other < i]
-        lost = {p for a, b in stretches(k) if any(tuple(lines[k][a : b + 1]) in held[j] for j in before) for p in range(a, b + 1)}
-        found[(i, len(lines[k]), len(lost))] += 1
-    return found
+def brute_removed(rows, min_words, aligned=True):
+    """(id, lines, lines lost, lines left in another order) of rows, each pair of documents aligned by a table of lengths; aligned=False: every matched line goes."""
+    lines = [[x.strip(" \t\n\x0b\f\r") for x in (t or "").split("\n") if x.strip(" \t\n\x0b\f\r")] for _, t in rows]
+    known = [k for k, (i, _) in enumerate(rows) if i is not None]
+    texts = {(rows[k][0], rows[k][1]): lines[k] for k in known}
+    owners: dict = {}
+    for k in known:
+        for x in lines[k]:
+            owners.setdefault(x, []).append(rows[k][0])
+    shared = {x: len(ids) for x, ids in owners.items() if len(set(ids)) > 1}
+
+    def runs(x):
+        n, found, inside = len(x), set(), [y in shared for y in x]
+        words = lambda a, b: sum(len(WORD.findall(y)) for y in x[a : b + 1])
+        good = {(a, b) for a in range(n) for b in range(a, n) if all(inside[a : b + 1]) and words(a, b) >= min_words}
+        for a, b in good:
+            first_from = all((a, c) not in good for c in range(a, b))
+            last_to = all((c, b) not in good for c in range(a + 1, b + 1))
+            whole = (a == 0 or not inside[a - 1]) and (b == n - 1 or not inside[b + 1])
+            if first_from or last_to or whole:
+                found.add((a, b))
+        return found
+
+    held = {key: runs(x) for key, x in texts.items()}
+    holders: dict = {}
+    for key, found in held.items():
+        for a, b in sorted(found, reverse=True):
+            holders.setdefault(tuple(texts[key][a : b + 1]), {})[key] = a
+    lost: dict = {}
+    for key, found in held.items():
+        pairs: dict = {}
+        for a, b in found:
+            run = tuple(texts[key][a : b + 1])
+            others = holders[run]
+            if min(shared[y] for y in run) > line_dedup.RARE:
+                least = min(i for i, _ in others)
+                assert sum(i == least for i, _ in others) == 1, "which text of one id is first is the digest's choice"
+                others = {o: c for o, c in others.items() if o[0] == least}
+            for other, c in others.items():
+                if other[0] < key[0]:
+                    pairs.setdefault(other, set()).update((p, p - a + c) for p in range(a, b + 1))
+        gone, every = set(), set()
+        for m in pairs.values():
+            m = sorted(m, key=lambda x: (x[0], -x[1]))
+            size = []
+            for k, (_, e) in enumerate(m):
+                size.append(1 + max((size[j] for j in range(k) if m[j][1] < e), default=0))
+            k = max(k for k in range(len(m)) if size[k] == max(size))
+            while k is not None:
+                gone.add(m[k][0])
+                k = max((j for j in range(k) if size[j] == size[k] - 1), default=None)
+            every |= {p for p, _ in m}
+        lost[key] = (len(gone if aligned else every), len(every - gone))
+    return Counter((i, len(lines[k]), *lost.get((i, t), (0, 0))) for k, (i, t) in enumerate(rows))
 
 
 def removed_lines(df, min_words=line_dedup.MIN_BLOCK_WORDS):
-    return Counter((r.doc_id, r.n_lines, r.n_removed) for r in line_dedup.deduplicate_lines(df, min_words).collect())
+    return Counter((r.doc_id, r.n_lines, r.n_removed, r.n_moved) for r in line_dedup.deduplicate_lines(df, min_words).collect())
 
 
 def test_line_blocks_are_deleted_from_later_documents(spark):
@@ -749,7 +788,8 @@ def test_line_blocks_are_deleted_from_later_documents(spark):
     assert removed_lines(texts_of(spark, rows)) == brute_removed(rows, line_dedup.MIN_BLOCK_WORDS)
     assert found[1].text == rows[0][1] and found[2].text == "start two\nmiddle two\nend one"
     assert found[3].n_removed == 0 and found[7].n_removed == 0 and found[5].text is None and found[None].text == rows[6][1]
-    assert found[8].text == "" and found[10].text == "x"
+    # Earlier documents hold the line once, so an alignment holds one of its two copies.
+    assert (found[8].text, found[8].n_moved) == (passage[0], 1) and found[10].text == "x"
     assert line_dedup.deduplicate_lines(texts_of(spark, [])).count() == 0
 
 
@@ -766,13 +806,26 @@ def test_blocks_are_contiguous_in_both_documents_of_a_pair(spark):
     assert found == {1: 0, 2: 0, 3: 0, 11: 0, 12: 0, 13: 2, 21: 0, 22: 0, 23: 3}
 
 
-def test_passages_in_another_order_are_deleted_from_every_later_document(spark):
+def test_the_alignment_decides(spark):
+    p, q, r = (" ".join(f"{x}{k}" for k in range(60)) for x in "pqr")
+    rows = [(1, f"{q}\nx\n{p}"), (2, f"{p}\ny\n{q}"), (3, f"{p}\ny\n{q}"), (4, f"{r}\n{p}\n{q}"), (5, f"{q}\n{r}\n{p}"), (6, f"{r}\n{q}")]
+    df = texts_of(spark, rows)
+    found = {x.doc_id: x for x in line_dedup.deduplicate_lines(df).collect()}
+    # 2 has both passages of 1 in another order and keeps one; 3 is a copy of 2; 5 has its passages in the order of two others.
+    assert {i: x.text for i, x in found.items()} == {1: rows[0][1], 2: f"{p}\ny", 3: "", 4: r, 5: "", 6: ""}
+    assert found[2].n_moved == 1 and sum(x.n_moved for x in found.values()) == 1
+    assert removed_lines(df) == brute_removed(rows, line_dedup.MIN_BLOCK_WORDS)
+    every = Counter((x.doc_id, x.n_lines, x.n_removed, x.n_moved) for x in line_dedup.deduplicate_lines(df, moved=True).collect())
+    assert every == brute_removed(rows, line_dedup.MIN_BLOCK_WORDS, aligned=False) != removed_lines(df)
+
+
+def test_frequent_passages_meet_their_first_holder(spark):
     p, q = (" ".join(f"{x}{k}" for k in range(60)) for x in "pq")
-    df = texts_of(spark, [(1, f"{q}\nx\n{p}"), (2, f"{p}\ny\n{q}"), (3, f"{p}\ny\n{q}")])
-    found = {r.doc_id: r for r in line_dedup.deduplicate_lines(df).collect()}
-    assert {i: r.text for i, r in found.items()} == {1: f"{q}\nx\n{p}", 2: "y", 3: ""} and found[2].n_moved == 1
-    aligned = {r.doc_id: r.n_removed for r in line_dedup.deduplicate_lines(df, moved=False).collect()}
-    assert aligned[1] == 0 and aligned[2] == 1
+    rows = [(k, f"own {k}\n{p if k % 2 else q}\nmore {k}\n{q if k % 2 else p}") for k in range(40)] + [(k, f"own {k - 40}\n{p}") for k in range(40, 60)]
+    df = texts_of(spark, rows)
+    found = removed_lines(df)
+    assert found == brute_removed(rows, line_dedup.MIN_BLOCK_WORDS)
+    assert all((lost > 0) == (i > 0) for i, _, lost, _ in found)
 
 
 def test_line_dedup_random(spark):
@@ -784,7 +837,9 @@ def test_line_dedup_random(spark):
         rows.append((k, "\n".join(x for part in parts for x in part[rng.randrange(2) :])))
     rows += [(7, rows[100][1]), (110, rows[20][1]), (None, rows[3][1]), (300, rows[139][1]), (300, rows[139][1])]
     for size in (10, 20):
-        assert removed_lines(texts_of(spark, rows), size) == brute_removed(rows, size)
+        found = removed_lines(texts_of(spark, rows), size)
+        assert found == brute_removed(rows, size)
+        assert any(moved for *_, moved in found) or size > 10
 
 
 def test_line_dedup_on_awkward_rows(spark, awkward):
