@@ -68,6 +68,11 @@ def _chars(text: Column, count: Column) -> Column:
     return F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often use names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def luhn(digits: Column) -> Column:
     """Whether a string of digits passes the Luhn check."""
     n = F.length(digits)
@@ -81,15 +86,19 @@ def luhn(digits: Column) -> Column:
 
 
 def mod97(account: Column) -> Column:
-    """Whether an account number of capitals and digits leaves 1 modulo 97 once its first four characters go last."""
-    moved = F.concat(F.substring(account, F.lit(5), F.length(account)), F.substring(account, 1, 4))
+    """Whether an account number of at most 34 capitals and digits leaves 1 modulo 97 once its first four characters go last and letters count from 10."""
+    moved = once(account, lambda a: F.concat(F.substring(a, F.lit(5), F.length(a)), F.substring(a, 1, 4)))
+    for k, letter in enumerate(CAPITALS):
+        moved = F.replace(moved, F.lit(letter), F.lit(str(10 + k)))
+    half = 34  # digits that one decimal number holds
+    powers = F.array(*(F.lit(pow(10, k, 97)) for k in range(half + 1)))
+    rest = lambda digits: F.coalesce((digits.try_cast(f"decimal({half},0)") % 97).cast("int"), F.lit(0))
 
-    def step(rest: Column, i: Column) -> Column:
-        c = F.substring(moved, i, F.lit(1))
-        code = F.ascii(c)
-        return F.when(code < 65, rest * 10 + (code - 48)).otherwise(rest * 100 + (code - 55)) % 97
+    def check(d: Column) -> Column:
+        behind = F.substring(d, F.lit(half + 1), F.lit(half))
+        return (rest(F.substring(d, 1, half)) * F.element_at(powers, F.length(behind) + 1) + rest(behind)) % 97 == 1
 
-    return F.aggregate(_chars(moved, F.length(moved)), F.lit(0), step) == 1
+    return once(moved, check)
 
 
 def _octet(part: Column) -> Column:
@@ -158,8 +167,10 @@ def fold(items: Column, start: Column, step: Callable[[Column, Column], Column])
     nothing = F.array().cast(f"array<{SPAN}>")
 
     def inner(acc: Column, x: Column) -> Column:
-        moved = step(acc["state"], x)
-        return F.struct(moved["state"].alias("state"), F.when(F.size(moved["added"]) > 0, F.concat(acc["found"], moved["added"])).otherwise(acc["found"]).alias("found"))
+        def joined(moved: Column) -> Column:
+            return F.struct(moved["state"].alias("state"), F.when(F.size(moved["added"]) > 0, F.concat(acc["found"], moved["added"])).otherwise(acc["found"]).alias("found"))
+
+        return once(step(acc["state"], x), joined)
 
     def outer(acc: Column, chunk: Column) -> Column:
         begun = F.struct(acc["state"].alias("state"), nothing.alias("found"))
@@ -171,7 +182,7 @@ def fold(items: Column, start: Column, step: Callable[[Column, Column], Column])
         chunks = F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1, width)).otherwise(F.array().cast("array<int>")), lambda k: F.slice(once, k + 1, width))
         return F.aggregate(chunks, F.struct(start.alias("state"), nothing.alias("found")), outer, lambda acc: acc["found"])
 
-    return F.element_at(F.transform(F.array(items), walk), 1)  # the items are found once, not once a chunk
+    return once(items, walk)  # the items are found once, not once a chunk
 
 
 def account_length(match: Column) -> Column:
@@ -183,12 +194,18 @@ def account_length(match: Column) -> Column:
     bare = lambda t: F.translate(t, " ", "")
     part = lambda i: F.substring(match, F.lit(1), i)
     lengths = F.create_map(*(F.lit(x) for kv in ACCOUNT_CHARS.items() for x in kv))
-    due = F.try_element_at(lengths, F.substring(match, 1, 2))
     places = F.sequence(F.lit(15), F.greatest(F.length(match), F.lit(15)))
-    fixed = F.try_element_at(F.filter(places, lambda i: (F.length(bare(part(i))) == due) & mod97(bare(part(i)))), F.lit(1))
-    ends = lambda i: due.isNull() & (F.substring(match, i + 1, F.lit(1)) == " ") & (F.length(bare(part(i))) >= 15)
-    other = F.array_max(F.filter(F.filter(places, ends), lambda i: mod97(bare(part(i)))))
-    return F.coalesce(fixed, F.when(mod97(bare(match)), F.length(match)), other, F.lit(0))
+
+    def confirmed(x: Column) -> Column:
+        number, due = x["number"], x["due"]
+        # Where the country's length is confirmed, and only there, its end is looked for among the blanks.
+        at_due = F.try_element_at(F.filter(places, lambda i: F.length(bare(part(i))) == due), F.lit(1))
+        fixed = F.when((F.length(number) >= due) & mod97(F.substring(number, F.lit(1), due)), at_due)
+        ends = lambda i: (F.substring(match, i + 1, F.lit(1)) == " ") & (F.length(bare(part(i))) >= 15)
+        other = F.when(due.isNull() & F.contains(match, F.lit(" ")), F.array_max(F.filter(F.filter(places, ends), lambda i: mod97(bare(part(i))))))
+        return F.coalesce(fixed, F.when(mod97(number), F.length(match)), other, F.lit(0))
+
+    return once(F.struct(bare(match).alias("number"), F.try_element_at(lengths, F.substring(match, 1, 2)).alias("due")), confirmed)
 
 
 def find_accounts(text: Column) -> Column:
@@ -210,7 +227,7 @@ def find_accounts(text: Column) -> Column:
             skip = F.when(n > 0, n).when(free, 0).otherwise(at["skip"] - F.length(before))
             return F.struct(F.struct(start.cast("int").alias("pos"), skip.cast("int").alias("skip")).alias("state"), F.when(n > 0, span).otherwise(nothing).alias("added"))
 
-        return F.element_at(F.transform(F.array(n), placed), 1)  # n is computed once
+        return once(n, placed)
 
     first = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("skip"))
     return F.when(HINTS["iban"](text), fold(F.arrays_zip(found.alias("m"), pieces.alias("p")), first, walk)).otherwise(nothing)

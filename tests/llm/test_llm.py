@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -692,6 +693,46 @@ def test_numbers_beside_others_are_found(spark):
     assert [texts[6][x.s : x.e] for x in found[6].card_short] == ["378282246310005", "371449635398431"]
 
 
+def brute_accounts(text):
+    """Account numbers by their definition: from every start behind the last one found, the country's length, the whole candidate, or a part before a blank."""
+
+    def valid(x):
+        return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+    found, at = [], 0
+    for m in re.finditer("(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}))", text):
+        if m.start() < at:
+            continue
+        match, due = m[1], pii.ACCOUNT_CHARS.get(m[1][:2])
+        parts = {i: match[:i].replace(" ", "") for i in range(15, len(match) + 1)}
+        lengths = [i for i, x in parts.items() if len(x) == due and valid(x)][:1]
+        lengths += [len(match)] if valid(match.replace(" ", "")) else []
+        lengths += [] if due else sorted((i for i, x in parts.items() if match[i : i + 1] == " " and len(x) >= 15 and valid(x)), reverse=True)
+        if lengths:
+            found.append((m.start(), m.start() + lengths[0]))
+            at = m.start() + lengths[0]
+    return found
+
+
+def test_accounts_by_brute_force(spark):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(["DE89", "GB82", "NO93", "XX", "QZ11", "A", "7", "0", "1", " ", "  ", "b"]) for _ in range(rng.randrange(60))) for _ in range(1500)]
+    texts += ["AB12" * 300, "NO9386011117947" * 20, "NO93 8601 1117 947 " * 20]
+    found = {r.doc_id: [(x.s, x.e) for x in r.iban] for r in pii.personal_data(texts_of(spark, list(enumerate(texts)))).collect()}
+    expected = {i: brute_accounts(t) for i, t in enumerate(texts)}
+    assert found == expected and sum(map(len, expected.values())) > 60
+
+
+def test_megabytes_of_capitals_and_digits_take_seconds(spark):
+    rng = random.Random(13)
+    texts = ["AB12" * 250_000, "".join(rng.choice("0123456789ABCDEF") for _ in range(1_000_000))]
+    docs = texts_of(spark, list(enumerate(texts)))
+    pii.personal_data(texts_of(spark, [(0, "AB12" * 30)])).collect()
+    began = time.perf_counter()
+    assert len(pii.personal_data(docs).select("doc_id", F.size("iban")).collect()) == 2
+    assert time.perf_counter() - began < 40
+
+
 def test_context_words_are_whole_words_on_both_sides(spark):
     number, host, phone = "4111 1111 1111 1111", "10.0.0.1", "+49 30 1234567"
     texts = {
