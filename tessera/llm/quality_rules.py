@@ -12,7 +12,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import unit_hash
@@ -57,20 +57,27 @@ def grow_tree(points: np.ndarray, seed: int) -> list[tuple[int, int, float, floa
 
 
 def fit_forest(stats: DataFrame, trees: int, sample: int, seed: str) -> DataFrame:
-    """The forest's nodes.  Every tree grows in a task of its own on about `sample` rows chosen by a hash of doc_id."""
-    some = stats.filter((F.col("n_words") > 0) & F.col("doc_id").isNotNull())
+    """The forest's nodes.  Every tree grows in a task of its own on about `sample` rows and never more.
+
+    Rows are chosen by a hash of their id and statistics, so rows of one id spread over the trees;
+    of the rows that fall to a tree those with the lowest hashes stay.  Spark cuts each partition's
+    share before it shuffles it, so rows that are all alike don't meet in a tree's task either.
+    """
+    some = stats.filter(F.col("n_words") > 0)
     n = max(some.count(), 1)
     copies = max(1, min(trees, math.ceil(trees * sample / n)))
-    chosen = (
-        some.select("doc_id", "features", unit_hash(F.col("doc_id"), seed).alias("u"))
+    row = F.xxhash64("doc_id", "features")
+    fallen = (
+        some.select("features", row.alias("row"), unit_hash(row, seed).alias("u"))
         .filter(F.col("u") < F.lit(trees * sample / n))
-        .withColumn("first", F.pmod(F.xxhash64("doc_id"), F.lit(trees)))
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-        .select(F.pmod(F.col("first") + F.col("copy"), F.lit(trees)).alias("tree"), "doc_id", "features")
+        .withColumn("tree", F.pmod(F.col("row") + F.col("copy"), F.lit(trees)))
     )
+    lowest = Window.partitionBy("tree").orderBy("u", "row")
+    chosen = fallen.withColumn("place", F.row_number().over(lowest)).filter(F.col("place") <= sample).select("tree", "place", "features")
 
     def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("doc_id", kind="stable")
+        rows = rows.sort_values("place")
         points = np.stack(rows["features"].to_numpy())[:, AT]
         found = pd.DataFrame(grow_tree(points, int(key[0])), columns=["node", "feature", "split", "depth"])
         return found.assign(tree=int(key[0]))[["tree", "node", "feature", "split", "depth"]]
@@ -129,7 +136,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, trees: int = 100, sample:
     """doc_id, the base counts, base_failed, score and kept of every document.
 
     docs: doc_id, text; labels: doc_id, quality.  Each tree is fitted on about `sample`
-    rows (the method's own subsample, 100 x 256 rows at most in all); counts, scores and
+    rows and never more (the method's own subsample, 100 x 256 rows at most in all); counts, scores and
     the calibration cover every row.  Null and empty texts have no words: base_failed.
     Rows whose doc_id is null are judged like others.  Labels that are null are not
     used; a document labelled twice counts with its lower label.
