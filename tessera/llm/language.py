@@ -30,7 +30,7 @@ from tessera.llm.common import fold_of, materialize, scratch, small_batches, wor
 from tessera.llm.shards import store_of
 
 ORDER = 4
-FOLDS, HELD_OUT = 5, 0
+FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 #: Words whose scores a worker keeps before it starts anew, and the longest of them.
 KNOWN_WORDS, LONG_WORD = 120_000, 48
 #: Characters of text taken apart at a time.
@@ -347,16 +347,22 @@ def identify(docs: DataFrame, accept: float = 0.995) -> DataFrame:
     Learns from text and lang of all rows outside the held-out fold whose text and lang
     are there.  Null texts and texts without a letter are `und` with score 0; a language
     whose training texts have no letter is not learned.  rejected holds where the entropy
-    exceeds the `accept` quantile of the training rows of the predicted language.  Without
+    exceeds the `accept` quantile of the predicted language.  The quantiles are those of one fold of
+    the training rows under models of the other folds, so they hold for texts that no model has seen;
+    predictions are those of models of all training rows.  A language without rightly predicted rows
+    in that fold has no bound.  Without
     training rows every text is `und`.  Rows are judged one by one, whatever their id;
     repeated rows count as often as they stand there.
     """
     fold = fold_of(F.col("doc_id"), FOLDS)
     train = docs.filter((fold != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    apart = fold_of(F.col("doc_id"), FOLDS) == CALIBRATION
+    unseen = train.filter(apart).select(F.col("lang").alias("truth"), "text")
+    bounds = entropy_bounds(predict(unseen, fit(train.filter(~apart))).filter(F.col("truth") == F.col("lang_pred")), accept)
     model = fit(train)
-    rows = docs.select("doc_id", (fold == HELD_OUT).alias("held_out"), F.col("lang").alias("truth"), "text")
+    rows = docs.select("doc_id", (fold == HELD_OUT).alias("held_out"), "text")
     scored = materialize(predict(rows, model), "languages")
     above = F.lit(False)
-    for lang, most in sorted(entropy_bounds(scored.filter(~F.col("held_out") & (F.col("truth") == F.col("lang_pred"))), accept).items()):
+    for lang, most in sorted(bounds.items()):
         above = above | ((F.col("lang_pred") == F.lit(lang)) & (F.col("entropy") > F.lit(most)))
     return scored.select("doc_id", "held_out", "lang_pred", "score", "entropy", F.coalesce(above, F.lit(False)).alias("rejected"))
