@@ -23,6 +23,8 @@ SHARE, CAP = 1.5, 2
 SYMBOLS_SQL = "[#*$%&|<>]"
 #: Expected rows of one key range at most, and the widest range as a ratio of its ends.
 RANGE_ROWS, WIDEST = 20_000, 0.1
+#: Key ranges of one block, the step in which their sizes are summed first.
+BLOCK_RANGES = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -85,6 +87,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return level.select("source", "source_size", F.least(F.col("most"), F.coalesce(reached, F.lit(0.0)) * F.col("weight")).alias("target"))
 
 
+def _crossing(sums: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """source, key, before, rest: the first key up to which the sizes of a source reach its rest, and the sizes before it.
+
+    sums: source, key, size; wanted: source, rest and the sizes before the first key.
+    """
+    running = sums.withColumn("upto", F.sum("size").over(Window.partitionBy("source").orderBy(key)))
+    reached = join_dimension(running, wanted, "source", "inner").filter(F.col("upto") + F.col("before") >= F.col("rest"))
+    found = reached.groupBy("source").agg(F.min(F.struct(key, (F.col("before") + F.col("upto") - F.col("size")).alias("before"))).alias("end"), F.first("rest").alias("rest"))
+    return found.select("source", F.col(f"end.{key}").alias(key), F.col("end.before").alias("before"), "rest")
+
+
 def mixing_plan(docs: DataFrame, seed: str = "mix") -> tuple[DataFrame, DataFrame, float]:
     """(keyed documents, plan, width of the key ranges): the plan has one row per source: source_size, target, epochs and where the fraction ends.
 
@@ -98,15 +111,13 @@ def mixing_plan(docs: DataFrame, seed: str = "mix") -> tuple[DataFrame, DataFram
     budget = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)))
     budget = materialize(budget.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "targets")
 
-    running = Window.partitionBy("source").orderBy("range")
-    ends = (
-        join_dimension(sums.withColumn("upto", F.sum("size").over(running)), budget.select("source", "rest"), "source", "inner")
-        .filter((F.col("rest") > 0) & (F.col("upto") >= F.col("rest")))
-        .groupBy("source")
-        .agg(F.min(F.struct("range", (F.col("upto") - F.col("size")).alias("before"))).alias("end"), F.first("rest").alias("rest"))
-        .select("source", F.col("end.range").alias("cut_range"), F.col("end.before").alias("before"), "rest")
-    )
-    ends = materialize(ends, "ends")
+    # Where a budget ends is found in two steps, blocks of ranges and then the ranges of one block, so no task sees all ranges of a source.
+    blocked = sums.withColumn("block", F.floor(F.col("range") / BLOCK_RANGES))
+    wanted = budget.filter("rest > 0").select("source", "rest", F.lit(0).cast("long").alias("before"))
+    block_ends = materialize(_crossing(blocked.groupBy("source", "block").agg(F.sum("size").alias("size")), "block", wanted), "blocks")
+    inner = join_dimension(blocked, block_ends.withColumnRenamed("block", "end_block"), "source", "inner").filter(F.col("block") == F.col("end_block"))
+    ends = _crossing(inner.select("source", "range", "size"), "range", block_ends.select("source", "rest", "before"))
+    ends = materialize(ends.withColumnRenamed("range", "cut_range"), "ends")
     inside = join_dimension(keyed, ends, "source", "inner").filter(F.col("range") == F.col("cut_range"))
     # Repeated rows share a key and are taken together: one row for all of them, however many.
     inside = inside.groupBy("source", "before", "rest", "key", "doc_id").agg(F.sum("size").alias("all"), F.max("size").alias("size"))
