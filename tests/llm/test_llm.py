@@ -170,6 +170,14 @@ def test_language_held_out(spark, sf_dir):
     assert found.score.between(0, 1).all() and not found[found.held_out].empty
 
 
+def test_unseen_texts_are_rejected_as_often_as_asked(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = language.identify(docs, accept=0.9).filter("lang_pred <> 'und'")
+    held, all_ = (found.filter(c).agg(F.avg(F.col("rejected").cast("int")), F.count(F.lit(1))).first() for c in ("held_out", "true"))
+    # A tenth, within three standard errors of so few rows and of the bound's own fold.
+    assert abs(held[0] - 0.1) < 3 * (0.09 / held[1] + 0.09 * 4 / held[1] / 4) ** 0.5 and 0.02 < all_[0] < 0.15
+
+
 def test_language_on_awkward_rows(spark, awkward, empty):
     found = language.identify(awkward).collect()
     assert len(found) == len(AWKWARD)
@@ -344,6 +352,18 @@ def test_the_forest_s_verdict_by_brute_force(spark, sf_dir):
         assert abs(found[i, failed].score - x) < 1e-9 and found[i, failed].kept == (not failed and x < bound)
 
 
+def test_trees_are_bounded_whatever_the_ids(spark):
+    rng = random.Random(14)
+    words = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 9))) for _ in range(30))
+    rows = [(7 if k % 2 else k, words()) for k in range(3000)] + [(9, "just the same words in every row")] * 3000
+    stats = textstats.stats_table(texts_of(spark, rows))
+    nodes = quality_rules.fit_forest(stats, 10, 64, "forest").toPandas()
+    leaves = nodes[nodes.feature < 0]
+    # A tree of at most 64 rows has at most 6 levels, and so at most 64 leaves.
+    assert nodes.tree.nunique() == 10 and leaves.groupby("tree").size().max() <= 64 and nodes.node.max() < 2**7 - 1
+    assert leaves.groupby("tree").size().min() >= 6
+
+
 def test_bound_of_some_labels_holds_for_the_others(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
@@ -654,6 +674,15 @@ def test_no_key_range_holds_many_rows_whatever_the_weights(spark, monkeypatch):
     assert rows_of(found) == in_duck(spark, mixing.ORACLE, documents=docs_of(spark, rows))
 
 
+@pytest.mark.parametrize("block", [1, 3])
+def test_budgets_end_at_the_same_place_in_blocks_of_any_size(spark, sf_dir, monkeypatch, block):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 20)
+    found = rows_of(mixing.mix_counts(docs))
+    monkeypatch.setattr(mixing, "BLOCK_RANGES", block)
+    assert rows_of(mixing.mix_counts(docs)) == found
+
+
 def test_mixing_meets_its_targets(spark):
     rng = random.Random(1)
     rows = [(k, "w " * rng.randrange(1, 60), "en", "hot" if k % 3 else f"s{k % 7}") for k in range(900)]
