@@ -79,3 +79,75 @@ def tag_collisions(leaves: DataFrame, tags: str, name: str) -> DataFrame:
     rank = F.struct(F.length(name), F.col(name))
     same = leaves.groupBy(F.array_sort(tags).alias("tag_set")).agg(F.count(F.lit(1)).alias("n"), F.min_by(name, rank).alias("first"), F.max(name).alias("last")).filter("n > 1")
     return same.select(F.array_join("tag_set", ",").alias("tag_set"), "n", "first", "last")
+
+
+def resolved(sets: DataFrame, definitions: DataFrame, ancestors: DataFrame, kind: str) -> DataFrame:
+    """tags and target: for every distinct tag set the most specific definition of that kind all of whose parts it has.
+
+    sets: tags (a sorted array).  The kind itself is no answer.
+    """
+    keyed = sets.select("tags").distinct().withColumn("id", F.to_json("tags"))
+    of_kind = ancestors.filter(F.col("ancestor") == kind).select(F.col("node").alias("def")).distinct()
+    found = most_specific(keyed.select("id", F.explode("tags").alias("tag")), definitions.join(of_kind, "def", "left_semi").filter(F.col("def") != kind), ancestors)
+    return keyed.join(found, "id").select("tags", F.col("def").alias("target"))
+
+
+def choices(definitions: DataFrame, ancestors: DataFrame, flatten: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """(for, node: what a definition may hand down; for, def, part, n: compounds of n parts that it may), both written tables.
+
+    flatten: def, choice.  What is a choice of a definition or below one may be handed down, and so may
+    the parts of compound definitions that are; compounds of the nodes' own kind say what a node is,
+    not where it belongs, and don't count.
+    """
+    is_a = ancestors.select("node", "ancestor").unionByName(definitions.select(F.col("def").alias("node"), F.col("def").alias("ancestor"))).unionByName(flatten.select(F.col("choice").alias("node"), F.col("choice").alias("ancestor")))
+    chosen = is_a.join(flatten.select(F.col("def").alias("for"), F.col("choice").alias("ancestor")), "ancestor").select("for", "node").distinct()
+    sizes = definitions.groupBy("def").agg(F.countDistinct("part").alias("n")).filter("n > 1")
+    own_kind = ancestors.filter(F.col("ancestor") == kind).select(F.col("node").alias("def"))
+    chosen = materialize(chosen, "chosen")
+    compounds = definitions.distinct().join(sizes, "def").join(own_kind, "def", "left_anti").join(chosen.select("for", F.col("node").alias("def")), "def")
+    return chosen, materialize(compounds.select("for", "def", "part", "n"), "compounds")
+
+
+def carried_tags(nodes: DataFrame, chosen: DataFrame, compounds: DataFrame) -> DataFrame:
+    """id and carry (sorted): what nodes (id, target, tags) hand down to their children, of their own tags and those handed to them.
+
+    A compound's parts are handed down if the node has all of them.
+    """
+    tags = nodes.select("id", "target", F.explode("tags").alias("tag"))
+    plain = tags.join(chosen, (F.col("target") == F.col("for")) & (F.col("tag") == F.col("node"))).select("id", "tag")
+    hits = tags.join(compounds, (F.col("tag") == F.col("part")) & (F.col("target") == F.col("for"))).groupBy("id", "def").agg(F.collect_set("tag").alias("tags"), F.first("n").alias("n")).filter(F.size("tags") == F.col("n"))
+    both = plain.unionByName(hits.select("id", F.explode("tags").alias("tag")))
+    return both.groupBy("id").agg(F.array_sort(F.collect_set("tag")).alias("carry"))
+
+
+def expand_sets(protos: DataFrame, definitions: DataFrame, ancestors: DataFrame, flatten: DataFrame, roots: DataFrame, kind: str = "equip", wildcards: tuple[tuple[str, ...], ...] = (), max_depth: int = MAX_DEPTH) -> DataFrame:
+    """root, path, label, is_leaf, tags, target, depth and gap of every node of the trees below roots, with tags handed down on the way.
+
+    protos: def, tags (the tag sets of its children); definitions: def, part; ancestors: node,
+    ancestor; flatten: def, choice; roots: def.  A child with the tag `kind` is resolved to a
+    definition and expanded in turn: what it hands down (carried_tags) is part of the tags of all
+    below it.  A gap names why a node isn't expanded: no definition, a cycle, or the depth.  Tag sets
+    among `wildcards` are no children.  Each level's frontier is a written table.
+    """
+    definitions, ancestors = materialize(definitions.distinct(), "definitions"), materialize(ancestors.distinct(), "ancestors")
+    sets = materialize(protos.select(F.col("def").alias("of"), F.array_sort(F.array_distinct("tags")).alias("proto")).distinct(), "protos")
+    for wild in wildcards:
+        sets = sets.filter(F.col("proto") != F.array(*map(F.lit, sorted(wild))))
+    targets = materialize(resolved(sets.filter(F.array_contains("proto", kind)).select(F.col("proto").alias("tags")), definitions, ancestors, kind), "targets")
+    chosen, compounds = choices(definitions, ancestors, flatten, kind)
+    none = F.array().cast("array<string>")
+    frontier = roots.select(F.col("def").alias("root"), F.col("def").alias("at"), none.alias("carry"), F.array("def").alias("chain"), none.alias("path"))
+    found = None
+    for depth in range(max_depth + 1):
+        level = frontier.join(sets, F.col("at") == F.col("of")).join(targets.select(F.col("tags").alias("proto"), "target"), "proto", "left")
+        inner = F.array_contains("proto", kind)
+        why = F.when(~inner, None).when(F.col("target").isNull(), "no definition").when(F.array_contains("chain", F.col("target")), "cycle").when(F.lit(depth >= max_depth), "depth")
+        level = level.select("root", "path", F.array_join("proto", " ").alias("label"), (~inner).alias("is_leaf"), F.array_sort(F.array_union("proto", "carry")).alias("tags"), F.when(inner, F.col("target")).alias("target"), F.lit(depth).alias("depth"), why.alias("gap"), "chain")
+        level = materialize(level.withColumn("id", F.monotonically_increasing_id()), "level")
+        found = level if found is None else found.unionByName(level)
+        open_ = level.filter("not is_leaf and gap is null")
+        if not open_.limit(1).count():
+            break
+        down = carried_tags(open_.select("id", "target", "tags"), chosen, compounds)
+        frontier = open_.join(down, "id", "left").select("root", F.col("target").alias("at"), F.coalesce("carry", none).alias("carry"), F.concat("chain", F.array("target")).alias("chain"), F.concat("path", F.array("label")).alias("path"))
+    return found.select("root", F.array_join("path", "/").alias("path"), "label", "is_leaf", F.array_join("tags", " ").alias("tags"), "target", "depth", "gap")

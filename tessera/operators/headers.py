@@ -72,3 +72,27 @@ def restore_typography(names: DataFrame, name: str, words: DataFrame, word: str)
     key = lambda c: F.regexp_replace(F.lower(F.col(c)), "[^a-z0-9]", "")
     unique = words.select(key(word).alias("__key"), word).distinct().groupBy("__key").agg(F.count(F.lit(1)).alias("__n"), F.min(word).alias("__word")).filter("__n = 1")
     return names.select(name, key(name).alias("__key")).distinct().join(unique, "__key", "left").select(name, F.coalesce("__word", name).alias("restored"))
+
+
+def restored_by_page(values: DataFrame, words: DataFrame, by: Sequence[str], value: str, longest: int = 3) -> DataFrame:
+    """values with `restored` and `found`: names whose underscores and blanks were lost, as the page itself writes them.
+
+    words: by, pos, word of the page's text.  Words and runs of up to `longest` of them, joined, are
+    looked up by what is left without blanks and underscores; the shortest run that fits decides.
+    If it is written in more than one way, or no run fits, the value stays; found says whether it
+    was restored or stands on the page as it is.
+    """
+    bare = lambda c: F.regexp_replace(c, r"[\s_]+", "")
+    along = Window.partitionBy(*by).orderBy("pos")
+    ahead = words.withColumns({f"__w{k}": F.lead("word", k).over(along) if k else F.col("word") for k in range(longest)})
+    runs = F.array(*(F.struct(F.lit(n).alias("n"), F.concat(*(F.col(f"__w{k}") for k in range(n))).alias("gram")) for n in range(1, longest + 1)))
+    grams = ahead.select(*by, F.explode(runs).alias("g")).select(*by, "g.n", "g.gram").filter("gram is not null").withColumn("key", bare(F.col("gram"))).filter("key <> ''")
+    index = grams.groupBy(*by, "n", "key").agg(F.min("gram").alias("gram"), (F.min("gram") != F.max("gram")).alias("ambiguous"))
+    index = index.groupBy(*by, "key").agg(F.min_by(F.struct("gram", "ambiguous"), "n").alias("hit"))
+    text = words.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda w: w["word"]), " ").alias("page_text"))
+    clean = F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), r"\s+", " "))
+    rows = values.withColumn("__clean", clean).withColumn("key", bare(F.col("__clean")))
+    rows = rows.join(index, [*by, "key"], "left").join(text, list(by), "left")
+    there = F.when(F.col("__clean") == "", True).when(F.col("hit").isNull(), F.coalesce(F.contains("page_text", F.col("__clean")), F.lit(False))).otherwise(~F.col("hit.ambiguous"))
+    restored = F.when(F.col("hit").isNotNull() & ~F.col("hit.ambiguous"), F.col("hit.gram")).otherwise(F.col("__clean"))
+    return rows.withColumns({"restored": restored, "found": there}).drop("__clean", "key", "hit", "page_text")
