@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators import graph, headers
 from tessera.plans.registry import query
+from tessera.scratch import scratch
+from tessera.sources.sheets import register
 from tessera.sources.tables import load
 
 
@@ -67,3 +69,39 @@ def page_restored_names(spark: SparkSession, d: str) -> DataFrame:
     words = c.select("page", "id", F.posexplode(written).alias("i", "word")).select("page", (F.col("id") * 3 + F.col("i")).alias("pos"), "word")
     mangled = cases([text("S2 HI ", key), text("CONDFANVSDK", key), text("AB ", key), text("_ SNVT count f", key, " _"), text("NOT THERE ", key)])
     return headers.restored_by_page(c.select("page", "id", mangled.alias("name")), words, ["page"], "name").select("page", "id", "restored", "found")
+
+
+@query("""
+SELECT 'parts' AS sheet, col, CAST(count(*) AS BIGINT) AS n, sha256(string_agg(value, '|' ORDER BY value)) AS digest
+FROM (SELECT unnest([0, 1, 2, 3]) AS col, unnest([CAST(p_partkey AS VARCHAR), p_name || ' <&"é' || chr(10) || 'x', p_brand, CAST(p_size AS VARCHAR)]) AS value FROM part) GROUP BY col""")
+def workbook_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Parts written as workbooks and read back as cells, without the header rows."""
+    register(spark)
+    folder = scratch(spark, "workbooks")
+    text = F.concat("p_name", F.lit(' <&"é\nx'))
+    load(spark, d, "part").select("p_partkey", text.alias("p_name"), "p_brand", "p_size").write.format("sheet_cells").option("sheet", "parts").mode("append").save(folder)
+    cells = spark.read.format("sheet_cells").option("sheet", "parts").load(folder).filter("row > 0")
+    values = F.array_join(F.array_sort(F.collect_list("value")), "|")
+    return cells.groupBy("sheet", "col").agg(F.count(F.lit(1)).alias("n"), F.sha2(values.cast("binary"), 256).alias("digest"))
+
+
+@query("""
+WITH n AS (
+  SELECT 'nation ' || n_nationkey AS node, 'nation' AS kind, n_name AS text, ['region ' || n_regionkey] AS links FROM nation UNION ALL
+  SELECT 'region ' || r_regionkey, 'region', r_name, (SELECT list('nation ' || n_nationkey ORDER BY n_nationkey) FROM nation WHERE n_regionkey = r_regionkey) FROM region UNION ALL
+  SELECT 'supplier ' || s_suppkey, 'supplier', s_name, ['nation ' || s_nationkey] FROM supplier)
+SELECT node || '.md' AS file, '---' || chr(10) || 'kind: ' || kind || chr(10) || '---' || chr(10) || '# ' || node || chr(10) || chr(10) || replace(text, '#', '#') || chr(10) || chr(10) || coalesce(array_to_string(list_transform(links, lambda x: '- [[' || x || ']]'), chr(10)) || chr(10), '') AS note FROM n""")
+def linked_notes(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of a graph written as linked notes and read back as files."""
+    register(spark)
+    folder = scratch(spark, "notes")
+    name = lambda kind, key: F.concat(F.lit(f"{kind} "), F.col(key).cast("string"))
+    nation, region, supplier = (load(spark, d, t) for t in ("nation", "region", "supplier"))
+    below = nation.groupBy("n_regionkey").agg(F.transform(F.array_sort(F.collect_list("n_nationkey")), lambda k: F.concat(F.lit("nation "), k.cast("string"))).alias("links"))
+    nodes = nation.select(name("nation", "n_nationkey").alias("node"), F.lit("nation").alias("kind"), F.col("n_name").alias("text"), F.array(name("region", "n_regionkey")).alias("links"))
+    nodes = nodes.unionByName(region.join(below, F.col("r_regionkey") == F.col("n_regionkey"), "left").select(name("region", "r_regionkey").alias("node"), F.lit("region").alias("kind"), F.col("r_name").alias("text"), "links"))
+    nodes = nodes.unionByName(supplier.select(name("supplier", "s_suppkey").alias("node"), F.lit("supplier").alias("kind"), F.col("s_name").alias("text"), F.array(name("nation", "s_nationkey")).alias("links")))
+    nodes.write.format("linked_notes").mode("append").save(folder)
+    notes = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
+    file = F.replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), F.lit("%20"), F.lit(" "))
+    return notes.select(file.alias("file"), F.col("value").alias("note"))
