@@ -255,15 +255,32 @@ def contained_names(left: DataFrame, right: DataFrame, by: Sequence[str], name:
 def nearest_sets(queries: DataFrame, sets: DataFrame, q: str, tokens_q: str, s: str, tokens_s: str) -> DataFrame:
     """q, s, score and n_best: the set with the highest Jaccard similarity to each query, how many sets have it, the smallest s of them.
 
-    Queries and sets meet on shared tokens and are counted; equal sets are compared once.  A
-    query that shares no token with any set has score 0 with the smallest s of all.
+    Equal sets are compared once.  A query meets the sets that hold its rarest known token first;
+    the best of those is a bound b.  A set that reaches b shares at least b times as many tokens
+    as the query has, so one of the query's rarest tokens, all but the last of that many, is among
+    them: only there do others meet, never on the most frequent words.  A query that shares no
+    token with any set has score 0 with the smallest s of all.
     """
     heads = sets.groupBy(F.array_sort(F.array_distinct(tokens_s)).alias("__t")).agg(F.min(s).alias(s), F.count(F.lit(1)).alias("__same"))
-    heads = heads.withColumn("__n", F.size("__t"))
-    x = queries.select(q, F.array_distinct(tokens_q).alias("__q")).select(q, F.size("__q").alias("__m"), F.explode("__q").alias("__token"))
-    y = heads.select(s, "__n", "__same", F.explode("__t").alias("__token"))
-    shared = x.join(y, "__token").groupBy(q, s, "__m", "__n", "__same").agg(F.count(F.lit(1)).alias("__k"))
-    scored = shared.withColumn("score", F.col("__k") / (F.col("__m") + F.col("__n") - F.col("__k")))
+    heads = materialize(heads, "sets")
+    y = heads.select(s, "__same", "__t", F.explode("__t").alias("__token"))
+    frequency = materialize(y.groupBy("__token").agg(F.count(F.lit(1)).alias("__f")), "frequencies")
+    x = queries.select(q, F.array_distinct(tokens_q).alias("__q")).distinct()
+    ranked = x.select(q, "__q", F.explode("__q").alias("__token")).join(frequency, "__token", "left")
+    rank = F.row_number().over(Window.partitionBy(q).orderBy(F.coalesce("__f", F.lit(0)), "__token"))
+    ranked = materialize(ranked.select(q, "__q", "__token", "__f", rank.alias("__rank")), "ranked")
+
+    def compared(rows: DataFrame) -> DataFrame:
+        pairs = rows.join(y, "__token").select(q, s, "__same", "__q", "__t").distinct()
+        k = F.size(F.array_intersect("__q", "__t"))
+        return pairs.select(q, s, "__same", (k / (F.size("__q") + F.size("__t") - k)).alias("score"))
+
+    known = ranked.filter("__f is not null")
+    rarest = known.join(known.groupBy(q).agg(F.min("__rank").alias("__rank")), [q, "__rank"])
+    bounds = compared(rarest).groupBy(q).agg(F.max("score").alias("__b"))
+    needed = F.ceil(F.col("__b") * F.size("__q") - 1e-9)
+    scored = compared(known.join(bounds, q).filter(F.col("__rank") <= F.size("__q") - needed + 1).drop("__b"))
+    scored = materialize(scored, "scored")
     top = scored.groupBy(q).agg(F.max("score").alias("score"))
     best = scored.join(top, [q, "score"]).groupBy(q, "score").agg(F.min(s).alias(s), F.sum("__same").alias("n_best"))
     none = sets.agg(F.min(s).alias("__none"), F.count(F.lit(1)).alias("__all"))

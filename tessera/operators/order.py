@@ -7,13 +7,17 @@ rows as an array: an entity there is a document or an interface, not a skewed jo
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.scratch import materialize
 
+#: Places of an entity whose chain of segments one array holds.
+BLOCK_PLACES = 4096
+
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of each key in the given order."""
@@ -63,23 +67,76 @@ def key_reuse_segments(df: DataFrame, by: Sequence[str], order: Sequence[str], k
 
     If a segment starts at place s, the next one starts at the first place that repeats a key
     of s or later: the least next occurrence of all places from s on.  The chain of these
-    starts is followed by doubling, over written tables, so no entity is ever one row.
+    starts is followed inside blocks of BLOCK_PLACES places; entities of more than one block
+    find where the chain enters each of theirs by doubling, over written tables.
     """
-    places = df.select(*by, *order, key).withColumn("__at", F.row_number().over(Window.partitionBy(*by).orderBy(*order, key)))
+    keys = list(by)
+    places = df.select(*by, *order, key).withColumn("__at", F.row_number().over(Window.partitionBy(*by).orderBy(*order, key)).cast("long"))
     again = F.when(F.col(key).isNotNull(), F.lead("__at").over(Window.partitionBy(*by, key).orderBy("__at")))
     behind = Window.partitionBy(*by).orderBy(F.desc("__at")).rowsBetween(Window.unboundedPreceding, 0)
-    places = materialize(places.withColumn("__again", again).withColumn("__next", F.min("__again").over(behind)).drop("__again"), "places")
-    starts = places.filter("__at = 1").select(*by, "__at")
-    jumps = places.filter("__next is not null").select(*by, "__at", "__next")
+    places = materialize(places.withColumn("__again", again).withColumn("__next", F.coalesce(F.min("__again").over(behind), F.lit(0).cast("long"))).drop("__again"), "places")
+    size = BLOCK_PLACES
+    block = F.floor((F.col("__at") - 1) / size).cast("long").alias("__block")
+    blocks = places.groupBy(*by, block).agg(F.transform(F.array_sort(F.collect_list(F.struct("__at", "__next"))), lambda x: x["__next"]).alias("nexts"))
+    blocks = materialize(blocks, "blocks")
+    schema = ", ".join(f"`{c}` {t}" for c, t in blocks.select(*by).dtypes)
+    entries = places.filter("__at = 1").select(*by, "__at")
+    if blocks.filter("__block > 0").limit(1).count():
+        entries = _entries(entries, blocks.mapInArrow(lambda x: _block_exits(x, size), f"{schema}, __at long, __next long"), keys)
+    entries = entries.select(*(F.col(c).alias(f"e_{c}") for c in by), F.col("__at").alias("entry"))
+    first = F.floor((F.col("entry") - 1) / size)
+    on = [F.col(c).eqNullSafe(F.col(f"e_{c}")) for c in by] + [F.col("__block") == first]
+    entered = blocks.join(entries, on).select(*by, "__block", "nexts", "entry")
+    starts = entered.mapInArrow(lambda x: _block_starts(x, size), f"{schema}, __at long")
+    starts = starts.select(*(F.col(c).alias(f"s_{c}") for c in by), F.col("__at").alias("s_at"))
+    marked = places.join(starts, [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in by] + [F.col("__at") == F.col("s_at")], "left")
+    upto = Window.partitionBy(*by).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    return marked.select(*by, *order, key, (F.count("s_at").over(upto) - 1).cast("int").alias("segment"))
+
+
+def _block_exits(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Per place: the first place of the chain from it that lies in a later block; none where the chain ends before."""
+    for batch in batches:
+        owner, at, found = [], [], []
+        for k, (block, nexts) in enumerate(zip(batch.column("__block").to_pylist(), batch.column("nexts").to_pylist(), strict=True)):
+            base, exits = block * size + 1, list(nexts)
+            for i in range(len(nexts) - 1, -1, -1):
+                inside = nexts[i] - base
+                exits[i] = exits[inside] if 0 <= inside < len(nexts) else nexts[i]
+            kept = [i for i, x in enumerate(exits) if x]
+            owner += [k] * len(kept)
+            at += [base + i for i in kept]
+            found += [exits[i] for i in kept]
+        names = [c for c in batch.schema.names if c not in ("__block", "nexts")]
+        rows = pa.array(owner, pa.int64())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in names), pa.array(at, pa.int64()), pa.array(found, pa.int64())], [*names, "__at", "__next"])
+
+
+def _block_starts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The places of the chain from a block's entry on that lie in the block."""
+    for batch in batches:
+        owner, at = [], []
+        for k, (block, nexts, place) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("__block", "nexts", "entry")), strict=True)):
+            base = block * size + 1
+            while base <= place < base + len(nexts):
+                owner.append(k)
+                at.append(place)
+                place = nexts[place - base]
+        names = [c for c in batch.schema.names if c not in ("__block", "nexts", "entry")]
+        rows = pa.array(owner, pa.int64())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in names), pa.array(at, pa.int64())], [*names, "__at"])
+
+
+def _entries(starts: DataFrame, jumps: DataFrame, by: list[str]) -> DataFrame:
+    """starts (by, __at) and all that follow from them by jumps (by, __at, __next), by doubling."""
+    jumps = materialize(jumps, "jumps")
     same = lambda x, y, at: [F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in by] + [F.col(at) == F.col("j.__at")]
     while jumps.limit(1).count():
         landed = starts.alias("s").join(jumps.alias("j"), same("s", "j", "s.__at")).select(*(f"s.{c}" for c in by), F.col("j.__next").alias("__at"))
         starts = materialize(starts.unionByName(landed).distinct(), "starts")
         farther = jumps.alias("f").join(jumps.alias("j"), same("f", "j", "f.__next")).select(*(f"f.{c}" for c in by), "f.__at", "j.__next")
         jumps = materialize(farther, "jumps")
-    marked = places.alias("p").join(starts.withColumn("__start", F.lit(1)).alias("j"), same("p", "j", "p.__at"), "left").select("p.*", "j.__start")
-    upto = Window.partitionBy(*by).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
-    return marked.select(*by, *order, key, (F.count("__start").over(upto) - 1).cast("int").alias("segment"))
+    return starts
 
 
 def band_groups(df: DataFrame, by: Sequence[str], order: Sequence[str], low: str, high: str) -> DataFrame:
@@ -101,9 +158,15 @@ def greedy_assignment(candidates: DataFrame, by: Sequence[str], rule_order: str,
     """by, rule and item: rules in order each claim their best item that no earlier rule claimed.
 
     candidates has one row per (entity, rule, item); the best has the highest score, then
-    the smallest item.  Items are claimed by name: equal names are claimed together.
+    the smallest item.  Items are claimed by name: equal names are claimed together.  An
+    earlier rule claims one item at most, so of each rule's items only as many as there are
+    rules can ever be claimed; the others go before anything is gathered.
     """
-    per_rule = candidates.groupBy(*by, rule_order, rule).agg(F.array_sort(F.collect_set(F.struct((-F.col(score)).alias("s"), F.col(item).alias("i")))).alias("c"))
+    rules = candidates.select(rule_order, rule).distinct().count()
+    scored = candidates.groupBy(*by, rule_order, rule, item).agg(F.max(score).alias(score))
+    place = F.row_number().over(Window.partitionBy(*by, rule_order, rule).orderBy(F.desc(score), item))
+    able = scored.withColumn("__place", place).filter(F.col("__place") <= rules)
+    per_rule = able.groupBy(*by, rule_order, rule).agg(F.array_sort(F.collect_list(F.struct((-F.col(score)).alias("s"), F.col(item).alias("i")))).alias("c"))
     rows = per_rule.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(rule_order, rule, "c"))).alias("rules"))
     taken = "array<struct<rule:string,item:string>>"
     empty = F.struct(F.array().cast("array<string>").alias("used"), F.array().cast(taken).alias("out"))

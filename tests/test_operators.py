@@ -1,5 +1,8 @@
 """Single operators on small fixtures: ties, nulls, idempotence, conservation."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import scalar as S
@@ -171,6 +174,51 @@ def test_nearest_sets_tell_ties(spark):
     assert found == {1: (13, 0.667, 1), 2: (10, 0.0, 4), 3: (10, 0.0, 4)}
 
 
+def test_nearest_sets_by_brute_force(spark):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(25)]
+    some = lambda n: [w for w in words if rng.random() < n / (1 + int(w[1:]))]  # noqa: E731 - the first words are in nearly every set
+    queries, sets = [(k, some(6)) for k in range(60)], [(k, some(5)) for k in range(200)]
+    found = match.nearest_sets(spark.createDataFrame(queries, "i int, q array<string>"), spark.createDataFrame(sets, "s int, t array<string>"), "i", "q", "s", "t").collect()
+    for r in found:
+        q = set(queries[r.i][1])
+        score = {s: len(q & set(t)) / len(q | set(t)) if q & set(t) else 0.0 for s, t in sets}
+        best = max(score.values())
+        assert (r.s, r.score, r.n_best) == (min(s for s in score if score[s] == best), best, sum(x == best for x in score.values()))
+    assert len(found) == 60
+
+
+@pytest.mark.parametrize("size", [3, 4096])
+def test_segments_across_blocks(spark, monkeypatch, size):
+    rng = random.Random(5)
+    monkeypatch.setattr(order, "BLOCK_PLACES", size)
+    rows = [(e, i, rng.choice("abcdefg") if rng.random() < 0.9 else None) for e in (1, 2, None) for i in range(rng.randrange(20, 90))]
+    found = {(r.d, r.i): r.segment for r in order.key_reuse_segments(spark.createDataFrame(rows, "d int, i int, k string"), ["d"], ["i"], "k").collect()}
+    for e in (1, 2, None):
+        segment, seen = 0, set()
+        for d, i, k in rows:
+            if d == e:
+                if k is not None and k in seen:
+                    segment, seen = segment + 1, set()
+                seen.add(k)
+                assert found[d, i] == segment
+
+
+def test_greedy_assignment_by_brute_force(spark):
+    rng = random.Random(6)
+    rows = [(e, o, f"r{o}", f"n{rng.randrange(12)}", rng.randrange(4)) for e in range(5) for o in range(6) for _ in range(rng.randrange(9))]
+    found = {(r.d, r.rule, r.item) for r in order.greedy_assignment(spark.createDataFrame(rows, "d int, o int, r string, i string, s int"), ["d"], "o", "r", "i", "s").collect()}
+    expected = set()
+    for e in range(5):
+        used: set = set()
+        for o in range(6):
+            free = [(-s, i) for d, x, _, i, s in rows if (d, x) == (e, o) and i not in used]
+            if free:
+                used.add(min(free)[1])
+                expected.add((e, f"r{o}", min(free)[1]))
+    assert found == expected
+
+
 def test_templates_claim_in_two_passes(spark):
     names = spark.createDataFrame([("m", x) for x in ("supply air temp", "air temp of supply", "fan")], "m string, n string")
     found = {r.rule: (r.item, r.status) for r in match.assign_templates(names, "m", "n", [("r1", "supply.*temp"), ("r2", "supply.*temp"), ("r3", "^pump")]).collect()}
