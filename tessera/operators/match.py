@@ -263,23 +263,24 @@ def nearest_sets(queries: DataFrame, sets: DataFrame, q: str, tokens_q: str, s:
     """
     heads = sets.groupBy(F.array_sort(F.array_distinct(tokens_s)).alias("__t")).agg(F.min(s).alias(s), F.count(F.lit(1)).alias("__same"))
     heads = materialize(heads, "sets")
-    y = heads.select(s, "__same", "__t", F.explode("__t").alias("__token"))
+    y = heads.select(s, F.explode("__t").alias("__token"))
     frequency = materialize(y.groupBy("__token").agg(F.count(F.lit(1)).alias("__f")), "frequencies")
-    x = queries.select(q, F.array_distinct(tokens_q).alias("__q")).distinct()
-    ranked = x.select(q, "__q", F.explode("__q").alias("__token")).join(frequency, "__token", "left")
+    x = materialize(queries.select(q, F.array_distinct(tokens_q).alias("__q")).distinct(), "queries")
+    ranked = x.select(q, F.size("__q").alias("__m"), F.explode("__q").alias("__token")).join(frequency, "__token", "left")
     rank = F.row_number().over(Window.partitionBy(q).orderBy(F.coalesce("__f", F.lit(0)), "__token"))
-    ranked = materialize(ranked.select(q, "__q", "__token", "__f", rank.alias("__rank")), "ranked")
+    ranked = materialize(ranked.select(q, "__m", "__token", "__f", rank.alias("__rank")), "ranked")
 
     def compared(rows: DataFrame) -> DataFrame:
-        pairs = rows.join(y, "__token").select(q, s, "__same", "__q", "__t").distinct()
+        # Pairs are ids until each is one; only then the sets are put beside them.
+        pairs = rows.join(y, "__token").select(q, s).distinct().join(heads, s).join(x, q)
         k = F.size(F.array_intersect("__q", "__t"))
         return pairs.select(q, s, "__same", (k / (F.size("__q") + F.size("__t") - k)).alias("score"))
 
     known = ranked.filter("__f is not null")
     rarest = known.join(known.groupBy(q).agg(F.min("__rank").alias("__rank")), [q, "__rank"])
     bounds = compared(rarest).groupBy(q).agg(F.max("score").alias("__b"))
-    needed = F.ceil(F.col("__b") * F.size("__q") - 1e-9)
-    scored = compared(known.join(bounds, q).filter(F.col("__rank") <= F.size("__q") - needed + 1).drop("__b"))
+    needed = F.ceil(F.col("__b") * F.col("__m") - 1e-9)
+    scored = compared(known.join(bounds, q).filter(F.col("__rank") <= F.col("__m") - needed + 1).drop("__b"))
     scored = materialize(scored, "scored")
     top = scored.groupBy(q).agg(F.max("score").alias("score"))
     best = scored.join(top, [q, "score"]).groupBy(q, "score").agg(F.min(s).alias(s), F.sum("__same").alias("n_best"))

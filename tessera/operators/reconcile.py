@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,3 +114,128 @@ def first_rung(tables: DataFrame, model: str, code: str, shapes: Sequence[tuple[
     tried = tables.select(model, code, rung.alias("rung")).filter("rung is not null")
     lowest = tried.groupBy(model).agg(F.min("rung").alias("rung"))
     return tried.join(lowest, [model, "rung"], "left_semi").groupBy(model, "rung", code).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- revisions against curated rows
+
+
+def resync(old: DataFrame, new: DataFrame, curated: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """key, columns, state and conflicts: curated rows after a source went from revision old to new.
+
+    Each column is merged three ways: what nobody edited follows the source, what only a person
+    edited stays, and what both changed differently is a conflict, in which the person's value
+    stays.  state: `kept` (nothing to do), `updated` (follows the source), `converged` (the source
+    came to say what the person said), `conflict`, `proposed` (new in the source), `retired` (gone
+    from the source and not edited, the columns are the last known), `orphaned` (gone, but edited or
+    entered by a person).  Nulls are values like others.  One row per key in each input.
+    """
+    named = lambda df, p: df.select(*(F.col(c).alias(f"{p}_{c}") for c in (*key, *columns)), F.lit(True).alias(f"has_{p}"))
+    on = lambda p: [F.coalesce(*(F.col(f"{q}_{c}") for q in p[:-1])).eqNullSafe(F.col(f"{p[-1]}_{c}")) for c in key]
+    both = named(old, "o").join(named(new, "n"), on("on"), "full_outer")
+    both = both.join(named(curated, "c"), on("onc"), "full_outer")
+    has = {p: F.coalesce(f"has_{p}", F.lit(False)) for p in "onc"}
+    same = lambda c, a, b: F.col(f"{a}_{c}").eqNullSafe(F.col(f"{b}_{c}"))
+    every = lambda a, b: _all(same(c, a, b) for c in columns)
+    clash = lambda c: ~same(c, "c", "o") & ~same(c, "o", "n") & ~same(c, "c", "n")
+    # A row that both a person and the source have added has no common past: every difference is a conflict.
+    differs = lambda c: F.when(has["o"], clash(c)).otherwise(~same(c, "c", "n"))
+    conflicts = F.when(has["n"] & has["c"], F.array_compact(F.array(*(F.when(differs(c), F.lit(c)) for c in columns)))).otherwise(F.array().cast("array<string>"))
+    state = (
+        F.when(has["n"] & ~has["c"] & ~has["o"], "proposed")
+        .when(has["n"] & ~has["c"], "dropped")
+        .when(~has["n"] & ~has["c"], "gone")
+        .when(~has["n"], F.when(has["o"] & every("c", "o"), "retired").otherwise("orphaned"))
+        .when(F.size(conflicts) > 0, "conflict")
+        .when(has["o"] & every("o", "n"), "kept")
+        .when(every("c", "n"), "converged")
+        .otherwise("updated")
+    )
+    follows = lambda c: F.when(~has["c"], F.col(f"n_{c}")).when(has["n"] & has["o"] & same(c, "c", "o"), F.col(f"n_{c}")).otherwise(F.col(f"c_{c}"))
+    merged = both.select(*(F.coalesce(*(F.col(f"{p}_{c}") for p in "cno")).alias(c) for c in key), *(follows(c).alias(c) for c in columns), state.alias("state"), conflicts.alias("conflicts"))
+    # What a person has taken out stays out, and what is in neither has nothing to say.
+    return merged.filter(~F.col("state").isin("dropped", "gone"))
+
+
+def _all(conditions: Iterable[Column]) -> Column:
+    found = F.lit(True)
+    for condition in conditions:
+        found = found & condition
+    return found
+
+
+# ---------------------------------------------------------------- two readings of one document
+
+
+def aligned_readings(first: DataFrame, second: DataFrame, by: Sequence[str], pos: str, key: str, value: str, band: int = 200) -> DataFrame:
+    """by, key, pos_a, pos_b, value_a, value_b of two readings of each entity, put side by side by a longest common subsequence of their keys.
+
+    A key that only one reading has, or that stands in another order there, has nulls on the other
+    side.  Rows may be shifted by at most `band` places more or less than the readings' lengths
+    differ.  An entity is a document: its rows come to one task.
+    """
+    read = lambda df, side: df.select(*by, F.lit(side).alias("__side"), F.col(pos).cast("long").alias("__pos"), F.col(key).cast("string").alias("__key"), F.col(value).cast("string").alias("__value"))
+    rows = read(first, 0).unionByName(read(second, 1))
+    gathered = rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("__side", "__pos", "__key", "__value"))).alias("rows"))
+    schema = ", ".join(f"`{c}` {t}" for c, t in gathered.select(*by).dtypes)
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, found = [], []
+            for k, entity in enumerate(batch.column("rows").to_pylist()):
+                a, b = ([r for r in entity if r["__side"] == side] for side in (0, 1))
+                for i, j in side_by_side([r["__key"] for r in a], [r["__key"] for r in b], band):
+                    x, y = (a[i] if i is not None else None), (b[j] if j is not None else None)
+                    owner.append(k)
+                    found.append(((x or y)["__key"], x and x["__pos"], y and y["__pos"], x and x["__value"], y and y["__value"]))
+            columns = list(zip(*found, strict=True)) if found else [[]] * 5
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            places = pa.array(owner, pa.int64())
+            names = [c for c in batch.schema.names if c != "rows"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(places) for c in names), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], [*names, "key", "pos_a", "pos_b", "value_a", "value_b"])
+
+    return gathered.mapInArrow(align, f"{schema}, key string, pos_a long, pos_b long, value_a string, value_b string")
+
+
+def side_by_side(a: list[str], b: list[str], band: int) -> list[tuple[int | None, int | None]]:
+    """Places of both sequences in order, matched along a longest common subsequence inside a band around the diagonals."""
+    n, m = len(a), len(b)
+    low, high = min(0, m - n) - band, max(0, m - n) + band
+    best: list[dict[int, int]] = [{} for _ in range(n + 1)]  # best[i][j]: matches of a[i:] and b[j:]
+    for i in range(n - 1, -1, -1):
+        row, below = best[i], best[i + 1]
+        for j in range(min(m - 1, i + high), max(0, i + low) - 1, -1):
+            row[j] = 1 + below.get(j + 1, 0) if a[i] == b[j] else max(below.get(j, 0), row.get(j + 1, 0))
+    found: list[tuple[int | None, int | None]] = []
+    i = j = 0
+    while i < n and j < m:
+        if a[i] == b[j] and i + low <= j <= i + high:
+            found.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1].get(j, 0) >= best[i].get(j + 1, 0):
+            found.append((i, None))
+            i += 1
+        else:
+            found.append((None, j))
+            j += 1
+    return [*found, *((k, None) for k in range(i, n)), *((None, k) for k in range(j, m))]
+
+
+def reading_agreement(aligned: DataFrame, by: Sequence[str]) -> DataFrame:
+    """by, n_both, n_agree, n_first, n_second and example per entity of aligned_readings(): what gates.crosscheck_findings() asks for."""
+    both, agree = F.col("pos_a").isNotNull() & F.col("pos_b").isNotNull(), F.col("value_a").eqNullSafe(F.col("value_b"))
+    count = lambda when: F.count(F.when(when, 1))
+    text = F.concat(F.col("key"), F.lit(": "), F.coalesce("value_a", F.lit("")), F.lit(" | "), F.coalesce("value_b", F.lit("")))
+    return aligned.groupBy(*by).agg(count(both).alias("n_both"), count(both & agree).alias("n_agree"), count(F.col("pos_b").isNull()).alias("n_first"), count(F.col("pos_a").isNull()).alias("n_second"), F.min_by(F.when(both & ~agree, text), F.when(both & ~agree, F.col("pos_a"))).alias("example"))
+
+
+def propose_class(records: DataFrame, of_class: str, role: str, field: str, first: str, n_detail: int = 5) -> DataFrame:
+    """of_class, table, detail and roles: a draft of each class's fields from the records (of_class, role, field) extracted for it.
+
+    table: the field `first`, then all others by how often they occur, most first, then by name;
+    detail: the first of those others; roles: the roles that occur, an unnamed one as `?`.
+    """
+    counted = records.groupBy(of_class, field).agg(F.count(F.lit(1)).alias("n")).filter(F.col(field).isNotNull() & (F.col(field) != first))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col(field).alias("f")))), lambda x: x["f"])
+    fields = counted.groupBy(of_class).agg(ordered.alias("order"))
+    roles = records.groupBy(of_class).agg(F.array_sort(F.collect_set(F.coalesce(F.nullif(role, F.lit("")), F.lit("?")))).alias("roles"))
+    return fields.join(roles, of_class).select(of_class, F.concat(F.array(F.lit(first)), F.col("order")).alias("table"), F.slice("order", 1, n_detail).alias("detail"), "roles")
