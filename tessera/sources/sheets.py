@@ -73,9 +73,12 @@ def shared_texts(book: zipfile.ZipFile) -> list[str]:
 def sheet_cells(book: zipfile.ZipFile, part: str, texts: list[str]) -> Iterator[tuple[int, int, str]]:
     """(row, column, text) of a sheet's cells that hold something, from 0; read as a stream."""
     row = col = -1
+    rows = None
     with book.open(part) as f:
         for event, e in ElementTree.iterparse(f, ("start", "end")):
-            if event == "start" and e.tag == f"{MAIN}row":
+            if event == "start" and e.tag == f"{MAIN}sheetData":
+                rows = e
+            elif event == "start" and e.tag == f"{MAIN}row":
                 row, col = int(e.get("r") or row + 2) - 1, -1
             elif event == "end" and e.tag == f"{MAIN}c":
                 col = column_number(e.get("r", "")) if e.get("r") else col + 1
@@ -88,8 +91,8 @@ def sheet_cells(book: zipfile.ZipFile, part: str, texts: list[str]) -> Iterator[
                     value = "true" if value.strip() == "1" else "false"
                 if value:
                     yield row, col, value
-            elif event == "end" and e.tag == f"{MAIN}row":
-                e.clear()
+            elif event == "end" and e.tag == f"{MAIN}row" and rows is not None:
+                rows.clear()
 
 
 @dataclass
@@ -139,9 +142,9 @@ class SheetReader(DataSourceReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    temporary: str
-    name: str
-    rows: int
+    """(temporary name, name, rows) of what a task wrote."""
+
+    files: list[tuple[str, str, int]]
 
 
 class CommittedWriter(DataSourceWriter):
@@ -162,45 +165,44 @@ class CommittedWriter(DataSourceWriter):
     def commit(self, messages: list[Written | None]) -> None:
         store, root = store_of(self.path)
         store.create_dir(root, recursive=True)
-        done = [m for m in messages if m is not None and m.rows]
-        for m in done:
-            store.move(f"{root}/{m.temporary}", f"{root}/{m.name}")
+        done = [x for m in messages if m is not None for x in m.files]
+        for temporary, name, _ in done:
+            store.move(f"{root}/{temporary}", f"{root}/{name}")
         with store.open_output_stream(f"{root}/{MANIFEST}", compression=None) as f:
-            f.write(json.dumps({"files": [{"name": m.name, "rows": m.rows} for m in done]}, sort_keys=True).encode())
+            f.write(json.dumps({"files": [{"name": name, "rows": rows} for _, name, rows in done]}, sort_keys=True).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
         store, root = store_of(self.path)
         for m in messages:
-            if m is not None and m.rows:
-                store.delete_file(f"{root}/{m.temporary}")
+            for temporary, _, _ in m.files if m is not None else []:
+                store.delete_file(f"{root}/{temporary}")
 
 
 class SheetWriter(CommittedWriter):
-    """A workbook per task: a header row and the task's rows, a further sheet where one is full."""
+    """Workbooks of one sheet per task: a header row and the task's rows, a further workbook where the sheet is full."""
 
     def write(self, iterator: Iterator[Any]) -> Written:
         store, root, part = self._target()
-        name, temporary = f"part-{part:05d}.xlsx", f".part-{part:05d}.{self.run}.{uuid.uuid4().hex}.tmp"
-        first = next(iterator, None)
-        if first is None:
-            return Written(temporary, name, 0)
-        title, most = self.options.get("sheet", "Sheet"), int(self.options.get("rows", SHEET_ROWS))
-        n, names, pending = 0, [], first
-        with store.open_output_stream(f"{root}/{temporary}", compression=None) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-            while pending is not None:
-                names.append(title if not names else f"{title} {len(names) + 1}")
-                with book.open(f"xl/worksheets/sheet{len(names)}.xml", "w", force_zip64=True) as f:
+        task, most = uuid.uuid4().hex, int(self.options.get("rows", SHEET_ROWS))
+        if most < 2:
+            raise ValueError("a sheet needs room for its header and a row")
+        files, pending = [], next(iterator, None)
+        while pending is not None:
+            more = f"-{len(files)}" if files else ""
+            temporary, k = f".part-{part:05d}{more}.{self.run}.{task}.tmp", 1
+            with store.open_output_stream(f"{root}/{temporary}", compression=None) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+                with book.open("xl/worksheets/sheet1.xml", "w", force_zip64=True) as f:
                     f.write(b'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>')
                     f.write(_row(1, self.columns))
-                    k = 1
                     while pending is not None and k < most:
-                        k, n = k + 1, n + 1
+                        k += 1
                         f.write(_row(k, pending))
                         pending = next(iterator, None)
                     f.write(b"</sheetData></worksheet>")
-            for path, content in _package(names):
-                book.writestr(path, content)
-        return Written(temporary, name, n)
+                for path, content in _package([self.options.get("sheet", "Sheet")]):
+                    book.writestr(path, content)
+            files.append((temporary, f"part-{part:05d}{more}.xlsx", k - 1))
+        return Written(files)
 
 
 def _row(number: int, values: Any) -> bytes:
@@ -233,7 +235,7 @@ def _package(names: list[str]) -> list[tuple[str, str]]:
 
 
 class SheetCells(DataSource):
-    """Workbooks as long cells (path, sheet, row, col, value); written rows become workbooks of their own columns.
+    """Workbooks as long cells (path, sheet, row, col, value); written rows become workbooks of one sheet with their own columns.
 
     Option of the reader: `sheet`, the only one to be read.  Options of the writer: `sheet` (a sheet's
     name), `rows` (of a sheet at most, its header included).
@@ -277,13 +279,13 @@ class NoteWriter(CommittedWriter):
             with store.open_output_stream(f"{root}/{temporary}/{note_name(node)}.md", compression=None) as f:
                 f.write(("\n".join(lines) + "\n").encode())
             n += 1
-        return Written(temporary, folder, n)
+        return Written([(temporary, folder, n)] if n else [])
 
     def abort(self, messages: list[Written | None]) -> None:
         store, root = store_of(self.path)
         for m in messages:
-            if m is not None and m.rows:
-                store.delete_dir(f"{root}/{m.temporary}")
+            for temporary, _, _ in m.files if m is not None else []:
+                store.delete_dir(f"{root}/{temporary}")
 
 
 class LinkedNotes(DataSource):

@@ -64,6 +64,14 @@ def test_what_is_written_is_read(spark, tmp_path):
     assert spark.read.format("sheet_cells").load(str(tmp_path / "none")).count() == 0
 
 
+def test_rows_beyond_a_full_sheet_are_read_by_its_name(spark, tmp_path):
+    sheets.register(spark)
+    title, folder = "a title of just 31 letters here", str(tmp_path / "full")
+    spark.range(0, 10, 1, 1).write.format("sheet_cells").option("sheet", title).option("rows", "4").mode("append").save(folder)
+    cells = spark.read.format("sheet_cells").option("sheet", title).load(folder).filter("row > 0").collect()
+    assert sorted(int(r.value) for r in cells) == list(range(10)) and {r.sheet for r in cells} == {title}
+
+
 def test_a_failed_task_leaves_no_output(spark, tmp_path):
     from pyspark.sql import functions as F
 
