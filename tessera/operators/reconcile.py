@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -171,7 +172,8 @@ def aligned_readings(first: DataFrame, second: DataFrame, by: Sequence[str], pos
 
     A key that only one reading has, or that stands in another order there, has nulls on the other
     side.  Rows may be shifted by at most `band` places more or less than the readings' lengths
-    differ.  An entity is a document: its rows come to one task.
+    differ.  An entity is a document: its rows come to one task.  Readings in step need no
+    search and are put together a batch at a time.
     """
     read = lambda df, side: df.select(*by, F.lit(side).alias("__side"), F.col(pos).cast("long").alias("__pos"), F.col(key).cast("string").alias("__key"), F.col(value).cast("string").alias("__value"))
     rows = read(first, 0).unionByName(read(second, 1))
@@ -180,22 +182,59 @@ def aligned_readings(first: DataFrame, second: DataFrame, by: Sequence[str], pos
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, found = [], []
-            for k, entity in enumerate(batch.column("rows").to_pylist()):
-                a, b = ([r for r in entity if r["__side"] == side] for side in (0, 1))
-                for i, j in side_by_side([r["__key"] for r in a], [r["__key"] for r in b], band):
-                    x, y = (a[i] if i is not None else None), (b[j] if j is not None else None)
-                    owner.append(k)
-                    found.append(((x or y)["__key"], x and x["__pos"], y and y["__pos"], x and x["__value"], y and y["__value"]))
-            columns = list(zip(*found, strict=True)) if found else [[]] * 5
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            places = pa.array(owner, pa.int64())
+            rows = batch.column("rows")
+            flat, sizes = rows.flatten(), rows.value_lengths().to_numpy(zero_copy_only=False)
+            part = lambda c: flat.field(c)  # noqa: B023, E731
+            side = part("__side").to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            i, j, plain = in_step(owner, side, part("__key"), len(sizes), band)
+            own, left, right = [owner[np.where(i >= 0, i, j)]], [i], [j]
+            starts = np.concatenate([[0], np.cumsum(sizes)])
+            for k in np.flatnonzero(~plain):
+                first, end = int(starts[k]), int(starts[k + 1])
+                keys, n = part("__key").slice(first, end - first).to_pylist(), int((side[first:end] == 0).sum())
+                pairs = np.array([(-1 if x is None else first + x, -1 if y is None else first + n + y) for x, y in side_by_side(keys[:n], keys[n:], band)], dtype=np.int64).reshape(-1, 2)
+                own, left, right = [*own, np.full(len(pairs), k)], [*left, pairs[:, 0]], [*right, pairs[:, 1]]
+            i, j = np.concatenate(left), np.concatenate(right)
+            at = lambda column, places: column.take(pa.array(places, pa.int64(), mask=places < 0))
+            places = pa.array(np.concatenate(own), pa.int64())
             names = [c for c in batch.schema.names if c != "rows"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(places) for c in names), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], [*names, "key", "pos_a", "pos_b", "value_a", "value_b"])
+            found = [part("__key").take(pa.array(np.where(i >= 0, i, j), pa.int64())), at(part("__pos"), i), at(part("__pos"), j), at(part("__value"), i), at(part("__value"), j)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(places) for c in names), *found], [*names, "key", "pos_a", "pos_b", "value_a", "value_b"])
 
     return gathered.mapInArrow(align, f"{schema}, key string, pos_a long, pos_b long, value_a string, value_b string")
 
 
+def in_step(owner: np.ndarray, side: np.ndarray, key: pa.Array, n: int, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the rows put side by side (-1: none) of the entities whose readings are in step, and which of the n entities are.
+
+    Readings are in step if no key repeats in either, the keys that both have stand in one order,
+    and neither has more rows than the band is wide: what they share is then the one longest common
+    subsequence.  Rows come by entity, then side, then place.
+    """
+    code = key.dictionary_encode()
+    code = code.indices.fill_null(len(code.dictionary)).to_numpy(zero_copy_only=False).astype(np.int64)
+    order = np.lexsort((side, code, owner))
+    same = (owner[order][1:] == owner[order][:-1]) & (code[order][1:] == code[order][:-1])
+    twice = same & (side[order][1:] == side[order][:-1])
+    plain = np.ones(n, dtype=bool)
+    plain[owner[order][1:][twice]] = False
+    for s in (0, 1):
+        plain &= np.bincount(owner[side == s], minlength=n) <= band
+    pair = np.full(len(owner), -1, dtype=np.int64)
+    matched = same & ~twice
+    pair[order[:-1][matched]] = order[1:][matched]
+    # Pairs by the first reading's places: the second's have to rise.
+    i = np.flatnonzero((pair >= 0) & (side == 0))
+    crossed = (owner[i][1:] == owner[i][:-1]) & (pair[i][1:] < pair[i][:-1])
+    plain[owner[i][1:][crossed]] = False
+    taken = np.zeros(len(owner), dtype=bool)
+    taken[pair[i]] = True
+    kept = plain[owner]
+    first, second = np.flatnonzero(kept & (side == 0)), np.flatnonzero(kept & (side == 1) & ~taken)
+    return np.concatenate([first, np.full(len(second), -1)]), np.concatenate([pair[first], second]), plain
+
+
 def side_by_side(a: list[str], b: list[str], band: int) -> list[tuple[int | None, int | None]]:
     """Places of both sequences in order, matched along a longest common subsequence inside a band around the diagonals."""
     n, m = len(a), len(b)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import gates, reconcile
 from tessera.plans.registry import query
+from tessera.scratch import spread
 from tessera.sources.tables import load
 
 
@@ -97,7 +98,7 @@ v AS (SELECT *, CAST(CAST(q AS BIGINT) AS VARCHAR) AS a, CASE WHEN s % 7 = 0 THE
 SELECT o AS l_orderkey, count(*) FILTER (there) AS n_both, count(*) FILTER (there AND a = b) AS n_agree, count(*) FILTER (NOT there) AS n_first, CAST(1 AS BIGINT) AS n_second, arg_min('k' || n || ': ' || a || ' | ' || b, n) FILTER (there AND a <> b) AS example FROM v GROUP BY o""")
 def second_readings(spark: SparkSession, d: str) -> DataFrame:
     """An order's lines read twice, the second time with gaps, errors and one line too many, put side by side."""
-    lines = load(spark, d, "lineitem")
+    lines = spread(load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"), ["l_orderkey"], 250_000)
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     lines = lines.select("l_orderkey", "l_suppkey", F.col("l_quantity").cast("long").cast("string").alias("value"), F.row_number().over(order).alias("pos")).withColumn("key", F.concat(F.lit("k"), F.col("pos").cast("string")))
     seen = lines.filter(F.col("l_suppkey") % 5 != 0).withColumn("value", F.when(F.col("l_suppkey") % 7 == 0, "misread").otherwise(F.col("value")))

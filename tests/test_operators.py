@@ -249,3 +249,35 @@ def test_scan_of_tables_with_banners_and_continuations(spark):
     points, skipped, unknown = scan.scan(cells, family)
     assert sorted((r.type, r.inst, r["name"], r.unit) for r in points.collect()) == [("AI", 1, "Temp", "degC"), ("BO", 2, "Fan", None), ("MSV", 3, "Mode", None)]
     assert {r.reason: r.n for r in skipped.collect()} == {"no id": 1, "repeat": 1, "header again": 1} and [r.column for r in unknown.collect()] == ["Extra"]
+
+
+def test_readings_in_step_are_put_together_as_by_the_search(spark):
+    rng, rows = random.Random(5), {0: [], 1: []}
+    for e in range(300):
+        keys = [f"k{k}" for k in range(rng.randrange(9))]
+        for side in (0, 1):
+            own = [k for k in keys if rng.random() < 0.7] + ["extra"] * (side * rng.randrange(2)) + [None] * (rng.random() < 0.2)
+            if e % 3 == 0:
+                rng.shuffle(own)
+            if e % 5 == 0:
+                own += own[:2]
+            rows[side] += [(e, p, k, f"{side}{p}") for p, k in enumerate(own)]
+    a, b = (spark.createDataFrame(rows[side], "e int, pos int, key string, value string") for side in (0, 1))
+    for band in (2, 200):
+        found = reconcile.aligned_readings(a, b, ["e"], "pos", "key", "value", band).collect()
+        expected = []
+        for e in range(300):
+            x, y = ([r for r in rows[side] if r[0] == e] for side in (0, 1))
+            for i, j in reconcile.side_by_side([r[2] for r in x], [r[2] for r in y], band):
+                p, q = (x[i] if i is not None else (None,) * 4), (y[j] if j is not None else (None,) * 4)
+                expected.append((e, (p if i is not None else q)[2], p[1], q[1], p[3], q[3]))
+        assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+
+
+def test_most_readings_are_put_together_without_a_search():
+    import numpy as np
+    import pyarrow as pa
+
+    owner, side = np.array([0, 0, 0, 0, 1, 1, 1, 1]), np.array([0, 0, 1, 1, 0, 0, 1, 1])
+    i, j, plain = reconcile.in_step(owner, side, pa.array(["a", "b", "b", "c", "a", "b", "b", "a"]), 2, 200)
+    assert plain.tolist() == [True, False] and sorted(zip(i.tolist(), j.tolist(), strict=True)) == [(-1, 3), (0, -1), (1, 2)]
