@@ -17,6 +17,8 @@ from tessera.operators.order import greedy_assignment
 from tessera.scratch import materialize
 
 MAX_RULES = 20_000
+#: Pairs that one partition makes.
+PAIRS = 2_000_000
 
 
 def rule_side(rules: DataFrame) -> DataFrame:
@@ -252,6 +254,26 @@ def contained_names(left: DataFrame, right: DataFrame, by: Sequence[str], name:
     return in_y.select(*columns).unionByName(in_x.select(*columns)).unionByName(short.select(*columns)).distinct()
 
 
+def pairs_of_names(names: DataFrame, left: DataFrame, right: DataFrame, by: Sequence[str], name: str, a: str, other: str, b: str, most: int = PAIRS) -> DataFrame:
+    """a and b of all pairs of rows (by, name, a) and (by, other, b) whose names are a row of names (by, name, other).
+
+    How many pairs each `other` makes is counted first: pairs are made in as many partitions as
+    leave each about `most`, and an `other` with more is dealt over several by its left rows.
+    """
+    n = names.join(left.groupBy(*by, name).agg(F.count(F.lit(1)).alias("__l")), [*by, name]).join(right.groupBy(*by, other).agg(F.count(F.lit(1)).alias("__r")), [*by, other])
+    n = n.withColumn("__pairs", F.sum(F.col("__l") * F.col("__r")).over(Window.partitionBy(*by, other)))
+    n = materialize(n.withColumn("__parts", F.ceil(F.col("__pairs") / most).cast("int")).drop("__pairs"), "names")
+    pairs, rows = n.agg(F.sum(F.col("__l") * F.col("__r")), F.sum("__l")).first()
+    parts = max(12, -(-(pairs or 0) // most))
+    # Names repeat a left row once for each `other`: that happens in partitions of bounded size, too.
+    x = left.repartition(max(12, -(-(rows or 0) // most)), *by, name).join(n.select(*by, name, other, "__parts"), [*by, name])
+    x = x.withColumn("__part", F.pmod(F.xxhash64(a), F.col("__parts")).cast("int")).select(*by, other, "__part", a)
+    dealt = n.select(*by, other, "__parts").distinct().select(*by, other, F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__part"))
+    y = right.join(dealt, [*by, other])
+    key = [*by, other, "__part"]
+    return x.repartition(parts, *key).join(y.repartition(parts, *key), key).select(a, b)
+
+
 def nearest_sets(queries: DataFrame, sets: DataFrame, q: str, tokens_q: str, s: str, tokens_s: str) -> DataFrame:
     """q, s, score and n_best: the set with the highest Jaccard similarity to each query, how many sets have it, the smallest s of them.
 

@@ -119,7 +119,7 @@ def fuzzy_containment(spark: SparkSession, d: str) -> DataFrame:
     b = p.select("p_brand", "p_size", F.col("p_partkey").alias("right_key"), F.concat_ws(" ", "p_name", "p_type").alias("other"))
     # Names meet first, then the parts that carry them: the pairs that are asked for, and no others.
     names = match.contained_names(p, b, ["p_brand", "p_size"], "p_name", "other")
-    both = names.join(p, ["p_brand", "p_size", "p_name"]).join(b, ["p_brand", "p_size", "other"])
+    both = match.pairs_of_names(names, p.select("p_brand", "p_size", "p_name", "p_partkey"), b, ["p_brand", "p_size"], "p_name", "p_partkey", "other", "right_key")
     return both.filter(F.col("p_partkey") != F.col("right_key")).select(F.col("p_partkey").alias("left_key"), "right_key")
 
 

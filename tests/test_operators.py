@@ -281,3 +281,17 @@ def test_most_readings_are_put_together_without_a_search():
     owner, side = np.array([0, 0, 0, 0, 1, 1, 1, 1]), np.array([0, 0, 1, 1, 0, 0, 1, 1])
     i, j, plain = reconcile.in_step(owner, side, pa.array(["a", "b", "b", "c", "a", "b", "b", "a"]), 2, 200)
     assert plain.tolist() == [True, False] and sorted(zip(i.tolist(), j.tolist(), strict=True)) == [(-1, 3), (0, -1), (1, 2)]
+
+
+def test_pairs_of_names_by_brute_force(spark):
+    rng = random.Random(8)
+    left = [(rng.randrange(2), rng.choice("uvw"), k) for k in range(40)]
+    right = [(rng.randrange(2), rng.choice("xy"), k) for k in range(40)]
+    names = [(g, n, o) for g in range(2) for n in "uvz" for o in "xy" if (g, n) != (1, "u")]
+    a, b, n = spark.createDataFrame(left, "g int, name string, a int"), spark.createDataFrame(right, "g int, other string, b int"), spark.createDataFrame(names, "g int, name string, other string")
+    pairs = match.pairs_of_names(n, a, b, ["g"], "name", "a", "other", "b", most=20)
+    assert sorted(map(tuple, pairs.collect())) == sorted((x[2], y[2]) for x in left for y in right if x[0] == y[0] and (x[0], x[1], y[1]) in names)
+    # No partition makes all pairs, though each `other` has hundreds.
+    sizes = [r.n for r in pairs.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) * 4 < sum(sizes)
+    assert match.pairs_of_names(n.limit(0), a, b, ["g"], "name", "a", "other", "b").count() == 0
